@@ -83,7 +83,7 @@ def _re_escape(s: str) -> str:
 def month_year_of_header(x: ColumnOrName) -> tuple[Column, Column]:
     """FN-16 / RSH-4: ``'mayo 1990'`` -> (``'mayo'``, ``'1990'``); no 4-digit year -> ('', '') (N13)."""
     c = F.trim(_c(x))
-    pat = r"^(\D+?)\s*(\d{4})"
+    pat = r"(\D+)\s*(\d{4})"
     return F.trim(F.regexp_extract(c, pat, 1)), F.regexp_extract(c, pat, 2)
 
 

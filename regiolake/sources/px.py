@@ -33,6 +33,8 @@ def parse_px(df: DataFrame, content_col: str = "content", keep: Sequence[str] =
     cube = df.select(*keep, dims.alias("dims"), labels.alias("__labels"), tokens.alias("__tok"))
     cube = cube.withColumn("__sizes", F.transform("__labels", lambda a: F.size(a).cast("long")))
     cells = cube.select(*keep, "dims", "__labels", "__sizes", F.posexplode("__tok").alias("cell_pos", "raw"))
+    # a cell may be quoted ("..", "1.234"): the quotes are not part of the value
+    cells = cells.withColumn("raw", F.regexp_replace("raw", r'^"|"$', ""))
 
     # label index of each dimension; a lambda over positions keeps this inside one expression
     lab = F.expr("""transform(__sizes, (n, k) ->
