@@ -14,6 +14,7 @@ from ..functions import labels as L
 from ..functions import numbers as N
 from ..operators import relational as R
 from ..operators import series as S
+from ..session import materialize
 from .common import GEO_SQL, cat, geo_orders
 from .q_relational import _MONTH_NAMES
 from .registry import query, sql_fixed, sql_pct, sql_ratio
@@ -62,22 +63,38 @@ def _g(c):
     return geo_orders(c).withColumn("province_std", L.standardise("r_name", PROVINCE_RULES))
 
 
-def foreign_pct(c):
+def geo_base(c):
+    """One pass over the orders star, pre-aggregated to (province_std, r_name, n_name, year,
+    status, customer): order count, exact revenue and priced-order count.
+
+    Every source of the marts below is derived from this frame, so the plan scans
+    and joins ``orders`` once and shuffles once on these keys; Spark reuses that
+    exchange for every branch instead of re-running the star join per source.
+    The customer key stays in the grain because populations are distinct
+    customers; a customer holding a third of the orders still gives one
+    partial row per map task (map-side combine)."""
+    g = _g(c)
+    agg = g.groupBy("province_std", "r_name", "n_name", F.col("yr").alias("year"), "o_orderstatus", "o_custkey").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(N.money("o_totalprice")).alias("rev"),
+        F.count("o_totalprice").alias("n_priced"))
+    return materialize(agg, "geo_base")
+
+
+def foreign_pct(c, base=None):
     """MDL-20 composition: TS-1 priority chain (anti-joins for the N4 coverage modes),
     TS-2 chain ratio, TS-3 splice with JN-5 default ratio, FN-7 shares."""
-    g = _g(c)
+    b = base if base is not None else geo_base(c)
     keys = ["province_std", "year"]
-    g = g.withColumn("year", F.col("yr"))
-    pop = g.select(*keys, "o_custkey").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("total_population"))
-    eu = (g.where((F.col("o_orderstatus") == "F") & F.col("year").isin(EUSTAT_YEARS))
-           .groupBy(*keys).agg(F.count(F.lit(1)).alias("foreign_population")))
-    core = g.where(F.col("province_std").isin(CORE))
-    pa = (core.where((F.col("o_orderstatus") == "O") & (F.col("year") <= 1999))
-              .groupBy(*keys).agg(F.count(F.lit(1)).alias("foreign_population")))
-    ecp_src = core.where((F.col("o_orderstatus") == "P") & (F.col("year") >= 1998))
-    ec = (ecp_src.groupBy(*keys).agg(F.count(F.lit(1)).alias("foreign_population"))
-          .join(ecp_src.select(*keys, "o_custkey").distinct().groupBy(*keys)
-                .agg(F.count(F.lit(1)).alias("total_population")), on=keys))
+    st = F.col("o_orderstatus")
+    pop = b.select(*keys, "o_custkey").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("total_population"))
+    eu = (b.where((st == "F") & F.col("year").isin(EUSTAT_YEARS))
+           .groupBy(*keys).agg(F.sum("n").alias("foreign_population")))
+    core = b.where(F.col("province_std").isin(CORE))
+    pa = (core.where((st == "O") & (F.col("year") <= 1999))
+              .groupBy(*keys).agg(F.sum("n").alias("foreign_population")))
+    # one base row per (keys, customer) within a status: rows = distinct customers
+    ec = (core.where((st == "P") & (F.col("year") >= 1998))
+              .groupBy(*keys).agg(F.sum("n").alias("foreign_population"), F.count(F.lit(1)).alias("total_population")))
 
     def shares(df):
         return df.select(*keys, "foreign_population", "total_population",
@@ -94,7 +111,9 @@ def foreign_pct(c):
     adj = F.col("foreign_population") * F.col("pop_ratio")
     ecp = scaled.select(*keys, N.round_to_long(adj).alias("foreign_population"), "total_population",
                         N.pct(adj, "total_population").alias("foreign_population_pct"))
-    return R.union_all([eustat, padron, ecp])
+    return R.union_all([eustat, padron, ecp]).select(
+        *keys, F.col("foreign_population").cast("long").alias("foreign_population"), "total_population",
+        "foreign_population_pct")
 
 
 @query("mdl_foreign_pct", covers=("MDL-20", "MDL-12", "MDL-14", "MDL-15", "TS-1", "TS-2", "TS-3", "JN-5",
@@ -145,19 +164,19 @@ LEFT JOIN top o ON o.year = h.year AND o.province_std = h.province_std
 """)
 def mdl_housing(spark, sf_dir):
     c = cat(spark, sf_dir)
-    g = _g(c).withColumn("year", F.col("yr"))
+    base = geo_base(c)
     keys = ["province_std", "year"]
-    h = (g.where(L.matches_any("r_name", [("prefix", "eur"), ("prefix", "asi"), ("prefix", "afr")]))
-          .groupBy(F.col("r_name").alias("province_raw"), *keys)
-          .agg(F.sum(N.money("o_totalprice")).alias("s"), F.count("o_totalprice").alias("n"))
-          .select(*keys, N.fixed(N.exact_mean("s", "n"), 2).alias("avg_price")))
-    origin = (g.where(F.col("province_std").isin(CORE)
-                      & (L.bucket("n_name", {"Home": ["NATION_0"]}, "Foreign") == "Foreign"))
-               .groupBy(*keys, F.col("n_name").alias("origin")).agg(F.count(F.lit(1)).alias("population")))
+    h = (base.where(L.matches_any("r_name", [("prefix", "eur"), ("prefix", "asi"), ("prefix", "afr")]))
+             .groupBy(F.col("r_name").alias("province_raw"), *keys)
+             .agg(F.sum("rev").alias("s"), F.sum("n_priced").alias("k"))
+             .select(*keys, N.fixed(N.exact_mean("s", "k"), 2).alias("avg_price")))
+    origin = (base.where(F.col("province_std").isin(CORE)
+                         & (L.bucket("n_name", {"Home": ["NATION_0"]}, "Foreign") == "Foreign"))
+                  .groupBy(*keys, F.col("n_name").alias("origin")).agg(F.sum("n").alias("population")))
     with_tot = R.group_total(origin, keys, "population", "tot")
     top = R.top1_per_group(with_tot, keys, "population", ["origin", "population", "tot"], tie_break=["origin"])
     top = top.select(*keys, F.col("origin").alias("top_origin"), N.pct("population", "tot").alias("top_origin_pct"))
-    fp = foreign_pct(c)
+    fp = foreign_pct(c, base)
     out = R.left_enrich(h, (fp, keys), (top, keys))
     return out.select("year", "province_std", "avg_price", "foreign_population", "total_population",
                       "foreign_population_pct", "top_origin", "top_origin_pct")
@@ -178,14 +197,14 @@ FROM p LEFT JOIN n ON p.year = n.year LEFT JOIN popy ON p.year = popy.year
 """)
 def mdl_poverty(spark, sf_dir):
     c = cat(spark, sf_dir)
-    g = _g(c).withColumn("year", F.col("yr"))
+    base = geo_base(c)
 
     def rate(df):
-        return df.groupBy("year").agg(F.count_if(F.col("o_orderstatus") == "F").alias("f"),
-                                      F.count(F.lit(1)).alias("t")).select("year", N.pct("f", "t").alias("rate"))
-    p = rate(g.where((F.col("r_name") == "EUROPE") & (F.col("year") >= 1996))).withColumnRenamed("rate", "regional_rate")
-    n = rate(g.where(F.col("year") <= 2000)).withColumnRenamed("rate", "national_rate")
-    out = R.left_enrich(p, (n, ["year"]), (population_year(foreign_pct(c)), ["year"]))
+        return df.groupBy("year").agg(F.sum(F.when(F.col("o_orderstatus") == "F", F.col("n"))).alias("f"),
+                                      F.sum("n").alias("t")).select("year", N.pct("f", "t").alias("rate"))
+    p = rate(base.where((F.col("r_name") == "EUROPE") & (F.col("year") >= 1996))).withColumnRenamed("rate", "regional_rate")
+    n = rate(base.where(F.col("year") <= 2000)).withColumnRenamed("rate", "national_rate")
+    out = R.left_enrich(p, (n, ["year"]), (population_year(foreign_pct(c, base)), ["year"]))
     return out.select("year", "regional_rate", "national_rate",
                       N.gap("national_rate", "regional_rate", 1).alias("gap_pp"),
                       "total_population", "foreign_population", "foreign_population_pct")
@@ -198,13 +217,19 @@ MONTH_CASE = ("CASE lower(trim(month)) WHEN 'enero' THEN 1 WHEN 'ene.' THEN 1 WH
               "WHEN 'sept.' THEN 9 WHEN 'oct.' THEN 10 WHEN 'nov.' THEN 11 WHEN 'dic.' THEN 12 ELSE 6 END")
 
 
-def _elections_base(g):
+def _month_base(g):
+    """One pass over the orders star at (year, month, priority, status) grain."""
+    return g.groupBy("yr", "mon", "o_orderpriority", "o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(N.money("o_totalprice")).alias("rev"))
+
+
+def _elections_base(mb):
     """Base table analog: (year string, month name, party_name with typographic variants, seats)."""
     names = F.array(*[F.lit(m) for m in _MONTH_NAMES])
     party = F.when(F.col("o_orderstatus") == "O", F.concat(F.lower("o_orderpriority"), F.lit(" "))).otherwise(
         F.col("o_orderpriority"))
-    return g.groupBy(F.col("yr").cast("string").alias("year"), F.element_at(names, F.col("mon")).alias("month"),
-                     party.alias("party_name")).agg(F.count(F.lit(1)).alias("seats"))
+    return mb.groupBy(F.col("yr").cast("string").alias("year"), F.element_at(names, F.col("mon")).alias("month"),
+                      party.alias("party_name")).agg(F.sum("n").alias("seats"))
 
 
 ELECTIONS_SQL = f"""
@@ -235,17 +260,17 @@ FROM el e JOIN tot t ON t.year = e.year LEFT JOIN popy d ON d.year = e.year LEFT
 """)
 def mdl_elections(spark, sf_dir):
     c = cat(spark, sf_dir)
-    g = _g(c)
-    base = _elections_base(g).withColumn("month_num", L.month_number("month"))
+    mb = materialize(_month_base(_g(c)), "month_base")
+    base = _elections_base(mb).withColumn("month_num", L.month_number("month"))
     stg = R.latest_snapshot(base, ["year"], "month_num").select("year", "party_name", F.col("seats").alias("total_seats"))
     # group by the normalised expression, not by an alias that shadows the input column (T6)
     el = stg.groupBy(F.col("year").cast("int").alias("year"), F.upper(F.trim("party_name")).alias("party_name")).agg(
         F.sum("total_seats").alias("seats"))
     tot = el.groupBy("year").agg(F.sum("seats").alias("total_seats_year"))
-    mig = (g.where(F.col("yr") >= 1997).groupBy(F.col("yr").alias("year"))
-            .agg(F.sum(N.money("o_totalprice")).alias("s"), F.count(F.lit(1)).alias("n"),
-                 F.sum(F.when(F.col("o_orderstatus") == "F", N.money("o_totalprice"))).alias("sf"),
-                 F.count_if(F.col("o_orderstatus") == "F").alias("nf"))
+    isf = F.col("o_orderstatus") == "F"
+    mig = (mb.where(F.col("yr") >= 1997).groupBy(F.col("yr").alias("year"))
+             .agg(F.sum("rev").alias("s"), F.sum("n").alias("n"),
+                  F.sum(F.when(isf, F.col("rev"))).alias("sf"), F.sum(F.when(isf, F.col("n"))).alias("nf"))
             .select("year", N.fixed(N.exact_mean("s", "n") / 1000.0, 2).alias("rate_total"),
                     N.fixed(N.exact_mean("sf", "nf") / 1000.0, 2).alias("rate_f")))
     out = R.left_enrich(el.join(tot, on="year"), (population_year(foreign_pct(c)), ["year"]), (mig, ["year"]))
@@ -259,7 +284,7 @@ def mdl_elections(spark, sf_dir):
 SELECT year, party_name, CAST(total_seats AS BIGINT) AS total_seats FROM stg
 """)
 def mdl_elections_stg(spark, sf_dir):
-    base = _elections_base(_g(cat(spark, sf_dir))).withColumn("month_num", L.month_number("month"))
+    base = _elections_base(_month_base(_g(cat(spark, sf_dir)))).withColumn("month_num", L.month_number("month"))
     return R.latest_snapshot(base, ["year"], "month_num").select(
         "year", "party_name", F.col("seats").cast("long").alias("total_seats"))
 

@@ -60,3 +60,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), "regiolake", f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet below the shared checkpoint folder and return a frame that
+    reads it back.
+
+    Used for a pre-aggregate that several branches of one plan consume: Catalyst
+    pushes each branch's filters and column pruning below a shared subtree, which
+    defeats exchange reuse and re-runs the scan and join per branch.  A written
+    table is computed once, survives executor loss (it lives on the shared file
+    system, not in executor memory), cuts the lineage, and is still read with
+    column pruning and predicate pushdown."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
