@@ -176,3 +176,66 @@ def job_elections(pages: DataFrame, anchor: str = "Grupos parlamentarios", id_co
     out = long.where(F.col("party_name").isNotNull() & (F.col("party_name") != "") & seats.isNotNull()).select(
         "year", "month", "party_name", seats.cast("long").alias("seats"))
     return conform(out, SCHEMAS["elections_parlamento_vasco"])
+
+
+# Exact metadata variable names of the migration series -> output column.
+MIGRATION_META = {"region": "Comunidades y Ciudades Autónomas", "indicator": "Conceptos demógraficos",
+                  "sex": "Sexo", "age_group": "Totales de edad", "nationality": "Nacionalidad",
+                  "periodicity": "Periodicidad", "data_type": "Tipo de dato"}
+# Exact metadata variable names of the earnings series -> output column.
+EARNINGS_META = {"sex": "sexo", "age_group": "grupo de edad", "indicator": "tipo de indicador",
+                 "disability": "personas sin y con discapacidad"}
+
+
+def job_migration(raw: DataFrame, content_col: str = "content") -> DataFrame:
+    """JOB-02: series with metadata pivoted by exact variable name (last duplicate wins, T11);
+    points whose value is not a number are skipped; the unit comes from the series."""
+    s = J.parse_series(raw, content_col)
+    s = s.select("Data", "T3_Unidad", *J.meta_exact(F.col("MetaData"), MIGRATION_META))
+    p = J.points(s, [*MIGRATION_META, "T3_Unidad"])
+    out = p.where(F.col("value").isNotNull()).withColumn("unit", F.col("T3_Unidad"))
+    return conform(out, SCHEMAS["migration_birth_country"])
+
+
+def job_earnings(raw: DataFrame, content_col: str = "content") -> tuple[DataFrame, DataFrame]:
+    """JOB-03: earnings series; the year is the period name; invalid values are discarded
+    and counted (FLT-9)."""
+    s = J.parse_series(raw, content_col)
+    s = s.select("Data", *J.meta_exact(F.col("MetaData"), EARNINGS_META))
+    p = J.points(s, list(EARNINGS_META)).withColumn("year", N.safe_int("NombrePeriodo"))
+    out = conform(p.where(F.col("value").isNotNull()), SCHEMAS["epa_contract_stats"])
+    return out, p.agg(F.count_if(F.col("value").isNull()).alias("discarded"))
+
+
+POP_NAT_IDS = ["province", "continent of nationality", "relation with the economic activity", "sex"]
+
+
+def job_population_nationality(raw: DataFrame, content_col: str = "content", skip: int = 1, sep: str = ",",
+                               ccaa: str = "País Vasco") -> DataFrame:
+    """JOB-06: titled wide CSV -> ``population_eustat_nationality``.
+
+    The dimension columns are required (DQ-1: a file without them is an error);
+    digit-only columns are melted (RSH-1); non-numeric cells dropped; a constant
+    ``ccaa`` column is added (PRJ-2)."""
+    names = TT.header_of(raw, content_col, skip, sep)
+    missing = [c for c in POP_NAT_IDS if c not in names]
+    if missing:
+        raise ValueError(f"missing required columns: {missing}")
+    t = TT.parse_delimited(raw, content_col, names, skip=skip, sep=sep).drop("line_no")
+    long = RS.melt_years(t, POP_NAT_IDS, "population")
+    long = long.select(F.lit(ccaa).alias("ccaa"), "province",
+                       F.col("continent of nationality").alias("nationality"),
+                       F.col("relation with the economic activity").alias("relation_with_activity"), "sex", "year",
+                       N.safe_double("population").alias("population"))
+    return conform(long.where(F.col("population").isNotNull()), SCHEMAS["population_eustat_nationality"])
+
+
+def job_population_origin(df: DataFrame, year: int = 2024) -> DataFrame:
+    """JOB-07: (provincia, nacionalidad, total) -> ``population_eustat_total`` with a constant
+    reference year; the total is coerced to a number (NULL when not numeric)."""
+    missing = [c for c in ("provincia", "nacionalidad", "total") if c not in df.columns]
+    if missing:
+        raise ValueError(f"missing required columns: {missing}")
+    out = df.select(F.col("provincia").alias("province"), F.col("nacionalidad").alias("nationality"),
+                    F.lit(year).alias("year"), N.round_to_long(N.safe_double("total")).alias("population"))
+    return conform(out, SCHEMAS["population_eustat_total"])
