@@ -8,7 +8,7 @@ Label lists and filters are fixed values of the reference transforms.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
@@ -239,3 +239,112 @@ def job_population_origin(df: DataFrame, year: int = 2024) -> DataFrame:
     out = df.select(F.col("provincia").alias("province"), F.col("nacionalidad").alias("nationality"),
                     F.lit(year).alias("year"), N.round_to_long(N.safe_double("total")).alias("population"))
     return conform(out, SCHEMAS["population_eustat_total"])
+
+
+# EUSTAT quarterly housing file, 13 positional columns.
+EUSTAT_HOUSING_COLS = ["trimestre", "euskadi_total", "euskadi_nueva", "euskadi_usada", "alava_total", "alava_nueva",
+                       "alava_usada", "bizkaia_total", "bizkaia_nueva", "bizkaia_usada", "gipuzkoa_total",
+                       "gipuzkoa_nueva", "gipuzkoa_usada"]
+# Province label -> price column of the EUSTAT file.
+EUSTAT_HOUSING_PROVINCES = [("Álava", "alava_total"), ("Bizkaia", "bizkaia_total"), ("Gipuzkoa", "gipuzkoa_total")]
+# Province alias rewrites of the ministry sheets, in order.
+MIVAU_ALIASES = [(r"Araba/.*", "Araba/Álava"), (r"Álava", "Araba/Álava"), (r"Vizcaya", "Bizkaia"),
+                 (r"Guipúzcoa", "Gipuzkoa"), (r"Principado de Asturias", "Asturias"), (r"Islas Baleares", "Illes Balears"),
+                 (r"Comunidad Foral de Navarra", "Navarra"), (r"Comunidad de Madrid", "Madrid"),
+                 (r"Región de Murcia", "Murcia"), (r"La Rioja", "La Rioja")]
+# Autonomous communities (region_type CCAA; everything else is a Province).
+CCAA_NAMES = ["Andalucía", "Aragón", "Asturias", "Illes Balears", "Canarias", "Cantabria", "Castilla y León",
+              "Castilla-La Mancha", "Cataluña", "Comunidad Valenciana", "Extremadura", "Galicia", "Madrid", "Murcia",
+              "Navarra", "País Vasco", "La Rioja"]
+
+
+def housing_eustat(raw: DataFrame, content_col: str = "content", skip: int = 4) -> DataFrame:
+    """JOB-10, quarterly file: ``;``-separated, ``skip`` lines before the data, no header,
+    13 positional columns (lines with another field count are skipped).  The year is the
+    last numeric value of the first column above the row (WIN-3 forward fill in file
+    order); only Roman-numeral quarter rows are kept (FLT-5); the three province price
+    columns are stacked (RSH-6), parsed as locale numbers (FN-4) and averaged per year
+    (AGG-2, rounded half-even as pandas does)."""
+    raw = raw.withColumn("__file", F.monotonically_increasing_id()) if "__file" not in raw.columns else raw
+    t = TT.parse_delimited(raw, content_col, EUSTAT_HOUSING_COLS, skip=skip, header=False, sep=";",
+                           keep=["__file"], min_fields=13, max_fields=13)
+    t = t.withColumn("year", F.col("trimestre").try_cast("int"))
+    t = R.forward_fill(t, ["__file"], "line_no", ["year"])
+    t = t.where(F.col("trimestre").rlike(r"^[IVX]+$"))
+    stacked = RS.stack_groups(t, ["year"], [(prov, {"price": col}) for prov, col in EUSTAT_HOUSING_PROVINCES],
+                              label_name="province")
+    stacked = stacked.withColumn("price_per_m2", N.locale_number("price"))
+    # exact decimal mean, then half-even: no binary tie ambiguity in the rounding
+    out = stacked.groupBy("year", "province").agg(
+        N.half_even(F.avg(F.col("price_per_m2").cast("decimal(38,10)")), 2).alias("price_per_m2"))
+    return out.select("year", "province", F.lit("Province").alias("region_type"), "price_per_m2",
+                      F.lit("Eustat").alias("source"))
+
+
+def housing_sheets(cells: DataFrame, skip_rows: int = 13, min_rows: int = 5) -> DataFrame:
+    """JOB-10, ministry workbook delivered as cells ``(sheet, row_idx, col_idx, value)``.
+
+    Row ``skip_rows`` is the header; all-empty rows are ignored; sheets with fewer
+    than ``min_rows`` data rows or without a year in their name are skipped.  Quarter
+    columns are header cells containing ``º`` (from the third column on) that hold
+    at least one value; the i-th quarter column takes the i-th year of the sheet
+    name, the last year repeating (RSH-5).  Province labels are title-cased (T9),
+    rewritten by the first matching alias (FN-15, N8 fixed) and typed CCAA by a
+    case-folded lookup (FN-2, N7 fixed)."""
+    c = cells.withColumn("value", F.nullif(F.trim(F.col("value").cast("string")), F.lit("")))
+    body = c.where(F.col("row_idx") > skip_rows)
+    nonempty = body.groupBy("sheet", "row_idx").agg(F.count("value").alias("nv")).where(F.col("nv") > 0)
+    body = body.join(nonempty.select("sheet", "row_idx"), on=["sheet", "row_idx"], how="left_semi")
+    n_rows = nonempty.groupBy("sheet").agg(F.count(F.lit(1)).alias("n_rows"))
+    head = c.where((F.col("row_idx") == skip_rows) & (F.col("col_idx") >= 2) & F.col("value").contains("º"))
+    filled = body.where(F.col("value").isNotNull()).select("sheet", "col_idx").distinct()
+    quarters = head.join(filled, on=["sheet", "col_idx"], how="left_semi")
+    w_rank = F.dense_rank().over(Window.partitionBy("sheet").orderBy("col_idx"))
+    quarters = quarters.select("sheet", "col_idx", w_rank.alias("q_pos"))
+    years = X.years_in(F.col("sheet"))
+    quarters = quarters.withColumn("year", F.try_element_at(years, F.least(F.col("q_pos"), F.size(years)).cast("int")))
+    prov = body.where(F.col("col_idx") == 1).select("sheet", "row_idx", F.col("value").alias("prov"))
+    vals = body.join(quarters, on=["sheet", "col_idx"], how="inner").join(prov, on=["sheet", "row_idx"], how="inner")
+    vals = vals.join(n_rows.where(F.col("n_rows") >= min_rows), on="sheet", how="left_semi")
+    label = L.first_match_rewrite(X.title_case(X.strip_ws(F.col("prov"))), MIVAU_ALIASES)
+    ccaa = F.lower(label).isin([n.lower() for n in CCAA_NAMES])
+    d = vals.select("year", label.alias("province"),
+                    F.when(ccaa, F.lit("CCAA")).otherwise(F.lit("Province")).alias("region_type"),
+                    N.safe_double("value").alias("price_per_m2")).dropna(subset=["year", "price_per_m2"])
+    out = d.groupBy("year", "province", "region_type").agg(
+        N.half_even(F.avg(F.col("price_per_m2").cast("decimal(38,10)")), 2).alias("price_per_m2"))
+    return out.select("year", "province", "region_type", "price_per_m2", F.lit("MIVAU").alias("source"))
+
+
+def job_housing(eustat_raw: DataFrame | None, sheet_cells: DataFrame | None) -> DataFrame:
+    """JOB-10: both sources concatenated by name (SET-2); a missing source contributes nothing."""
+    parts = []
+    if eustat_raw is not None:
+        parts.append(housing_eustat(eustat_raw))
+    if sheet_cells is not None:
+        parts.append(housing_sheets(sheet_cells))
+    if not parts:
+        raise ValueError("no housing source")
+    return conform(R.union_all(parts, allow_missing=True), SCHEMAS["housing_prices_annual"])
+
+
+def job_origin_table(cells: DataFrame, keys: tuple[str, ...] = ("table",)) -> DataFrame:
+    """JOB-15: a table with a two-level header (province / sex) -> (provincia, nacionalidad,
+    total, hombres, mujeres).
+
+    Cells ``(keys, row_idx, col_idx, text)``: rows 0 and 1 are the header levels,
+    column 0 holds the nationality.  Headers are flattened to ``province_sex``
+    (RSH-8), body cells melted and the name split on its last ``_`` (RSH-2), the
+    sex values pivoted with "first" (RSH-3) and parsed as locale numbers (FN-4)."""
+    keys = list(keys)
+    names = RS.flatten_header(cells.where(F.col("col_idx") > 0), keys)
+    nat = cells.where((F.col("row_idx") > 1) & (F.col("col_idx") == 0)).select(*keys, "row_idx",
+                                                                              F.col("text").alias("nacionalidad"))
+    body = cells.where((F.col("row_idx") > 1) & (F.col("col_idx") > 0))
+    long = body.join(names, on=[*keys, "col_idx"]).join(nat, on=[*keys, "row_idx"])
+    head, tail = X.split_last(F.col("column_name"), "_")
+    long = long.select(*keys, "row_idx", head.alias("provincia"), "nacionalidad", tail.alias("sexo"), "text")
+    wide = RS.pivot_first(long, [*keys, "provincia", "nacionalidad"], "sexo", "text", ["Total", "Hombres", "Mujeres"],
+                          order=F.col("row_idx"))
+    return wide.select(*keys, "provincia", "nacionalidad",
+                       *[N.locale_number(F.col(s)).alias(s.lower()) for s in ["Total", "Hombres", "Mujeres"]])

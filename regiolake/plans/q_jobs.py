@@ -8,6 +8,7 @@ number of dimension members and periods, not by the data volume.
 """
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import numbers as N
@@ -395,3 +396,108 @@ def job_elections(spark, sf_dir):
         F.concat(F.lit("<html><body><h1>Composición</h1><p>Grupos parlamentarios</p><table><tr><th>Partido</th>"),
                  F.col("ths"), F.lit("</tr>"), F.col("body"), F.lit("</table></body></html>")).alias("html"))
     return JB.job_elections(pages, id_col="page_id")
+
+
+# --------------------------------------------------------------------------- housing / origin table
+
+_ROMAN = ["I", "II", "III", "IV"]
+
+
+def _half_even_mean_sql(total: str, n: str) -> str:
+    """Exact mean rounded half-even to cents, in integer arithmetic (oracle side)."""
+    c = f"CAST(({total}) * 100 AS HUGEINT)"
+    q, r = f"({c} // ({n}))", f"({c} % ({n}))"
+    return (f"CAST(CASE WHEN 2 * {r} > ({n}) THEN {q} + 1 WHEN 2 * {r} = ({n}) THEN {q} + ({q} % 2) ELSE {q} END "
+            f"AS DOUBLE) / 100.0")
+
+
+def _loc(x):
+    """Spanish-locale text of an exact decimal: thousands '.', decimal ','."""
+    return F.translate(F.format_number(x.cast("double"), 2), ",.", ".,")
+
+
+@query("job_housing", covers=("JOB-10", "SRC-5", "WIN-3", "FLT-5", "RSH-5", "RSH-6", "FN-15", "FN-2", "AGG-2", "SET-2"),
+       sql=f"""
+{W},
+q AS (SELECT yr, CAST(quarter(o_orderdate) AS INTEGER) AS qt, r_name, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS s
+      FROM geo GROUP BY 1, 2, 3),
+e AS (SELECT yr AS year, CASE r_name WHEN 'AFRICA' THEN 'Álava' WHEN 'AMERICA' THEN 'Bizkaia' ELSE 'Gipuzkoa' END AS province,
+             'Province' AS region_type,
+             {_half_even_mean_sql('SUM(s)', 'COUNT(*)')} AS price_per_m2, 'Eustat' AS source
+      FROM q WHERE r_name IN ('AFRICA', 'AMERICA', 'ASIA') GROUP BY 1, 2),
+m AS (SELECT yr, n_name, CAST(quarter(o_orderdate) AS INTEGER) AS qt, COUNT(*) AS n FROM geo GROUP BY 1, 2, 3),
+s AS (SELECT yr AS year, 'Nation_' || substr(n_name, 8) AS province, 'Province' AS region_type,
+             {_half_even_mean_sql('SUM(n)', 'COUNT(*)')} AS price_per_m2, 'MIVAU' AS source
+      FROM m GROUP BY 1, 2)
+SELECT * FROM e UNION ALL SELECT * FROM s
+""")
+def job_housing(spark, sf_dir):
+    g = geo_orders(cat(spark, sf_dir)).withColumn("qt", F.quarter("o_orderdate"))
+    m = N.money("o_totalprice")
+
+    def rsum(cond):
+        return F.sum(F.when(cond, m))
+    r = F.col("r_name")
+    st = F.col("o_orderstatus")
+    cols = [F.sum(m), rsum(st == "F"), rsum(st == "O")]
+    for reg in ["AFRICA", "AMERICA", "ASIA"]:
+        cols += [rsum(r == reg), rsum((r == reg) & (st == "F")), rsum((r == reg) & (st == "O"))]
+    q = g.groupBy("yr", "qt").agg(*[c.alias(f"v{i}") for i, c in enumerate(cols)])
+    roman = F.element_at(F.array(*[F.lit(x) for x in _ROMAN]), F.col("qt"))
+    qline = F.concat_ws(";", roman, *[F.coalesce(_loc(F.col(f"v{i}")), F.lit("")) for i in range(12)])
+    lines = q.select("yr", F.col("qt").alias("k"), qline.alias("line")).unionByName(
+        q.select("yr").distinct().select("yr", F.lit(0).alias("k"),
+                                         F.concat(F.col("yr").cast("string"), F.lit(";" * 12)).alias("line")))
+    # one file: 4 title lines, then per year a year line followed by its quarter lines (years x 5 lines)
+    eustat = lines.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("yr", "k", "line"))),
+                                                lambda x: x["line"]), "\n").alias("body")) \
+        .select(F.concat(F.lit("Precio vivienda\nEuskadi\n(euros/m2)\n;;;\n"), F.col("body")).alias("content"))
+    # ministry workbook: one sheet per year, 13 title rows, header row 13, one row per nation
+    cnt = g.groupBy("yr", "n_name", "qt").agg(F.count(F.lit(1)).cast("string").alias("value"))
+    nk = F.regexp_extract("n_name", r"(\d+)$", 1).cast("int")
+    sheet = F.concat(F.lit("Precios vivienda "), F.col("yr").cast("string"))
+    body = cnt.select(sheet.alias("sheet"), (14 + nk).alias("row_idx"), (1 + F.col("qt")).alias("col_idx"), "value")
+    labels = cnt.select("yr", "n_name").distinct().select(sheet.alias("sheet"), (14 + nk).alias("row_idx"),
+                                                        F.lit(1).alias("col_idx"), F.col("n_name").alias("value"))
+    years = cnt.select("yr").distinct()
+    head = years.select(sheet.alias("sheet"), F.lit(13).alias("row_idx"), F.explode(F.array(
+        *[F.struct(F.lit(i + 2).alias("c"), F.lit(f"{i + 1}º Trimestre").alias("v")) for i in range(4)])).alias("h")) \
+        .select("sheet", "row_idx", F.col("h.c").alias("col_idx"), F.col("h.v").alias("value"))
+    title = years.select(sheet.alias("sheet"), F.lit(0).alias("row_idx"), F.lit(0).alias("col_idx"),
+                         F.lit("Valor tasado de vivienda libre").alias("value"))
+    cells = body.unionByName(labels).unionByName(head).unionByName(title)
+    return JB.job_housing(eustat, cells).select("year", "province", "region_type", "price_per_m2", "source")
+
+
+@query("job_origin_table", covers=("JOB-15", "RSH-8", "RSH-2", "RSH-3", "FN-4"), sql="""
+SELECT r.r_name AS provincia, c.c_mktsegment AS nacionalidad, CAST(COUNT(*) AS DOUBLE) AS total,
+       CAST(COUNT(*) FILTER (WHERE c.c_acctbal < 0) AS DOUBLE) AS hombres,
+       CAST(COUNT(*) FILTER (WHERE c.c_acctbal >= 0) AS DOUBLE) AS mujeres
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+GROUP BY 1, 2
+""")
+def job_origin_table(spark, sf_dir):
+    """Two-level header table: province over (Total, Hombres, Mujeres), one row per segment."""
+    c = cat(spark, sf_dir)
+    cu = c["customer"].select("c_mktsegment", "c_acctbal", F.col("c_nationkey").alias("n_nationkey")) \
+        .join(F.broadcast(c["nation"].select("n_nationkey", "n_regionkey")), on="n_nationkey")
+    a = cu.groupBy("n_regionkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("t"),
+                                                       F.count_if(F.col("c_acctbal") < 0).alias("h"),
+                                                       F.count_if(F.col("c_acctbal") >= 0).alias("m"))
+    segs = a.select("c_mktsegment").distinct()
+    # segments are a small fixed domain: a global rank over the distinct values is bounded
+    seg_row = segs.select("c_mktsegment", (F.dense_rank().over(Window.orderBy("c_mktsegment")) + 1).alias("row_idx"))
+    fmt = lambda x: F.when(x >= 1000, F.translate(F.format_number(x, 0), ",", ".")).otherwise(x.cast("string"))  # noqa
+    body = a.join(seg_row, on="c_mktsegment").select(
+        "row_idx", F.inline(F.array(*[F.struct((1 + F.col("n_regionkey") * 3 + k).alias("col_idx"), fmt(F.col(v)).alias("text"))
+                                      for k, v in enumerate(["t", "h", "m"])])))
+    natc = seg_row.select("row_idx", F.lit(0).alias("col_idx"), F.col("c_mktsegment").alias("text"))
+    reg = c["region"]
+    top = reg.select(F.lit(0).alias("row_idx"), F.inline(F.array(*[F.struct(
+        (1 + F.col("r_regionkey") * 3 + k).alias("col_idx"), (F.col("r_name") if k == 0 else F.lit("")).alias("text"))
+        for k in range(3)])))
+    sub = reg.select(F.lit(1).alias("row_idx"), F.inline(F.array(*[F.struct(
+        (1 + F.col("r_regionkey") * 3 + k).alias("col_idx"), F.lit(s).alias("text"))
+        for k, s in enumerate(["Total", "Hombres", "Mujeres"])])))
+    cells = body.unionByName(natc).unionByName(top).unionByName(sub).withColumn("table", F.lit("origin"))
+    return JB.job_origin_table(cells).select("provincia", "nacionalidad", "total", "hombres", "mujeres")

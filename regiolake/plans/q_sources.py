@@ -410,3 +410,25 @@ def rsh_flatten_header(spark, sf_dir):
                     F.lit("customers").alias("text"))
     f = RS.flatten_header(R.union_all([top, top_blank, bot, bot2]), ["tbl"])
     return f.select(F.col("col_idx").cast("int").alias("col_idx"), "column_name")
+
+
+@query("src_latest_file", covers=("SRC-12", "SNK-1"), sql="""
+SELECT n.n_name, CAST(COUNT(*) AS BIGINT) AS n_orders
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+WHERE year(o.o_orderdate) = (SELECT MAX(year(o_orderdate)) FROM orders)
+GROUP BY 1
+""")
+def src_latest_file(spark, sf_dir):
+    """Write one small CSV per year (nation counts), then read back only the file whose path
+    sorts last: the latest year."""
+    from ..session import scratch_path
+    from ..sources.catalog import latest_file
+    from ..sources.sinks import write_csv
+    g = geo_orders(cat(spark, sf_dir))
+    agg = g.groupBy("yr", "n_name").agg(F.count(F.lit(1)).alias("n_orders"))
+    base = scratch_path(spark, "yearly")
+    # one file per year folder: the per-year aggregate is small (one row per nation)
+    write_csv(agg.repartition("yr"), base, partition_by=["yr"])
+    last = latest_file(spark, f"{base}/yr=*/*.csv", fmt="csv", by="file_path",
+                       options={"header": "true", "inferSchema": "false"})
+    return last.select("n_name", F.col("n_orders").cast("long").alias("n_orders"))

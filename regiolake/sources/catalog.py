@@ -53,12 +53,14 @@ class Catalog:
         return out
 
 
-def latest_file(spark: SparkSession, pattern: str, fmt: str = "binaryFile") -> DataFrame:
-    """SRC-12: rows of the file whose *name* sorts last among those matching ``pattern``.
+def latest_file(spark: SparkSession, pattern: str, fmt: str = "binaryFile", by: str = "file_name",
+                options: Mapping[str, str] | None = None) -> DataFrame:
+    """SRC-12: rows of the file whose name (``by="file_name"``) or full path
+    (``by="file_path"``) sorts last among those matching ``pattern``.
 
-    The choice is made inside the plan (``max`` of ``_metadata.file_name``,
-    a one-row scalar subquery); no listing happens on the driver.
+    The choice is made inside the plan (``max`` over the ``_metadata`` column,
+    a one-row aggregate used as a semi-join key); no listing happens on the driver.
     """
-    df = spark.read.format(fmt).load(pattern).withColumn("__file", F.col("_metadata.file_name"))
+    df = spark.read.format(fmt).options(**(options or {})).load(pattern).withColumn("__file", F.col(f"_metadata.{by}"))
     last = df.agg(F.max("__file").alias("__file"))
     return df.join(F.broadcast(last), on="__file", how="left_semi").drop("__file")
