@@ -71,7 +71,8 @@ def melt_year_map(df: DataFrame, ids: Sequence[str], cols: Sequence[str], years:
     years found in a sheet name); when there are fewer years the last one repeats."""
     arr = F.array(*[F.struct(F.lit(i + 1).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(cols)])
     x = df.select(*ids, years.alias("__years"), F.inline(arr))
-    y = F.try_element_at(F.col("__years"), F.least(F.col("i"), F.size("__years")).cast("int"))
+    y = F.when(F.size("__years") > 0,
+               F.try_element_at(F.col("__years"), F.least(F.col("i"), F.size("__years")).cast("int")))
     return x.select(*ids, y.alias("year"), F.col("i").alias("col_pos"), F.col("v").alias(value_name))
 
 

@@ -302,7 +302,9 @@ def housing_sheets(cells: DataFrame, skip_rows: int = 13, min_rows: int = 5) ->
     w_rank = F.dense_rank().over(Window.partitionBy("sheet").orderBy("col_idx"))
     quarters = quarters.select("sheet", "col_idx", w_rank.alias("q_pos"))
     years = X.years_in(F.col("sheet"))
-    quarters = quarters.withColumn("year", F.try_element_at(years, F.least(F.col("q_pos"), F.size(years)).cast("int")))
+    # a sheet name without a year gives no year (the sheet is skipped)
+    quarters = quarters.withColumn("year", F.when(F.size(years) > 0, F.try_element_at(
+        years, F.least(F.col("q_pos"), F.size(years)).cast("int"))))
     prov = body.where(F.col("col_idx") == 1).select("sheet", "row_idx", F.col("value").alias("prov"))
     vals = body.join(quarters, on=["sheet", "col_idx"], how="inner").join(prov, on=["sheet", "row_idx"], how="inner")
     vals = vals.join(n_rows.where(F.col("n_rows") >= min_rows), on="sheet", how="left_semi")

@@ -114,3 +114,49 @@ def test_elections_html_table(spark):
     pages = spark.createDataFrame([(1, html)], "page_id long, html string")
     got = rows(J.job_elections(pages), "year", "month", "party_name", "seats")
     assert got == [("", "", "PNV", 1), ("1990", "dic.", "EA", 10), ("1990", "mayo", "EA", 9), ("1990", "mayo", "PNV", 22)]
+
+
+def test_housing_eustat_quarters(spark):
+    pad = ";" * 12
+    text = ("t1\nt2\nt3\nt4\n"
+            f"2020{pad}\n"
+            "I;1;1;1;1.000,5;0;0;2.000;0;0;3.000;0;0\n"
+            "II;1;1;1;1.001,5;0;0;2.002;0;0;..;0;0\n"
+            "demasiados;1;2;3;4;5;6;7;8;9;10;11;12;13\n"
+            f"2021{pad}\n"
+            "I;1;1;1;10;0;0;20;0;0;30;0;0\n")
+    got = rows(J.housing_eustat(_raw(spark, text)), "year", "province", "price_per_m2", "source")
+    assert got == [(2020, "Bizkaia", 2001.0, "Eustat"), (2020, "Gipuzkoa", 3000.0, "Eustat"),
+                   (2020, "Álava", 1001.0, "Eustat"),                      # (1000.5 + 1001.5) / 2
+                   (2021, "Bizkaia", 20.0, "Eustat"), (2021, "Gipuzkoa", 30.0, "Eustat"), (2021, "Álava", 10.0, "Eustat")]
+
+
+def _sheet(name, rows_, header=("", "Provincia", "1º T", "2º T", "3º T")):
+    cells = [(name, 0, 0, "titulo")]
+    cells += [(name, 13, j, h) for j, h in enumerate(header)]
+    for i, r in enumerate(rows_):
+        cells += [(name, 14 + i, j, v) for j, v in enumerate(r) if v is not None]
+    return cells
+
+
+def test_housing_sheets_rules(spark):
+    body = [(None, "araba/álava", "100", "200", "300"), (None, "CASTILLA Y LEÓN", "10", None, "20"),
+            (None, "Vizcaya", "5", "5", "5"), (None, "x", None, None, None), (None, "y", "1", "1", "1"),
+            (None, "z", "2", "2", "2")]
+    cells = (_sheet("Precios 2019-2020", body) + _sheet("Sin año", body) +
+             _sheet("Precios 2021", body[:3]))                           # fewer than 5 rows: skipped
+    df = spark.createDataFrame(cells, "sheet string, row_idx int, col_idx int, value string")
+    got = {(r.year, r.province): (r.region_type, r.price_per_m2) for r in J.housing_sheets(df).collect()}
+    # 1st quarter -> 2019, 2nd and 3rd -> 2020 (last year repeats)
+    assert got[(2019, "Araba/Álava")] == ("Province", 100.0)
+    assert got[(2020, "Araba/Álava")] == ("Province", 250.0)             # title-cased, one rewrite only (N8)
+    assert got[(2019, "Castilla Y León")] == ("CCAA", 10.0)              # case-folded CCAA lookup (N7)
+    assert got[(2020, "Bizkaia")] == ("Province", 5.0)
+    assert not [k for k in got if k[0] == 2021]
+
+
+def test_origin_table_two_level_header(spark):
+    cells = [("t", 0, 1, "Bizkaia"), ("t", 0, 2, ""), ("t", 0, 3, ""), ("t", 1, 1, "Total"), ("t", 1, 2, "Hombres"),
+             ("t", 1, 3, "Mujeres"), ("t", 2, 0, "Magreb"), ("t", 2, 1, "1.234"), ("t", 2, 2, "600"), ("t", 2, 3, "634")]
+    df = spark.createDataFrame(cells, "table string, row_idx int, col_idx int, text string")
+    assert rows(J.job_origin_table(df).drop("table")) == [("Bizkaia", "Magreb", 1234.0, 600.0, 634.0)]
