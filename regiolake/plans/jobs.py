@@ -108,7 +108,9 @@ def job_detentions(cubes: DataFrame, content_col: str = "content", dims=("Provin
     is_region = raw.rlike(r"^\d+\.-")
     is_country = raw.rlike(r"^\d+\.\d+\.-")
     c = c.withColumn("__part", F.concat_ws("|", *[F.col(p).cast("string") for p in part]) if part else F.lit(""))
-    c = R.carry_down(c, ["__part"], "__pos", is_region, X.strip_numeric_prefix(raw), name="region", drop_headers=True)
+    # blocked prefix scan: a large cube (one file, one province) is still filled in parallel
+    c = R.carry_down(c, ["__part"], "__pos", is_region, X.strip_numeric_prefix(raw), name="region", drop_headers=True,
+                     block=4096)
     out = c.where(is_country).select(
         "province", "region", X.strip_numeric_prefix(raw).alias("nationality"), "sex",
         F.col("year").try_cast("int").alias("year"), N.locale_number("raw").alias("vnum"))
@@ -269,7 +271,7 @@ def housing_eustat(raw: DataFrame, content_col: str = "content", skip: int = 4)
     t = TT.parse_delimited(raw, content_col, EUSTAT_HOUSING_COLS, skip=skip, header=False, sep=";",
                            keep=["__file"], min_fields=13, max_fields=13)
     t = t.withColumn("year", F.col("trimestre").try_cast("int"))
-    t = R.forward_fill(t, ["__file"], "line_no", ["year"])
+    t = R.forward_fill(t, ["__file"], "line_no", ["year"], block=4096)
     t = t.where(F.col("trimestre").rlike(r"^[IVX]+$"))
     stacked = RS.stack_groups(t, ["year"], [(prov, {"price": col}) for prov, col in EUSTAT_HOUSING_PROVINCES],
                               label_name="province")
