@@ -122,3 +122,15 @@ def exact_mean(sum_col: ColumnOrName, count_col: ColumnOrName) -> Column:
 def first_truthy(*cols: ColumnOrName) -> Column:
     """FN-19: first of several values that is neither NULL nor empty text."""
     return F.coalesce(*[F.nullif(_c(c).cast("string"), F.lit("")) for c in cols])
+
+
+def year_between(ts: ColumnOrName, first: int | None = None, last: int | None = None) -> Column:
+    """``first <= year(ts) <= last`` written as a timestamp range, so Parquet can use it for
+    row-group pruning (a predicate on ``year(ts)`` cannot be pushed to the scan)."""
+    c = _c(ts)
+    cond = F.lit(True)
+    if first is not None:
+        cond = cond & (c >= F.make_timestamp_ntz(F.lit(first), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
+    if last is not None:
+        cond = cond & (c < F.make_timestamp_ntz(F.lit(last + 1), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
+    return cond

@@ -37,7 +37,7 @@ def prj_headline_slice(spark, sf_dir):
     return (o.where((F.col("o_orderstatus") == "F")
                     & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW")
                     & (F.col("o_orderpriority") != "5-LOW")
-                    & (F.year("o_orderdate") <= 2000))
+                    & N.year_between("o_orderdate", last=2000))   # range form: pushed to the Parquet scan
              .select(F.col("o_orderkey").alias("order_id"), F.year("o_orderdate").cast("int").alias("year"),
                      F.col("o_orderpriority").alias("category"), F.col("o_totalprice").alias("amount"),
                      F.lit("F").alias("source"), F.lit(2024).alias("load_year")))

@@ -28,7 +28,7 @@ def _sources(spark, sf_dir):
     def src(status, max_yr=None):
         d = g.where(F.col("o_orderstatus") == status)
         if max_yr is not None:
-            d = d.where(F.col("yr") <= max_yr)
+            d = d.where(N.year_between("o_orderdate", last=max_yr))
         return d.groupBy("n_name", "yr").agg(F.count(F.lit(1)).alias("v"))
     return src("F", 1997), src("O", 1999), src("P")
 

@@ -194,3 +194,11 @@ def test_reshape_roundtrip(spark):
     ym = RS.melt_year_map(spark.createDataFrame([(1, 5, 6, 7)], "id int, q1 int, q2 int, q3 int"), ["id"],
                           ["q1", "q2", "q3"], F.array(F.lit(2019), F.lit(2020)))
     assert rows(ym) == [(1, 2019, 1, "5"), (1, 2020, 2, "6"), (1, 2020, 3, "7")]
+
+
+def test_year_between_is_a_pushable_range(spark):
+    df = spark.createDataFrame([("1999-12-31 23:59:59",), ("2000-01-01 00:00:00",), ("2001-01-01 00:00:00",)],
+                               "s string").select(F.col("s").cast("timestamp_ntz").alias("ts"))
+    got = [r.ts.year for r in df.where(N.year_between("ts", 2000, 2000)).collect()]
+    assert got == [2000]
+    assert len(df.where(N.year_between("ts", last=2000)).collect()) == 2
