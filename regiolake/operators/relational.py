@@ -39,7 +39,8 @@ _AGGS = {
 
 
 def conditional_pivot(df: DataFrame, by: Sequence[str], on: ColumnOrName, measure: ColumnOrName,
-                      values: Mapping[str, object], agg: str = "sum", else_value=None) -> DataFrame:
+                      values: Mapping[str, object], agg: str = "sum", else_value=None,
+                      extra: Sequence[Column] = ()) -> DataFrame:
     """AGG-3/4/5: one output column per ``label -> category value``.
 
     ``agg(CASE WHEN on = value THEN measure ELSE else_value END)``; use
@@ -55,7 +56,8 @@ def conditional_pivot(df: DataFrame, by: Sequence[str], on: ColumnOrName, measur
         if else_value is not None:
             branch = branch.otherwise(F.lit(else_value))
         exprs.append(fn(branch).alias(label))
-    return df.groupBy(*by).agg(*exprs)
+    # ``extra`` aggregates (e.g. a row count) are computed in the same pass
+    return df.groupBy(*by).agg(*exprs, *extra)
 
 
 def latest_snapshot(df: DataFrame, period: Sequence[str] | str, order: ColumnOrName) -> DataFrame:

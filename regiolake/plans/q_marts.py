@@ -357,20 +357,23 @@ def mdl_labour(spark, sf_dir):
     c = cat(spark, sf_dir)
     g = _g(c)
     keys = ["year", "province_std"]
-    # --- rates: one scan, conditional-avg pivot per rate type (replaces three views + three-way join)
-    src = g.select(
+    # one pass over the orders star at the grain every branch needs, written once
+    lb = materialize(g.groupBy(F.col("yr").alias("year"), (F.col("mon") <= 6).alias("h1"), "province_std", "r_name",
+                               "n_name", "o_orderpriority", "o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(N.money("o_totalprice")).alias("rev"),
+        F.count("o_totalprice").alias("n_priced"), F.max("o_totalprice").alias("max_price")), "labour_base")
+    # --- rates: conditional-avg pivot per rate type (replaces three views + three-way join)
+    src = lb.where(F.col("h1")).select(   # quarter = 'Annual average'
         L.bucket("o_orderpriority", [("Activity rate", ["1-URGENT", "2-HIGH"]), ("Employment rate", ["3-MEDIUM"])],
-                 "Unemployment rate").alias("rate_type"),
-        "province_std", F.col("yr").alias("year"), F.col("mon"),
+                 "Unemployment rate").alias("rate_type"), "province_std", "year",
         F.when(F.col("n_name").isin(_SPANISH_NATIONS), "Spanish nationality").otherwise("Foreign nationality")
-        .alias("nationality"), N.money("o_totalprice").alias("value"))
-    src = src.where(F.col("mon") <= 6)  # quarter = 'Annual average'
+        .alias("nationality"), "rev", "n_priced")
     nat = F.col("nationality")
     stg = src.groupBy("rate_type", *keys).agg(
-        F.sum(F.when(nat == "Spanish nationality", F.col("value"))).alias("ss"),
-        F.count(F.when(nat == "Spanish nationality", F.col("value"))).alias("sn"),
-        F.sum(F.when(nat == "Foreign nationality", F.col("value"))).alias("fs"),
-        F.count(F.when(nat == "Foreign nationality", F.col("value"))).alias("fn"))
+        F.sum(F.when(nat == "Spanish nationality", F.col("rev"))).alias("ss"),
+        F.sum(F.when(nat == "Spanish nationality", F.col("n_priced"))).alias("sn"),
+        F.sum(F.when(nat == "Foreign nationality", F.col("rev"))).alias("fs"),
+        F.sum(F.when(nat == "Foreign nationality", F.col("n_priced"))).alias("fn"))
     stg = stg.select("rate_type", *keys,
                      N.fixed(N.exact_mean("ss", F.nullif("sn", F.lit(0))) / 1000.0, 1).alias("spanish_nationality"),
                      N.fixed(N.exact_mean("fs", F.nullif("fn", F.lit(0))) / 1000.0, 1).alias("foreign_nationality"))
@@ -387,25 +390,25 @@ def mdl_labour(spark, sf_dir):
                  F.col("u_f").alias("unemployment_rate"), F.col("e_f").alias("employment_rate"))])
     # --- volumes: Foreign = sum of leaf nationalities, Spanish = Total - Foreign (TS-4 residual)
     st = F.col("o_orderstatus")
-    leaf = g.where(F.col("r_name").isin("ASIA", "AFRICA")).select(F.col("yr").alias("year"), F.lit("Foreign").alias("cat"), st)
-    tot = g.select(F.col("yr").alias("year"), F.lit("Total").alias("cat"), st)
+    leaf = lb.where(F.col("r_name").isin("ASIA", "AFRICA")).withColumn("cat", F.lit("Foreign"))
+    tot = lb.withColumn("cat", F.lit("Total"))
     vsrc = R.union_all([leaf, tot]).select(
-        "year", "cat", (st == "F").cast("long").alias("employed"), (st == "O").cast("long").alias("unemployed"),
-        (st == "P").cast("long").alias("inactive"), F.lit(1).cast("long").alias("total"))
+        "year", "cat", *[F.when(st == s_, F.col("n")).otherwise(F.lit(0)).cast("long").alias(m)
+                         for s_, m in [("F", "employed"), ("O", "unemployed"), ("P", "inactive")]],
+        F.col("n").cast("long").alias("total"))
     measures = ["employed", "unemployed", "inactive", "total"]
     volumes = S.residual(vsrc, ["year"], "cat", measures, "Total", ["Foreign"], "Foreign", "Spanish") \
         .withColumnRenamed("cat", "nationality")
     # --- sector mix: ratio of two conditional aggregates
-    sec = R.union_all([g.select(F.col("yr").alias("year"), F.col("o_orderpriority").alias("sector"), "r_name"),
-                       g.select(F.col("yr").alias("year"), F.lit("Total").alias("sector"), "r_name")])
+    sec = R.union_all([lb.select("year", F.col("o_orderpriority").alias("sector"), "r_name", "n"),
+                       lb.select("year", F.lit("Total").alias("sector"), "r_name", "n")])
     sec = sec.withColumn("nationality", L.bucket("r_name", [("Spanish", ["EUROPE"]), ("Foreign", ["ASIA", "AFRICA"])],
                                                   "Other"))
-    sec = sec.groupBy("year", "sector", "nationality").agg(F.count(F.lit(1)).alias("employed"))
+    sec = sec.groupBy("year", "sector", "nationality").agg(F.sum("n").alias("employed"))
     mix = R.conditional_pivot(sec.where(F.col("nationality").isin("Spanish", "Foreign")), ["year", "nationality"],
                               "sector", "employed", {"u": "1-URGENT", "l": "5-LOW", "t": "Total"}, agg="max")
     mix = mix.select("year", "nationality", N.pct("u", "t").alias("pct_urgent"), N.pct("l", "t").alias("pct_low"))
-    earn = g.groupBy(F.col("yr").alias("year")).agg(
-        N.fixed(F.max(F.when(st == "F", F.col("o_totalprice"))), 2).alias("max_price_f"))
+    earn = lb.groupBy("year").agg(N.fixed(F.max(F.when(st == "F", F.col("max_price"))), 2).alias("max_price_f"))
     out = R.left_enrich(rates, (volumes, ["year", "nationality"]), (mix, ["year", "nationality"]), (earn, ["year"]))
     return out.select("year", "nationality", "activity_rate", "employment_rate", "unemployment_rate",
                       *[F.col(m).cast("long").alias(m) for m in measures],

@@ -53,20 +53,24 @@ LEFT JOIN p ON t.year = p.year
 
 def crime_rates(orders, geo, foreign_filter, foreign_flag):
     """MDL-22 composition: AGG-3 pivot of events, AGG-1 of foreign events, distinct
-    population per year, JN-2 + JN-4, then FN-8..11."""
-    t = (R.conditional_pivot(orders.withColumn("year", F.year("o_orderdate").cast("int"))
-                             .withColumn("one", F.lit(1)),
-                             ["year"], "o_orderstatus", "one", {"events_f": "F", "events_o": "O"},
-                             agg="sum", else_value=0)
-         .join(orders.groupBy(F.year("o_orderdate").cast("int").alias("year"))
-               .agg(F.count(F.lit(1)).alias("total_events")), on="year"))
-    f = geo.where(foreign_filter).groupBy(F.col("yr").alias("year")).agg(F.count(F.lit(1)).alias("foreign_events"))
+    population per year, JN-2 + JN-4, then FN-8..11.
+
+    Two scans in total: ``orders`` once for the yearly event pivot (with the total
+    count in the same aggregate), and the order star once, pre-aggregated per
+    (year, customer) so that foreign events, population and foreign population all
+    come from that one aggregate."""
+    t = R.conditional_pivot(orders.withColumn("year", F.year("o_orderdate").cast("int")).withColumn("one", F.lit(1)),
+                            ["year"], "o_orderstatus", "one", {"events_f": "F", "events_o": "O"},
+                            agg="sum", else_value=0, extra=[F.count(F.lit(1)).alias("total_events")])
     # distinct active customers per year: de-duplicate (yr, custkey) first, then count
-    per_cust = geo.groupBy("yr", "o_custkey").agg(F.max(foreign_flag.cast("int")).alias("is_foreign"))
-    p = per_cust.groupBy(F.col("yr").alias("year")).agg(
+    per_cust = geo.groupBy("yr", "o_custkey").agg(F.max(foreign_flag.cast("int")).alias("is_foreign"),
+                                                  F.count_if(foreign_filter).alias("fe"))
+    pf = per_cust.groupBy(F.col("yr").alias("year")).agg(
         F.count(F.lit(1)).alias("total_population"),
-        F.sum("is_foreign").cast("long").alias("foreign_population"))
-    j = t.join(f, on="year", how="inner").join(p, on="year", how="left")
+        F.sum("is_foreign").cast("long").alias("foreign_population"),
+        F.sum("fe").cast("long").alias("foreign_events"))
+    # inner join with the foreign events (years with at least one), as the view's JOIN does
+    j = t.join(pf.where(F.col("foreign_events") > 0), on="year", how="inner")
     return j.select(
         "year", "total_population", "foreign_population",
         N.complement("total_population", "foreign_population").alias("rest_population"),

@@ -46,17 +46,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must already be set to a shared file system path.  Only
-    when it is unset (local tests) do we pick a folder of our own.
+    when it is unset (local tests) do we pick a folder of our own, and register it
+    with ``setCheckpointDir`` (a core setting cannot be changed through
+    ``spark.conf`` at runtime).
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = sc.getConf().get("spark.checkpoint.dir", None)
+    if not d:
+        try:
+            d = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001 - not readable through the SQL conf on some versions
+            d = None
+    if not d:
+        d = _LOCAL_CKPT.get(id(sc))
     if not d:
         d = tempfile.mkdtemp(prefix="regiolake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        _LOCAL_CKPT[id(sc)] = d
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
+_LOCAL_CKPT: dict[int, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), "regiolake", f"{name}-{uuid.uuid4().hex}")

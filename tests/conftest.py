@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -11,9 +10,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from regiolake.session import build_session
     s = build_session("local[4]", app="regiolake-tests", shuffle_partitions=4)
-    # tests own their checkpoint folder only when the session has none
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="regiolake-test-ckpt-"))
+    # tests own their checkpoint folder only when the session has none (checkpoint_dir decides)
+    from regiolake.session import checkpoint_dir
+    checkpoint_dir(s)
     yield s
 
 
