@@ -60,10 +60,8 @@ def check(df: DataFrame, c: Contract) -> DataFrame:
     cols = set(df.columns)
     parts: list[DataFrame] = []
 
-    # DQ-1: required columns (schema only)
+    # DQ-1: required columns (schema only; emitted with the aggregate's rows below)
     missing = [x for x in c.required_columns if x not in cols]
-    parts.append(_row(spark, c.dataset, "required_columns", ",".join(missing) or None, len(missing),
-                      "ERROR" if missing else "OK"))
 
     # one pass for every per-row predicate
     preds: list[tuple[str, str, Column, str]] = [("rows", None, F.lit(True), "INFO")]
@@ -76,24 +74,21 @@ def check(df: DataFrame, c: Contract) -> DataFrame:
     preds += [("accepted_values", k, F.col(k).isNotNull() & ~F.col(k).isin(list(v)), "ERROR")
               for k, v in c.accepted_values.items() if k in cols]
     agg = df.agg(*[F.count_if(p).alias(f"c{i}") for i, (_, _, p, _) in enumerate(preds)])
-    stack = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("check_name"), F.lit(col).cast("string").alias("column_name"),
-                 F.col(f"c{i}").alias("n_failed"), F.lit(level).alias("level"))
-        for i, (name, col, _, level) in enumerate(preds)]))
-    long = agg.select(stack.alias("s")).select("s.*")
-    long = long.select(F.lit(c.dataset).alias("dataset"), "check_name", "column_name", "n_failed",
-                       F.when(F.col("level") == "INFO", F.lit("OK")).otherwise(_sev(F.col("n_failed"), "WARNING"))
-                       .alias("__w"), "level")
-    # not_null / accepted_values are column tests: failures are errors; the others are warnings
-    long = long.select("dataset", "check_name", "column_name", "n_failed",
-                       F.when(F.col("level") == "ERROR", _sev(F.col("n_failed"), "ERROR"))
-                       .otherwise(F.col("__w")).alias("severity"))
+    entries = [F.struct(F.lit(name).alias("check_name"), F.lit(col).cast("string").alias("column_name"),
+                        F.col(f"c{i}").alias("n_failed"),
+                        (F.lit("OK") if level == "INFO" else _sev(F.col(f"c{i}"), level)).alias("severity"))
+               for i, (name, col, _, level) in enumerate(preds)]
+    entries.insert(0, F.struct(F.lit("required_columns").alias("check_name"),
+                               F.lit(",".join(missing) or None).cast("string").alias("column_name"),
+                               F.lit(len(missing)).cast("long").alias("n_failed"),
+                               F.lit("ERROR" if missing else "OK").alias("severity")))
+    # DQ-6: an empty table is an error (from the same one-row aggregate: "rows" is c0)
+    entries.append(F.struct(F.lit("empty").alias("check_name"), F.lit(None).cast("string").alias("column_name"),
+                            (F.col("c0") == 0).cast("long").alias("n_failed"),
+                            F.when(F.col("c0") == 0, F.lit("ERROR")).otherwise(F.lit("OK")).alias("severity")))
+    long = agg.select(F.explode(F.array(*entries)).alias("s")).select(
+        F.lit(c.dataset).alias("dataset"), "s.check_name", "s.column_name", "s.n_failed", "s.severity")
     parts.append(long)
-    # DQ-6: an empty table is an error
-    parts.append(long.where(F.col("check_name") == "rows").select(
-        "dataset", F.lit("empty").alias("check_name"), F.lit(None).cast("string").alias("column_name"),
-        (F.col("n_failed") == 0).cast("long").alias("n_failed"),
-        F.when(F.col("n_failed") == 0, F.lit("ERROR")).otherwise(F.lit("OK")).alias("severity")))
 
     # DQ-3: duplicate logical keys: surplus rows (pre-load metric) and duplicated groups (post-load metric)
     pk = [k for k in c.pk if k in cols]
