@@ -69,12 +69,12 @@ def contract_sql(c: Q.Contract, checks: set[str] | None = None) -> list[str]:
     if want("required_columns"):
         missing = [x for x in c.required_columns if x not in cols]
         out.append(f"SELECT {d} AS dataset, 'required_columns' AS check_name, "
-                   f"{_q(','.join(missing)) if missing else 'NULL'} AS column_name, "
+                   f"{_q(','.join(missing)) if missing else 'CAST(NULL AS VARCHAR)'} AS column_name, "
                    f"CAST({len(missing)} AS BIGINT) AS n_failed, {_q('ERROR' if missing else 'OK')} AS severity")
     if want("rows"):
-        out.append(f"SELECT {d}, 'rows', NULL, CAST(COUNT(*) AS BIGINT), 'OK' FROM {t}")
+        out.append(f"SELECT {d}, 'rows', CAST(NULL AS VARCHAR), CAST(COUNT(*) AS BIGINT), 'OK' FROM {t}")
     if want("empty"):
-        out.append(f"SELECT {d}, 'empty', NULL, CAST(CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END AS BIGINT), "
+        out.append(f"SELECT {d}, 'empty', CAST(NULL AS VARCHAR), CAST(CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END AS BIGINT), "
                    f"CASE WHEN COUNT(*) = 0 THEN 'ERROR' ELSE 'OK' END FROM {t}")
     for k in c.pk:
         if want("null_pk"):
