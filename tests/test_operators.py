@@ -202,3 +202,12 @@ def test_year_between_is_a_pushable_range(spark):
     got = [r.ts.year for r in df.where(N.year_between("ts", 2000, 2000)).collect()]
     assert got == [2000]
     assert len(df.where(N.year_between("ts", last=2000)).collect()) == 2
+
+
+def test_catalog_views_and_counts(spark):
+    from regiolake.sources.catalog import Catalog
+    c = Catalog(spark, "/root/testdata/sf0.001")
+    c.register_views(prefix="t_")
+    assert spark.sql("SELECT COUNT(*) AS n FROM t_region").first()["n"] == 5
+    counts = {r.table_name: r.row_count for r in c.row_counts().collect()}
+    assert counts["nation"] == 25 and len(counts) == 14
