@@ -1,0 +1,10 @@
+"""Streaming: intentionally empty.
+
+The surveyed pipeline is batch only: full-refresh loads, no watermark, window,
+stateful operator, late data or incremental load (its "streaming" is chunked
+HTTP download, which is not built).  The operators of this package are plain
+DataFrame functions; those made of row-local expressions (``functions``,
+readers' parsing steps, quality predicates) apply unchanged to a streaming
+DataFrame, while the aggregate/join based ones follow Spark's own rules for
+streaming queries.
+"""

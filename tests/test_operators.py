@@ -211,3 +211,12 @@ def test_catalog_views_and_counts(spark):
     assert spark.sql("SELECT COUNT(*) AS n FROM t_region").first()["n"] == 5
     counts = {r.table_name: r.row_count for r in c.row_counts().collect()}
     assert counts["nation"] == 25 and len(counts) == 14
+
+
+def test_read_delimited_positional_and_short_lines(spark, tmp_path):
+    p = tmp_path / "padron.csv"
+    p.write_text("Nacionalidad;Provincias;Total\nTOTAL;01 Araba/Álava;12.345\ncorta;linea\nTOTAL;48 Bizkaia;..\n",
+                 encoding="utf-8")
+    df = TT.read_delimited(spark, str(p), "nat string, prov string, total string", sep=";", min_fields=3)
+    got = rows(df.select("prov", N.locale_number("total").alias("t")))
+    assert got == [("01 Araba/Álava", 12345.0), ("48 Bizkaia", None)]
