@@ -12,7 +12,6 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ..functions.numbers import safe_ratio
 from .relational import _cols, pct_change, union_all
