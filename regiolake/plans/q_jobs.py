@@ -12,6 +12,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import numbers as N
+from ..session import materialize
 from . import jobs as JB
 from .common import GEO_SQL, cat, geo_orders, nation_region
 from .q_relational import _MONTH_NAMES
@@ -372,14 +373,18 @@ FROM geo GROUP BY r_name, yr, mon, o_orderpriority
 """)
 def job_elections(spark, sf_dir):
     """One page per region: an anchor paragraph, then a table whose header cells read
-    '<month> <year>' and whose body rows are (party, seats per column)."""
+    '<month> <year>' and whose body rows are (party, seats per column).  The pages are
+    written once (they stand for the fetched files) and the job reads them."""
     g = geo_orders(cat(spark, sf_dir))
     names = F.array(*[F.lit(m) for m in _MONTH_NAMES])
     col = ((F.col("yr") - _YEARS[0]) * 12 + F.col("mon")).cast("int")
     counts = g.groupBy("r_name", "o_orderpriority", col.alias("col")).agg(F.count(F.lit(1)).alias("n"))
-    heads = g.select("r_name", col.alias("col"),
-                     F.concat(F.element_at(names, F.col("mon")), F.lit(" "), F.col("yr").cast("string")).alias("h")) \
-        .distinct()
+    counts = materialize(counts, "election_counts")
+    # header cells derive from the column number: year and month are recovered arithmetically
+    yr = (F.lit(_YEARS[0]) + F.floor((F.col("col") - 1) / 12)).cast("int")
+    mon = ((F.col("col") - 1) % 12 + 1).cast("int")
+    heads = counts.select("r_name", "col").distinct().select(
+        "r_name", "col", F.concat(F.element_at(names, mon), F.lit(" "), yr.cast("string")).alias("h"))
     # every (region, party, column) cell, empty when there are no orders (grid from the region's own columns)
     parties = counts.select("r_name", "o_orderpriority").distinct()
     grid = heads.join(parties, on="r_name").join(counts, on=["r_name", "o_orderpriority", "col"], how="left")
@@ -395,7 +400,7 @@ def job_elections(spark, sf_dir):
         F.col("r_name").alias("page_id"),
         F.concat(F.lit("<html><body><h1>Composición</h1><p>Grupos parlamentarios</p><table><tr><th>Partido</th>"),
                  F.col("ths"), F.lit("</tr>"), F.col("body"), F.lit("</table></body></html>")).alias("html"))
-    return JB.job_elections(pages, id_col="page_id")
+    return JB.job_elections(materialize(pages, "election_pages"), id_col="page_id")
 
 
 # --------------------------------------------------------------------------- housing / origin table
@@ -442,7 +447,7 @@ def job_housing(spark, sf_dir):
     cols = [F.sum(m), rsum(st == "F"), rsum(st == "O")]
     for reg in ["AFRICA", "AMERICA", "ASIA"]:
         cols += [rsum(r == reg), rsum((r == reg) & (st == "F")), rsum((r == reg) & (st == "O"))]
-    q = g.groupBy("yr", "qt").agg(*[c.alias(f"v{i}") for i, c in enumerate(cols)])
+    q = materialize(g.groupBy("yr", "qt").agg(*[c.alias(f"v{i}") for i, c in enumerate(cols)]), "housing_quarters")
     roman = F.element_at(F.array(*[F.lit(x) for x in _ROMAN]), F.col("qt"))
     qline = F.concat_ws(";", roman, *[F.coalesce(_loc(F.col(f"v{i}")), F.lit("")) for i in range(12)])
     lines = q.select("yr", F.col("qt").alias("k"), qline.alias("line")).unionByName(
@@ -453,7 +458,8 @@ def job_housing(spark, sf_dir):
                                                 lambda x: x["line"]), "\n").alias("body")) \
         .select(F.concat(F.lit("Precio vivienda\nEuskadi\n(euros/m2)\n;;;\n"), F.col("body")).alias("content"))
     # ministry workbook: one sheet per year, 13 title rows, header row 13, one row per nation
-    cnt = g.groupBy("yr", "n_name", "qt").agg(F.count(F.lit(1)).cast("string").alias("value"))
+    cnt = materialize(g.groupBy("yr", "n_name", "qt").agg(F.count(F.lit(1)).cast("string").alias("value")),
+                      "housing_counts")
     nk = F.regexp_extract("n_name", r"(\d+)$", 1).cast("int")
     sheet = F.concat(F.lit("Precios vivienda "), F.col("yr").cast("string"))
     body = cnt.select(sheet.alias("sheet"), (14 + nk).alias("row_idx"), (1 + F.col("qt")).alias("col_idx"), "value")
@@ -466,7 +472,9 @@ def job_housing(spark, sf_dir):
     title = years.select(sheet.alias("sheet"), F.lit(0).alias("row_idx"), F.lit(0).alias("col_idx"),
                          F.lit("Valor tasado de vivienda libre").alias("value"))
     cells = body.unionByName(labels).unionByName(head).unionByName(title)
-    return JB.job_housing(eustat, cells).select("year", "province", "region_type", "price_per_m2", "source")
+    # the rendered file and workbook stand for the fetched inputs: written once, read by the job
+    return JB.job_housing(materialize(eustat, "housing_file"), materialize(cells, "housing_cells")).select(
+        "year", "province", "region_type", "price_per_m2", "source")
 
 
 @query("job_origin_table", covers=("JOB-15", "RSH-8", "RSH-2", "RSH-3", "FN-4"), sql="""
@@ -481,9 +489,10 @@ def job_origin_table(spark, sf_dir):
     c = cat(spark, sf_dir)
     cu = c["customer"].select("c_mktsegment", "c_acctbal", F.col("c_nationkey").alias("n_nationkey")) \
         .join(F.broadcast(c["nation"].select("n_nationkey", "n_regionkey")), on="n_nationkey")
-    a = cu.groupBy("n_regionkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("t"),
-                                                       F.count_if(F.col("c_acctbal") < 0).alias("h"),
-                                                       F.count_if(F.col("c_acctbal") >= 0).alias("m"))
+    a = materialize(cu.groupBy("n_regionkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("t"),
+                                                                   F.count_if(F.col("c_acctbal") < 0).alias("h"),
+                                                                   F.count_if(F.col("c_acctbal") >= 0).alias("m")),
+                    "origin_counts")
     segs = a.select("c_mktsegment").distinct()
     # segments are a small fixed domain: a global rank over the distinct values is bounded
     seg_row = segs.select("c_mktsegment", (F.dense_rank().over(Window.orderBy("c_mktsegment")) + 1).alias("row_idx"))

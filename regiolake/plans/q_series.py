@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import labels as L
 from ..functions import numbers as N
 from ..operators import series as S
+from ..session import materialize
 from .common import GEO_SQL, cat, geo_orders
 from .q_relational import PRIORITY_GROUP, msum
 from .registry import query, sql_fixed, sql_money_sum, sql_ratio
@@ -23,13 +24,16 @@ s3 AS (SELECT n_name, yr, CAST(COUNT(*) AS BIGINT) AS v FROM geo WHERE o_orderst
 
 
 def _sources(spark, sf_dir):
+    """The three sources, from one pass over the order star: the (nation, year, status)
+    counts are written once and each source is a filtered read of that table."""
     g = geo_orders(cat(spark, sf_dir))
+    base = materialize(g.groupBy("n_name", "yr", "o_orderstatus").agg(F.count(F.lit(1)).alias("v")), "nys_counts")
 
     def src(status, max_yr=None):
-        d = g.where(F.col("o_orderstatus") == status)
+        d = base.where(F.col("o_orderstatus") == status)
         if max_yr is not None:
-            d = d.where(N.year_between("o_orderdate", last=max_yr))
-        return d.groupBy("n_name", "yr").agg(F.count(F.lit(1)).alias("v"))
+            d = d.where(F.col("yr") <= max_yr)
+        return d.select("n_name", "yr", "v")
     return src("F", 1997), src("O", 1999), src("P")
 
 

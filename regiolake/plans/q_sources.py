@@ -19,6 +19,7 @@ from ..sources import html as H
 from ..sources import json_series as J
 from ..sources import px as PX
 from ..sources import text_tables as TT
+from ..session import materialize
 from .common import GEO_SQL, cat, geo_orders
 from .q_relational import _MONTH_NAMES
 from .registry import query, sql_money_sum
@@ -334,7 +335,8 @@ def rsh_header_parse(spark, sf_dir):
     names = F.array(*[F.lit(m) for m in _MONTH_NAMES])
     col_idx = ((F.col("yr") - _YEARS[0]) * 12 + F.col("mon")).cast("int")
     row_idx = F.regexp_extract("o_orderpriority", r"^(\d+)", 1).cast("int")
-    counts = g.groupBy("r_name", "o_orderpriority", "yr", "mon").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(g.groupBy("r_name", "o_orderpriority", "yr", "mon").agg(F.count(F.lit(1)).alias("n")),
+                         "header_counts")
     body = counts.select("r_name", row_idx.alias("row_idx"), col_idx.alias("col_idx"), F.col("n").cast("string").alias("text"))
     head = counts.select("r_name", "yr", "mon").distinct().select(
         "r_name", F.lit(0).alias("row_idx"), col_idx.alias("col_idx"),
