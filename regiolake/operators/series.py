@@ -124,11 +124,14 @@ def residual(df: DataFrame, by: Sequence[str], category: str, measures: Sequence
     aggs.append(F.count_if(cat.isin(list(part_labels))).alias("__np"))
     aggs.append(F.count_if(cat == total_label).alias("__nt"))
     a = df.groupBy(*by).agg(*aggs)
-    part = a.where(F.col("__np") > 0).select(*by, F.lit(part_name).alias(category),
-                                              *[F.col(f"__p_{m}").alias(m) for m in measures])
-    rest = a.where((F.col("__np") > 0) & (F.col("__nt") > 0)).select(
-        *by, F.lit(rest_name).alias(category), *[(F.col(f"__t_{m}") - F.col(f"__p_{m}")).alias(m) for m in measures])
-    return part.unionByName(rest)
+    # both output rows of a group come from the same aggregate row (one pass, no branch)
+    has_part, has_total = F.col("__np") > 0, F.col("__nt") > 0
+    rows = F.array(
+        F.struct(has_part.alias("__keep"), F.lit(part_name).alias(category),
+                 *[F.col(f"__p_{m}").alias(m) for m in measures]),
+        F.struct((has_part & has_total).alias("__keep"), F.lit(rest_name).alias(category),
+                 *[(F.col(f"__t_{m}") - F.col(f"__p_{m}")).alias(m) for m in measures]))
+    return a.select(*by, F.inline(rows)).where(F.col("__keep")).drop("__keep")
 
 
 # --------------------------------------------------------------------------- TS-5..7

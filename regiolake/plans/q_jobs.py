@@ -338,7 +338,8 @@ def job_detentions(spark, sf_dir):
     dims_row = _nation_hierarchy(c).select(*_fixed_dim("Provincias", _PRIOS), "Nacionalidad_lab", "Nacionalidad_key",
                                            *_fixed_dim("Sexo", _STATUS), *_fixed_dim("periodo", _YEARS))
     cube = _px_cube(dims_row, ["Provincias", "Nacionalidad", "Sexo", "periodo"], counts)
-    return JB.job_detentions(cube)
+    # the rendered cube stands for the fetched file: written once, read by the job
+    return JB.job_detentions(materialize(cube, "px_detentions"))
 
 
 @query("job_detentions_total", covers=("JOB-09", "SRC-8", "FN-4"), sql=f"""
@@ -359,7 +360,7 @@ def job_detentions_total(spark, sf_dir):
                               *_fixed_dim("age_group", ["TOTAL edad"]), *_fixed_dim("sex", _STATUS),
                               *_fixed_dim("year", _YEARS))
     cube = _px_cube(dims_row, ["territory", "crime_type", "age_group", "sex", "year"], counts)
-    return JB.job_detentions_total(cube)
+    return JB.job_detentions_total(materialize(cube, "px_detentions_total"))
 
 
 # --------------------------------------------------------------------------- HTML job

@@ -124,10 +124,11 @@ FROM c t JOIN part p ON t.r_name = p.r_name AND t.yr = p.yr WHERE t.cat = 'Total
 """)
 def ts_residual(spark, sf_dir):
     g = geo_orders(cat(spark, sf_dir))
-    per = g.groupBy("r_name", "yr", F.col("o_orderpriority").alias("cat")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(N.money("o_totalprice")).alias("rev"))
-    tot = g.groupBy("r_name", "yr").agg(F.lit("Total").alias("cat"), F.count(F.lit(1)).alias("n"),
-                                         F.sum(N.money("o_totalprice")).alias("rev"))
+    per = materialize(g.groupBy("r_name", "yr", F.col("o_orderpriority").alias("cat")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(N.money("o_totalprice")).alias("rev")), "residual_categories")
+    # the 'Total' category is the sum of the category rows (read back from the written table)
+    tot = per.groupBy("r_name", "yr").agg(F.lit("Total").alias("cat"), F.sum("n").alias("n"),
+                                           F.sum("rev").alias("rev"))
     res = S.residual(per.unionByName(tot), ["r_name", "yr"], "cat", ["n", "rev"], "Total",
                      ["1-URGENT", "2-HIGH"], "Fast", "Rest")
     return res.select("r_name", F.col("yr").alias("year"), "cat", F.col("n").cast("long").alias("n"),
@@ -135,10 +136,12 @@ def ts_residual(spark, sf_dir):
 
 
 def _nation_year(spark, sf_dir):
+    """The (nation, year) series, written once: the series operators read it several times
+    (group sizes, base values, fits joined back)."""
     g = geo_orders(cat(spark, sf_dir))
-    return g.groupBy("n_name", "yr").agg(
+    return materialize(g.groupBy("n_name", "yr").agg(
         msum("o_totalprice").alias("revenue"), F.count(F.lit(1)).alias("n_orders"),
-        F.count_if(F.col("o_orderstatus") == "P").alias("n_pending"))
+        F.count_if(F.col("o_orderstatus") == "P").alias("n_pending")), "nation_year")
 
 
 NY_SQL = f"""{W},
