@@ -88,4 +88,5 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: no inference job over the written footers
+    return spark.read.schema(df.schema).parquet(path)
