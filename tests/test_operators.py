@@ -220,3 +220,22 @@ def test_read_delimited_positional_and_short_lines(spark, tmp_path):
     df = TT.read_delimited(spark, str(p), "nat string, prov string, total string", sep=";", min_fields=3)
     got = rows(df.select("prov", N.locale_number("total").alias("t")))
     assert got == [("01 Araba/Álava", 12345.0), ("48 Bizkaia", None)]
+
+
+def test_file_readers_px_and_json(spark, tmp_path):
+    import json
+    from regiolake.sources import json_series as J
+    from regiolake.sources import px as PX
+    d = tmp_path / "px"
+    d.mkdir()
+    (d / "a.px").write_bytes('VALUES("Sexo")="Hombres","Mujeres";\nVALUES("periodo")="2020";\nDATA=\n"1.234" 5;\n'
+                             .encode("latin-1"))
+    cells = PX.dims_to_columns(PX.read_px(spark, str(d / "*.px")), ["sexo", "periodo"])
+    assert rows(cells.select("sexo", "periodo", "value")) == [("Hombres", "2020", 1234.0), ("Mujeres", "2020", 5.0)]
+    j = tmp_path / "js"
+    j.mkdir()
+    (j / "list.json").write_text(json.dumps([{"Nombre": "a", "Data": [{"Anyo": 2020, "Valor": 1.5}]}]), encoding="utf-8")
+    (j / "obj.json").write_text(json.dumps({"Data": [{"Nombre": "b", "Data": [{"Anyo": "2021", "Valor": "x"}]}]}),
+                                encoding="utf-8")
+    pts = J.points(J.read_series(spark, str(j / "*.json")), ["Nombre"])
+    assert rows(pts.select("Nombre", "year", "value")) == [("a", 2020, 1.5), ("b", 2021, None)]
