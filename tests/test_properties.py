@@ -1,7 +1,6 @@
 """Property tests: the scale-oriented operators equal their simple definitions on random input."""
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from regiolake.functions import numbers as N
 from regiolake.operators import relational as R
