@@ -7,11 +7,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from regiolake import plans
 from regiolake.sources.catalog import DRIVER_TABLES
 
 SF = os.environ.get("REGIOLAKE_TEST_SF", "/root/testdata/sf0.001")
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+plans.load_all()
+QUERIES = plans.QUERIES
+ORACLE = plans.ORACLE
 
 
 def _norm(v):
