@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import kd_sharding, toxicity
+from . import decontamination, jaccard_join, kd_sharding, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,57 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     return (toxicity.classify(docs.select("doc_id", "text"), labels, keep=["doc_id"])
             .select("doc_id", "held_out", "score", "predicted"))
+
+
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+SPACED = r"'[^\x20\x09-\x0D]+'"
+
+OP4_SQL = f"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, {SPACED}) AS w FROM documents),
+sets AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(
+    range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+cells AS (SELECT r, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT a.r AS x, b.r AS y FROM cells a JOIN cells b ON a.g = b.g AND a.r <> b.r
+    AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (SELECT r AS x, r AS y FROM sets UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
+SELECT s.doc_id, CAST(any_value(len(s.s)) AS BIGINT) AS n_shingles, min(t.doc_id) AS component_id
+FROM reach JOIN sets s ON reach.x = s.r JOIN sets t ON reach.y = t.r GROUP BY s.r, s.doc_id
+"""
+
+
+@query("op4_jaccard_join", OP4_SQL)
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read(spark, sf_dir, "documents"), n=5, percent=80)
+
+
+PLAIN = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+OP7_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, {PLAIN}) AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({LOWER}, {PLAIN}) AS w FROM benchmark),
+b2 AS (SELECT item, w, least(13, len(w)) AS k FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS g
+       FROM (SELECT item, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM b2)),
+dw AS (SELECT r, i, k, array_to_string(w[i:i + k - 1], ' ') AS g
+       FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM b2) WHERE len(w) >= k)),
+hits AS (SELECT r, i, dw.k AS k, item FROM dw JOIN bw ON dw.g = bw.g AND dw.k = bw.k),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM hits) GROUP BY r),
+items AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM hits GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+"""
+
+
+@query("op7_decontamination", OP7_SQL)
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    found = decontamination.find_matches(docs.select("doc_id", "text"), benchmark, width=13, carry=["doc_id"])
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                        decontamination.contaminated(5).alias("contaminated"))
