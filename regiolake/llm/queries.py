@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard_join, kd_sharding, toxicity
+from . import decontamination, jaccard_join, kd_sharding, line_rules, line_runs, sentence_spans, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,49 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
                         decontamination.contaminated(5).alias("contaminated"))
+
+
+BLANK_RE = r"[\x20\x09-\x0D]+"
+VISIBLE = f"length(regexp_replace({{}}, '{BLANK_RE}', '', 'g'))"
+BAD_LINE = rf"""(NOT regexp_matches(l, '[.!?:;][\x22'')\]]*([\x20\x09-\x0D]|\z)')
+  OR 100 * (length(l) - length(translate(l, '#*$%&|<>!', ''))) > 10 * {VISIBLE.format('l')}
+  OR (length(l) - length(translate(l, '|»›•·', '')) >= 2
+      AND 100 * (length(l) - length(translate(l, '|»›•·', ''))) >= 4 * {VISIBLE.format('l')})
+  OR regexp_matches(lower(l), '{line_rules.BOILERPLATE}'))"""
+
+OP6_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), {SPACED}) AS w FROM documents),
+lines AS (SELECT r, l FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, {SPACED})),
+by_line AS (SELECT r, count(*) - count(DISTINCT l) AS n_dup_lines,
+                   sum(CASE WHEN {BAD_LINE} THEN {VISIBLE.format('l')} ELSE 0 END) AS lost FROM lines GROUP BY r),
+grams AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+          FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
+twice AS (SELECT r, i FROM grams JOIN (SELECT r, g FROM grams GROUP BY r, g HAVING count(*) > 1) USING (r, g)),
+again AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 3)) AS p FROM twice) GROUP BY r),
+m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST({VISIBLE.format('t')} AS BIGINT) AS word_chars,
+             CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+             CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+             coalesce(lost, 0) AS lost
+      FROM d LEFT JOIN by_line USING (r) LEFT JOIN again USING (r)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * lost <= 40 * word_chars AS kept
+FROM f
+"""
+
+
+@query("op6_line_rules", OP6_SQL)
+def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (line_rules.clean(read(spark, sf_dir, "documents").select("doc_id", "text"))
+            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"))
+
+
+@query("op8_sentence_spans")
+def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.dedup_spans(read(spark, sf_dir, "documents"), span=2, min_chars=40)
+
+
+@query("op9_line_runs")
+def op9_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_runs.dedup_lines(read(spark, sf_dir, "documents"), gram=3, window=3)
