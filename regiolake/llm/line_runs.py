@@ -61,13 +61,13 @@ def dedup_lines(docs: DataFrame, gram: int = 3, window: int = 3) -> DataFrame:
     blank), text."""
     base = with_key(docs.select(col("doc_id"), col("text"))).withColumn("_r_parts", F.split(text_or_empty(col("text")), "\n"))
     base = base.select("doc_id", *KEY, "_r_parts", lines_of(F.col("_r_parts")).alias("_r_l"))
-    hashes = base.select(*KEY, F.col("_r_l.h").alias("hs"))
+    hashes = base.select(*KEY, F.transform("_r_l", lambda x: x["h"]).alias("hs"))
     hs, n = F.col("hs"), F.size("hs")
     hashes = hashes.withColumn("g", F.when(n >= gram, F.transform(F.sequence(F.lit(0), n - gram), lambda i: F.xxhash64(
         *[F.get(hs, i + j) for j in range(gram)]))).otherwise(F.array().cast("array<bigint>")))
     hashes = hashes.withColumn("at", selected(F.col("g"), window))
     hashes = hashes.withColumn("sel", F.transform("at", lambda p: F.struct(p.alias("p"), F.get(F.col("g"), p).alias("h"))))
-    hashes = stored(hashes.where("size(at) > 0").select(*KEY, "hs", "sel").distinct(), "line-hashes")
+    hashes = stored(hashes.select(*KEY, "hs", "sel").dropDuplicates(list(KEY)), "line-hashes")
 
     occ = hashes.select(*KEY, F.explode("sel").alias("x")).select(*KEY, "x.p", "x.h")
     m = later_occurrences(occ).select(*KEY, "p", F.col(f"f.{KEY[0]}").alias("f_id"), F.col(f"f.{KEY[1]}").alias("f_text"),

@@ -101,10 +101,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 BLANK_RE = r"[\x20\x09-\x0D]+"
 VISIBLE = f"length(regexp_replace({{}}, '{BLANK_RE}', '', 'g'))"
 BAD_LINE = rf"""(NOT regexp_matches(l, '[.!?:;][\x22'')\]]*([\x20\x09-\x0D]|\z)')
-  OR 100 * (length(l) - length(translate(l, '#*$%&|<>!', ''))) > 10 * {VISIBLE.format('l')}
+  OR 100 * (length(l) - length(translate(l, '#*$%&|<>!', ''))) > 10 * length(l)
   OR (length(l) - length(translate(l, '|»›•·', '')) >= 2
-      AND 100 * (length(l) - length(translate(l, '|»›•·', ''))) >= 4 * {VISIBLE.format('l')})
-  OR regexp_matches(lower(l), '{line_rules.BOILERPLATE}'))"""
+      AND 100 * (length(l) - length(translate(l, '|»›•·', ''))) >= 4 * length(l))
+  OR regexp_matches(l, '{line_rules.BOILERPLATE}'))"""
 
 OP6_SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
@@ -130,7 +130,7 @@ FROM f
 
 @query("op6_line_rules", OP6_SQL)
 def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (line_rules.clean(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return (line_rules.clean(read(spark, sf_dir, "documents").select("doc_id", "text"), with_text=False)
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"))
 
 

@@ -48,7 +48,7 @@ def dedup_spans(docs: DataFrame, span: int = 2, min_chars: int = 40) -> DataFram
     runs = F.when(n >= span, F.transform(F.sequence(F.lit(0), n - span), lambda p: F.struct(
         p.alias("p"), F.xxhash64(*[F.get(s, p + j)["s"] for j in range(span)]).alias("h"),
         sum((F.length(F.get(s, p + j)["s"]) for j in range(1, span)), F.length(F.get(s, p)["s"])).alias("c"))))
-    occ = (cut.select(*KEY, runs.alias("r")).select(*KEY, F.explode("r").alias("r"))
+    occ = (cut.select(*KEY, F.explode(runs).alias("r"))
            .where(F.col("r.c") >= min_chars).select(*KEY, F.col("r.p").alias("p"), F.col("r.h").alias("h")))
     later = later_occurrences(stored(occ, "spans"))
     gone = (later.select(*KEY, F.explode(F.sequence(F.col("p"), F.col("p") + span - 1)).alias("k"))
