@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard_join, kd_sharding, line_rules, line_runs, sentence_spans, toxicity
+from . import chat_format, decontamination, jaccard_join, kd_sharding, line_rules, line_runs, sentence_spans, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,30 @@ def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_line_runs")
 def op9_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_runs.dedup_lines(read(spark, sf_dir, "documents"), gram=3, window=3)
+
+
+# the template's marks around a text, and the characters that escaping adds to it
+_CONTROLS = chat_format.INSTRUCT.controls()
+_ADDED = " + ".join(f"2 * ((length(t) - length(replace(t, '{c}', ''))) // {len(c)})" for c in _CONTROLS)
+_MARKS = " ".join(f"WHEN role = '{k}' THEN {len(r.before) + len(r.after)}" for k, r in chat_format.INSTRUCT.roles.items())
+
+OP10_SQL = f"""
+WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS t FROM conversations
+           UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn, role, t)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(t) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(t, '' ORDER BY turn, role, t) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(t) + length(t) - length(replace(t, chr(92), '')) + {_ADDED} + CASE {_MARKS} END) AS BIGINT)
+         AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
+@query("op10_chat_format", OP10_SQL)
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probe = spark.sql("SELECT * FROM VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'), "
+                      "(-1L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)")
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    return (chat_format.read_back(chat_format.format_chat(turns))
+            .select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"))
