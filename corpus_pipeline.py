@@ -8,9 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiolake.llm import kd_sharding, toxicity
+from regiolake.llm import decontamination, jaccard_join, kd_sharding, mixing, toxicity
 from regiolake.llm.common import read, stored
-from regiolake.llm.queries import KD_DIMS, NUM_SHARDS
+from regiolake.llm.queries import KD_DIMS, MIX_TARGETS, NUM_SHARDS, labelled_domains
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -21,13 +21,38 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("predicted") == 0).select(*DOCUMENT_COLUMNS)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the least id stays; so do all documents without
+    words, which are no copies of anything, and rows without an id, which can't be named."""
+    found = stored(jaccard_join.jaccard_components(docs, n=5, percent=80), "pipeline-components")
+    first = found.where("n_shingles > 0 AND doc_id = component_id").select("doc_id").distinct()
+    alone = docs.where(F.col("doc_id").isNull() | ~F.rlike(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]")))
+    worded = docs.where(F.rlike("text", F.lit(r"[^\x20\x09-\x0D]")))
+    # a repeated id is one group; the join has dealt the rows by id already
+    return (worded.join(first, "doc_id").dropDuplicates(["doc_id"]).select(*DOCUMENT_COLUMNS)
+            .unionByName(alone.select(*DOCUMENT_COLUMNS)))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which benchmark passages make up a twentieth or more go."""
+    return decontamination.decontaminate(docs, read(spark, sf_dir, "benchmark")).select(*DOCUMENT_COLUMNS)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The largest mixture without repeats whose expected tokens by domain match the target weights."""
+    labelled = labelled_domains(docs, read(spark, sf_dir, "labels"))
+    rated = mixing.mix(docs, labelled, MIX_TARGETS, most=1.0)
+    return mixing.thinned(rated).select(*DOCUMENT_COLUMNS)
+
+
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rest in shards of near equal bytes, each row with its place in the shard."""
     out = kd_sharding.shard_documents(docs, KD_DIMS, num_shards=NUM_SHARDS)
     return out.select(*DOCUMENT_COLUMNS, "size", "text_crc32", "shard", "slot")
 
 
-STAGES = [("toxicity", toxic), ("sharding", sharding)]
+STAGES = [("toxicity", toxic), ("near_duplicates", near_duplicates), ("decontamination", decontaminated), ("mixing", mixed),
+          ("sharding", sharding)]
 
 # a learned classifier and a fitted mixture aren't SQL; tests hold the stages against brute force
 ORACLE_SQL = None

@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontamination, jaccard_join, kd_sharding, line_rules, line_runs, sentence_spans, toxicity
+from . import (chat_format, decontamination, jaccard_join, kd_sharding, line_rules, line_runs, mixing, secret_scan,
+               sentence_spans, toxicity)
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +170,31 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
     return (chat_format.read_back(chat_format.format_chat(turns))
             .select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"))
+
+
+@query("op3_secret_scan")
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(read(spark, sf_dir, "documents"), carry=["doc_id"])
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    base = F.filter("found", lambda x: x["kind"] != "novel")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(listed(base), 256).alias("base_sha256"),
+                        listed(F.col("found")).alias("spans"))
+
+
+# domains of the mixture: the languages of labelled texts of good quality, and texts of low quality
+MIX_TARGETS = {"en": 0.57, "de": 0.14, "fr": 0.135, "es": 0.08, "low": 0.075}
+
+
+def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) of the labelled rows: their language, or 'low' where the quality label is 0."""
+    return (docs.select("doc_id", "lang").join(labels.select("doc_id", "quality"), "doc_id")
+            .select("doc_id", F.when(F.col("quality") == 0, "low").otherwise(F.col("lang")).alias("domain")))
+
+
+@query("op5_mixing")
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    mixed = mixing.mix(docs, labelled_domains(docs, read(spark, sf_dir, "labels")), MIX_TARGETS, carry=["doc_id"])
+    return mixed.select("doc_id", "n_tokens", "domain", "posterior", "rate")
