@@ -1,14 +1,15 @@
 """Small helpers shared by the training-data operators."""
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiolake.session import materialize
 
-__all__ = ["col", "others", "read", "sha_hex", "stored", "values", "text_or_empty"]
+__all__ = ["col", "others", "plain_names", "read", "sha_hex", "stored", "values", "text_or_empty"]
 
 
 def col(name: str) -> Column:
@@ -56,3 +57,17 @@ def values(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFr
     names = ", ".join(n for n, _ in fields)
     cast = ", ".join(f"CAST({n} AS {t}) AS {n}" for n, t in fields)
     return spark.sql(f"SELECT {cast} FROM VALUES {body} AS t({names})")
+
+
+def plain_names(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For operators that hand rows to Arrow functions, which don't take column names with dots or
+    backticks: such input columns have plain names meanwhile."""
+    @wraps(operator)
+    def call(docs: DataFrame, *args, **kw) -> DataFrame:
+        odd = {c: f"_odd_{i}" for i, c in enumerate(docs.columns) if "." in c or "`" in c}
+        if not odd:
+            return operator(docs, *args, **kw)
+        back = {v: k for k, v in odd.items()}
+        out = operator(docs.select(*[col(c).alias(odd.get(c, c)) for c in docs.columns]), *args, **kw)
+        return out.select(*[col(c).alias(back.get(c, c)) for c in out.columns])
+    return call

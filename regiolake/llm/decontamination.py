@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, others
+from .common import col, others, plain_names
 
 _KEEP = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isdigit() or 97 <= b <= 122 else 32 for b in range(256))
 SPAN = "array<struct<start:int,end:int,item:string,item_start:int>>"
@@ -137,6 +137,7 @@ def _blocks(benchmark: DataFrame, block_words: int) -> list[DataFrame]:
     return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) for k in range(n)]
 
 
+@plain_names
 def find_matches(docs: DataFrame, benchmark: DataFrame, width: int = 13, block_words: int = 2_000_000,
                  carry: list[str] | None = None, shard_bytes: int = 8 << 20) -> DataFrame:
     """``docs`` (the columns in ``carry``, by default all) with ``n_words``, ``n_hit``, ``matches`` (longest

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, others, stored
+from .common import col, others, plain_names, stored
 from .features import Hasher, Sparse, adam, informative, words_of
 
 OUT = ("n_tokens", "posterior", "domain", "rate")
@@ -158,6 +158,7 @@ def fit_rates(table: DataFrame, weights: list[float], budget: float | None = Non
     return steps, want, s
 
 
+@plain_names
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget: float | None = None,
         most: float = np.inf, max_train: int = 4000, carry: list[str] | None = None) -> DataFrame:
     """``docs`` (the columns in ``carry``, by default all) with ``n_tokens``, ``posterior`` (in the order of

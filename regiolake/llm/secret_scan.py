@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import col, others
+from .common import col, others, plain_names
 
 # fixed patterns of the base kinds, in the order in which spans with one start are listed
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -108,6 +108,7 @@ def scan_text(text: str, novelty: Novelty, min_gain: float = 0.6, reach: int = 4
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
+@plain_names
 def scan(docs: DataFrame, dictionary: str = IDENTIFIERS, min_gain: float = 0.6, reach: int = 48,
          carry: list[str] | None = None) -> DataFrame:
     """``docs`` (the columns in ``carry``, by default all) with the number of base spans of each kind and

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col
+from .common import col, plain_names
 from .features import Hasher, Sparse, adam, informative, words_of
 
 # terms that name a group, by kind; a term is swapped within its kind
@@ -141,6 +141,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 12_000, lam: floa
     return fit_weights(rows, y, swaps, lam)
 
 
+@plain_names
 def score(docs: DataFrame, fitted: Model, keep: list[str] | None = None) -> DataFrame:
     """``docs`` (the columns in ``keep``, by default all but ``score``) with a score between 0 and 1."""
     keep = [c for c in (keep or docs.columns) if c.lower() not in ("score", "_tox_text")]
