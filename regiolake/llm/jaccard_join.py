@@ -13,8 +13,9 @@ Documents link when the Jaccard similarity of their sets of distinct word shingl
    reach the tasks as Bloom filters whose size has a fixed ceiling.  A false positive only keeps a
    column that could have been dropped.
 3. Blocks of columns (shuffle partitions) multiply their lists: overlap counts accumulate per pair, and
-   pairs under the size bounds go: ``min(n) >= t max(n)``, and the columns a document holds alone can't
-   be in an overlap of ``t / (1 + t) (n_a + n_b)``.  What is left gets its whole overlap from the two rows.
+   pairs under the size bounds go: ``min(n) >= t max(n)``, and the rest of either row from the first column
+   they share must have room for an overlap of ``t / (1 + t) (n_a + n_b)``.  What is left gets its whole
+   overlap from the two rows.
 4. Lists of thousands of near copies aren't expanded into pairs.  Each list first meets only its centre,
    the row with the fewest columns of its own; the links give components.  Only lists that still hold
    several components go on: their rows get an exact frequency order among themselves and new
@@ -161,12 +162,13 @@ def rows_of_matrix(docs: DataFrame, n: int, percent: int, known: float, shared:
     return docs.select(col("doc_id"), col("text")).mapInArrow(run, schema)
 
 
-def _fits(percent: int, na: str, oa: str, nb: str, ob: str):
-    """Size bounds: an overlap takes t / (1 + t) of both sizes, and no column that one row holds alone."""
+def _fits(percent: int, na: str, pa: str, nb: str, pb: str):
+    """Size bounds for two rows that share the column at places pa and pb of their orders.  An overlap takes
+    t / (1 + t) of both sizes.  If this is the first column that they share, the overlap lies in what follows
+    it in either row; if it isn't, the first one passes for the pair."""
     need = f"({percent} * ({na} + {nb}))"
-    least = f"{100 + percent}"
     return F.expr(f"100 * least({na}, {nb}) >= {percent} * greatest({na}, {nb}) "
-                  f"AND {least} * ({na} - {oa}) >= {need} AND {least} * ({nb} - {ob}) >= {need}")
+                  f"AND {100 + percent} * least({na} - {pa}, {nb} - {pb}) >= {need}")
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -180,11 +182,11 @@ def _verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _star(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs of each list's centre with the rest of the list; ``lists``: (s, id, n, own)."""
-    centre = (lists.groupBy("s").agg(F.min(F.struct("own", "n", "id")).alias("c"), F.count(F.lit(1)).alias("size"))
+    """Pairs of each list's centre with the rest of the list; ``lists``: (s, id, n, own, pos)."""
+    centre = (lists.groupBy("s").agg(F.min(F.struct("own", "n", "id", "pos")).alias("c"), F.count(F.lit(1)).alias("size"))
               .where("size > 1"))
     return (lists.join(centre, "s").where("id <> c.id")
-            .where(_fits(percent, "n", "own", "c.n", "c.own"))
+            .where(_fits(percent, "n", "pos", "c.n", "c.pos"))
             .select(F.col("c.id").alias("a"), F.col("id").alias("b")).distinct())
 
 
@@ -196,14 +198,14 @@ def _several(lists: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _exact_lists(rest: DataFrame, percent: int) -> DataFrame:
-    """Lists (s, id, n, own) in the exact order by frequency among the given rows."""
+    """Lists (s, id, n, own, pos) in the exact order by frequency among the given rows."""
     e = rest.select("id", "n", F.explode("whole").alias("s"))
     df = e.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     by_row = e.join(df, "s").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("by"))  # one text
     first = F.col("n") - F.floor((F.lit(percent) * F.col("n") + 99) / 100) + 1
     return (by_row.withColumn("own", F.col("n") - F.size("by")).withColumn("q", (first - F.col("own")).cast("int"))
-            .where("q > 0").select("id", "n", "own", F.explode(F.expr("slice(by, 1, q)")).alias("x"))
-            .select(F.col("x.s").alias("s"), "id", "n", "own"))
+            .where("q > 0").select("id", "n", "own", F.posexplode(F.expr("slice(by, 1, q)")).alias("k", "x"))
+            .select(F.col("x.s").alias("s"), "id", "n", "own", (F.col("own") + F.col("k")).alias("pos")))
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, known: float = 0.35,
@@ -219,7 +221,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, known: fl
     nodes = stored(m.where("cols IS NOT NULL").groupBy("k1", "k2", "n")
                    .agg(F.first("own").alias("own"), F.first("cols").alias("cols"), F.first("whole").alias("whole"))
                    .withColumn("id", F.monotonically_increasing_id()), "jaccard-classes")
-    lists = nodes.select("id", "n", "own", F.explode("cols").alias("s"))
+    lists = (nodes.select("id", "n", "own", F.posexplode("cols").alias("k", "s"))
+             .select("s", "id", "n", "own", (F.col("own") + F.col("k")).alias("pos")))
     links = stored(_verified(_star(lists, percent), nodes, percent), "jaccard-links")
     comp = stored(connected_components(links), "jaccard-components")
 
@@ -232,9 +235,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, known: fl
         comp = stored(connected_components(links), "jaccard-components")
         at, left = _several(exact, comp)
         at = at.join(left, "s", "left_semi")
-        x, y = (at.select("s", *[F.col(c).alias(f"{c}_{k}") for c in ("id", "n", "own", "comp")]) for k in "xy")
+        x, y = (at.select("s", *[F.col(c).alias(f"{c}_{k}") for c in ("id", "n", "pos", "comp")]) for k in "xy")
         pairs = (x.join(y, "s").where("id_x < id_y AND comp_x <> comp_y")
-                 .where(_fits(percent, "n_x", "own_x", "n_y", "own_y"))
+                 .where(_fits(percent, "n_x", "pos_x", "n_y", "pos_y"))
                  .select(F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct())
         links = links.unionByName(stored(_verified(pairs, nodes, percent), "jaccard-links"))
         comp = stored(connected_components(links), "jaccard-components")
