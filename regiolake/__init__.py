@@ -7,7 +7,6 @@ sources    Readers that turn raw shapes into tidy DataFrames, the table catalog,
 operators  Relational helpers, reshape, series analytics and data-quality checks.
 plans      Domain models and clean-table jobs composed from the operators, plus the
            registered query set used by the correctness gate and the bench.
-streaming  Notes only: the analytics are batch; see the module docstring.
 """
 
 __version__ = "0.1.0"

@@ -54,9 +54,11 @@ def _sev(n: Column, level: str = "WARNING") -> Column:
     return F.when(n > 0, F.lit(level)).otherwise(F.lit("OK"))
 
 
-def check(df: DataFrame, c: Contract) -> DataFrame:
-    """All checks of one contract as check rows (see module docstring)."""
+def check(df: DataFrame, c: Contract, only: Sequence[str] | None = None) -> DataFrame:
+    """The checks of one contract as check rows (see module docstring): all, or those named in ``only``.
+    A check that isn't asked for costs nothing; the required columns are read from the schema alone."""
     spark = df.sparkSession
+    wanted = lambda name: only is None or name in only
     cols = set(df.columns)
     parts: list[DataFrame] = []
 
@@ -73,38 +75,45 @@ def check(df: DataFrame, c: Contract) -> DataFrame:
     preds += [("not_null", k, F.col(k).isNull(), "ERROR") for k in c.not_null if k in cols]
     preds += [("accepted_values", k, F.col(k).isNotNull() & ~F.col(k).isin(list(v)), "ERROR")
               for k, v in c.accepted_values.items() if k in cols]
-    agg = df.agg(*[F.count_if(p).alias(f"c{i}") for i, (_, _, p, _) in enumerate(preds)])
+    preds = [p for p in preds if wanted(p[0]) or p[0] == "rows" and wanted("empty")]
+    agg = None if not preds else df.agg(*[F.count_if(p).alias(f"c{i}") for i, (_, _, p, _) in enumerate(preds)])
     entries = [F.struct(F.lit(name).alias("check_name"), F.lit(col).cast("string").alias("column_name"),
                         F.col(f"c{i}").alias("n_failed"),
                         (F.lit("OK") if level == "INFO" else _sev(F.col(f"c{i}"), level)).alias("severity"))
                for i, (name, col, _, level) in enumerate(preds)]
-    entries.insert(0, F.struct(F.lit("required_columns").alias("check_name"),
-                               F.lit(",".join(missing) or None).cast("string").alias("column_name"),
-                               F.lit(len(missing)).cast("long").alias("n_failed"),
-                               F.lit("ERROR" if missing else "OK").alias("severity")))
+    if not preds:
+        agg = spark.range(1)
+    if wanted("required_columns"):
+        entries.insert(0, F.struct(F.lit("required_columns").alias("check_name"),
+                                   F.lit(",".join(missing) or None).cast("string").alias("column_name"),
+                                   F.lit(len(missing)).cast("long").alias("n_failed"),
+                                   F.lit("ERROR" if missing else "OK").alias("severity")))
     # DQ-6: an empty table is an error (from the same one-row aggregate: "rows" is c0)
-    entries.append(F.struct(F.lit("empty").alias("check_name"), F.lit(None).cast("string").alias("column_name"),
-                            (F.col("c0") == 0).cast("long").alias("n_failed"),
-                            F.when(F.col("c0") == 0, F.lit("ERROR")).otherwise(F.lit("OK")).alias("severity")))
-    long = agg.select(F.explode(F.array(*entries)).alias("s")).select(
-        F.lit(c.dataset).alias("dataset"), "s.check_name", "s.column_name", "s.n_failed", "s.severity")
-    parts.append(long)
+    if wanted("empty"):
+        entries.append(F.struct(F.lit("empty").alias("check_name"), F.lit(None).cast("string").alias("column_name"),
+                                (F.col("c0") == 0).cast("long").alias("n_failed"),
+                                F.when(F.col("c0") == 0, F.lit("ERROR")).otherwise(F.lit("OK")).alias("severity")))
+    if entries:
+        parts.append(agg.select(F.explode(F.array(*entries)).alias("s")).select(
+            F.lit(c.dataset).alias("dataset"), "s.check_name", "s.column_name", "s.n_failed", "s.severity"))
 
     # DQ-3: duplicate logical keys: surplus rows (pre-load metric) and duplicated groups (post-load metric)
     pk = [k for k in c.pk if k in cols]
-    if pk and len(pk) == len(c.pk):
+    if pk and len(pk) == len(c.pk) and (wanted("dup_rows") or wanted("dup_groups")):
         parts.append(duplicate_keys(df, pk, c.dataset))
     # DQ-9: unique column tests
     for k in c.unique:
-        if k in cols:
+        if k in cols and wanted("unique"):
             g = df.where(F.col(k).isNotNull()).groupBy(k).agg(F.count(F.lit(1)).alias("n"))
             parts.append(g.agg(F.count_if(F.col("n") > 1).alias("n_failed")).select(
                 F.lit(c.dataset).alias("dataset"), F.lit("unique").alias("check_name"), F.lit(k).alias("column_name"),
                 "n_failed", _sev(F.col("n_failed"), "ERROR").alias("severity")))
+    if not parts:
+        return spark.createDataFrame([], CHECK_SCHEMA)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out if only is None else out.where(F.col("check_name").isin(list(only)))
 
 
 def duplicate_keys(df: DataFrame, pk: Sequence[str], dataset: str) -> DataFrame:
@@ -122,15 +131,16 @@ def duplicate_keys(df: DataFrame, pk: Sequence[str], dataset: str) -> DataFrame:
 
 
 def check_many(frames: Mapping[str, DataFrame | None], contracts: Iterable[Contract],
-               spark: SparkSession) -> DataFrame:
-    """DQ-12: run every contract; a dataset whose frame is missing gets one ERROR row (DQ-6)."""
+               spark: SparkSession, only: Sequence[str] | None = None) -> DataFrame:
+    """DQ-12: run every contract (or the checks named in ``only``); a dataset whose frame is missing gets one
+    ERROR row (DQ-6)."""
     parts = []
     for c in contracts:
         df = frames.get(c.dataset)
         if df is None:
             parts.append(_row(spark, c.dataset, "missing", None, 1, "ERROR"))
         else:
-            parts.append(check(df, c))
+            parts.append(check(df, c, only))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

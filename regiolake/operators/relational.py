@@ -18,6 +18,8 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from ..session import materialize
 from pyspark.sql import Window
 
 from ..functions.numbers import _c, ColumnOrName, safe_ratio
@@ -231,10 +233,11 @@ def split_even(df: DataFrame, order: Sequence[str], parts: int = 3, name: str =
     """SNK-2: cut the rows, in ``order``, into ``parts`` contiguous pieces of ``n div parts``
     rows, the remainder going to the **last** piece.
 
-    Global row numbers without a single-task window: range-partition by the
-    order, number rows inside each range, count rows per range (a tiny
-    aggregate, broadcast: one row per range), prefix-sum those counts and add
-    the offset.  ``order`` must be a total order (include a unique key).
+    Global row numbers without a single-task window: range-partition by the order and number the
+    rows inside each range; the numbered ranges are written once to the shared folder, so that the
+    counts per range and the rows come from one and the same set of ranges (a second exchange
+    would sample other boundaries); prefix-sum the counts and add the offset.  ``order`` must be a total
+    order (include a unique key).
     """
     order = _cols(order)
     n_rng = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -244,16 +247,17 @@ def split_even(df: DataFrame, order: Sequence[str], parts: int = 3, name: str =
                 .withColumn("__mid", F.monotonically_increasing_id()))
     # position inside the range partition: low 33 bits of monotonically_increasing_id
     ranged = ranged.withColumn("__pos", F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33))
+    ranged = materialize(ranged.drop("__mid"), "split")
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
+    # one row per range (their number is a setting)
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(F.lit(1))
     offsets = counts.select("__pid",
                             F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias("__off"),
                             F.sum("__cnt").over(w_all).alias("__n"))
-    # offsets has one row per range partition (bounded by configuration): safe to broadcast
-    out = ranged.join(F.broadcast(offsets), on="__pid", how="inner")
+    out = ranged.join(offsets, on="__pid", how="inner")
     rn = F.col("__off") + F.col("__pos") + F.lit(1)
     size = F.floor(F.col("__n") / F.lit(parts))
     part = F.when(size == 0, F.lit(parts - 1)).otherwise(
         F.least(F.floor((rn - 1) / size), F.lit(parts - 1)))
-    return out.withColumn(name, part.cast("int")).drop("__pid", "__mid", "__pos", "__off", "__n")
+    return out.withColumn(name, part.cast("int")).drop("__pid", "__pos", "__off", "__n")

@@ -60,3 +60,10 @@ def geo_orders(c: Catalog) -> DataFrame:
 
 def with_yr(df: DataFrame, ts: str = "o_orderdate") -> DataFrame:
     return df.withColumn("yr", F.year(ts).cast("int"))
+
+
+def labels_of(df: DataFrame, *cols: str) -> list[list]:
+    """Sorted distinct values of dimension columns, from one aggregate: a wide or cube layout names its
+    columns after them.  The columns must be dimensions, with a few members."""
+    row = df.agg(*[F.array_sort(F.collect_set(c)) for c in cols]).first()
+    return [list(v) for v in row]

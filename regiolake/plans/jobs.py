@@ -144,11 +144,13 @@ def job_padron(raw: DataFrame, content_col: str = "content") -> DataFrame:
 
 def job_ecp(df: DataFrame, max_year: int = 2025) -> DataFrame:
     """JOB-13: (province_std, year, foreign_population, total_population) -> add the share
-    rounded to 2 (0.0 when the total is not positive); years after ``max_year`` dropped."""
+    rounded to 2, half to even (0.0 when the total is not positive); years after ``max_year`` dropped."""
     d = df.select("province_std", F.col("year").cast("int").alias("year"),
                   F.col("foreign_population").cast("long").alias("foreign_population"),
                   F.col("total_population").cast("long").alias("total_population")).where(F.col("year") <= max_year)
-    pct = F.when(F.col("total_population") > 0, N.pct("foreign_population", "total_population")).otherwise(F.lit(0.0))
+    # the source rounds half to even; the ratio is an exact decimal, so ties are ties
+    share = F.col("foreign_population").cast("decimal(20,0)") * 100 / F.col("total_population").cast("decimal(20,0)")
+    pct = F.when(F.col("total_population") > 0, N.half_even(share, 2)).otherwise(F.lit(0.0))
     return conform(d.withColumn("foreign_population_pct", pct), SCHEMAS["ine_ecp_foreign"])
 
 
@@ -159,12 +161,12 @@ def job_ecp_pairing(total: DataFrame, foreign: DataFrame) -> DataFrame:
     foreign series the last observation of a year wins (a dict keyed by year);
     every total observation is kept, so one year can give several rows (N5).
     A year missing on the foreign side drops the row (inner lookup, JN-11).
-    Values are rounded to integers."""
+    Values are rounded to integers, half to even."""
     last_foreign = R.top1_per_group(foreign, ["province_std", "year"], "obs_order", ["value"])
     j = total.join(last_foreign.withColumnRenamed("value", "foreign_value"), on=["province_std", "year"], how="inner")
     return j.select("province_std", F.col("year").cast("int").alias("year"),
-                    N.round_to_long("foreign_value").alias("foreign_population"),
-                    N.round_to_long("value").alias("total_population"))
+                    N.half_even("foreign_value", 0).cast("long").alias("foreign_population"),
+                    N.half_even("value", 0).cast("long").alias("total_population"))
 
 
 def job_elections(pages: DataFrame, anchor: str = "Grupos parlamentarios", id_col: str = "page_id") -> DataFrame:
@@ -267,7 +269,8 @@ def housing_eustat(raw: DataFrame, content_col: str = "content", skip: int = 4)
     order); only Roman-numeral quarter rows are kept (FLT-5); the three province price
     columns are stacked (RSH-6), parsed as locale numbers (FN-4) and averaged per year
     (AGG-2, rounded half-even as pandas does)."""
-    raw = raw.withColumn("__file", F.monotonically_increasing_id()) if "__file" not in raw.columns else raw
+    # the file is named by its content: a row number would change when a part is computed again
+    raw = raw.withColumn("__file", F.sha2(F.col(content_col), 256)) if "__file" not in raw.columns else raw
     t = TT.parse_delimited(raw, content_col, EUSTAT_HOUSING_COLS, skip=skip, header=False, sep=";",
                            keep=["__file"], min_fields=13, max_fields=13)
     t = t.withColumn("year", F.col("trimestre").try_cast("int"))

@@ -14,14 +14,11 @@ from pyspark.sql import functions as F
 from ..functions import numbers as N
 from ..session import materialize
 from . import jobs as JB
-from .common import GEO_SQL, cat, geo_orders, nation_region
+from .common import GEO_SQL, cat, geo_orders, labels_of, nation_region
 from .q_relational import _MONTH_NAMES
 from .registry import query, sql_money_sum
 
 W = f"WITH {GEO_SQL.strip()}"
-_YEARS = list(range(1995, 2002))
-_PRIOS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-_STATUS = ["F", "O", "P"]
 
 
 def _m(var, val):
@@ -48,6 +45,14 @@ def _nsy(c):
 
 # --------------------------------------------------------------------------- JSON jobs
 
+def _half_even_mean_sql(total: str, n: str) -> str:
+    """Exact mean rounded half-even to cents, in integer arithmetic (oracle side)."""
+    c = f"CAST(({total}) * 100 AS HUGEINT)"
+    q, r = f"({c} // ({n}))", f"({c} % ({n}))"
+    return (f"CAST(CASE WHEN 2 * {r} > ({n}) THEN {q} + 1 WHEN 2 * {r} = ({n}) THEN {q} + ({q} % 2) ELSE {q} END "
+            f"AS DOUBLE) / 100.0")
+
+
 @query("job_population", covers=("JOB-01", "SRC-3", "FLT-9", "FN-21"), sql=f"""
 {W}
 SELECT 'province' AS level, n_name AS territory, yr AS year, {sql_money_sum('o_totalprice')} AS population,
@@ -148,13 +153,14 @@ def job_employment(spark, sf_dir):
 
 def _wide_files(agg, file_key, dims, value, header_dims, title):
     """Titled wide CSV per ``file_key``: dims columns then one quoted column per year."""
-    wide = agg.groupBy(file_key, *dims).pivot("yr", _YEARS).agg(F.first(value))
+    years, = labels_of(agg, "yr")
+    wide = agg.groupBy(file_key, *dims).pivot("yr", years).agg(F.first(value))
     cells = [F.col(d) for d in dims] + [F.concat(F.lit('"'), F.coalesce(F.col(str(y)), F.lit("")), F.lit('"'))
-                                        for y in _YEARS]
+                                        for y in years]
     lines = wide.select(file_key, F.concat_ws(",", *cells).alias("line"), *dims)
     body = lines.groupBy(file_key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(
         F.struct(*[F.col(d) for d in dims], F.col("line")))), lambda s: s["line"]), "\n").alias("body"))
-    header = ",".join([*header_dims, *[str(y) for y in _YEARS]])
+    header = ",".join([*header_dims, *[str(y) for y in years]])
     return body.select(file_key, F.concat_ws("\n", F.concat(F.lit(title), F.col(file_key)), F.lit(header),
                                              F.col("body")).alias("content"))
 
@@ -234,7 +240,7 @@ def job_padron(spark, sf_dir):
 {W}
 SELECT r_name AS province_std, yr AS year, CAST(COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS BIGINT) AS foreign_population,
        CAST(COUNT(*) AS BIGINT) AS total_population,
-       CAST(ROUND(CAST(CAST(COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) * 100.0 AS DECIMAL(38,10)), 2) AS DOUBLE) AS foreign_population_pct
+       {_half_even_mean_sql("100 * COUNT(*) FILTER (WHERE o_orderstatus = 'F')", "COUNT(*)")} AS foreign_population_pct
 FROM geo WHERE yr <= 2000 GROUP BY r_name, yr
 """)
 def job_ecp(spark, sf_dir):
@@ -335,8 +341,10 @@ def job_detentions(spark, sf_dir):
     counts = g.groupBy(F.col("o_orderpriority").alias("Provincias"), F.col("n_name").alias("Nacionalidad"),
                        F.col("o_orderstatus").alias("Sexo"), F.col("yr").cast("string").alias("periodo")) \
         .agg(F.count(F.lit(1)).alias("n"))
-    dims_row = _nation_hierarchy(c).select(*_fixed_dim("Provincias", _PRIOS), "Nacionalidad_lab", "Nacionalidad_key",
-                                           *_fixed_dim("Sexo", _STATUS), *_fixed_dim("periodo", _YEARS))
+    counts = materialize(counts, "detentions")
+    provinces, sexes, years = labels_of(counts, "Provincias", "Sexo", "periodo")
+    dims_row = _nation_hierarchy(c).select(*_fixed_dim("Provincias", provinces), "Nacionalidad_lab", "Nacionalidad_key",
+                                           *_fixed_dim("Sexo", sexes), *_fixed_dim("periodo", years))
     cube = _px_cube(dims_row, ["Provincias", "Nacionalidad", "Sexo", "periodo"], counts)
     # the rendered cube stands for the fetched file: written once, read by the job
     return JB.job_detentions(materialize(cube, "px_detentions"))
@@ -354,11 +362,13 @@ def job_detentions_total(spark, sf_dir):
     counts = g.groupBy(F.col("r_name").alias("territory"), F.col("o_orderpriority").alias("crime_type"),
                        F.lit("TOTAL edad").alias("age_group"), F.col("o_orderstatus").alias("sex"),
                        F.col("yr").cast("string").alias("year")).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(counts, "detentions_total")
+    types, sexes, years = labels_of(counts, "crime_type", "sex", "year")
     regions = c["region"].agg(F.array_sort(F.collect_list("r_name")).alias("territory_lab")) \
         .withColumn("territory_key", F.col("territory_lab"))
-    dims_row = regions.select("territory_lab", "territory_key", *_fixed_dim("crime_type", _PRIOS),
-                              *_fixed_dim("age_group", ["TOTAL edad"]), *_fixed_dim("sex", _STATUS),
-                              *_fixed_dim("year", _YEARS))
+    dims_row = regions.select("territory_lab", "territory_key", *_fixed_dim("crime_type", types),
+                              *_fixed_dim("age_group", ["TOTAL edad"]), *_fixed_dim("sex", sexes),
+                              *_fixed_dim("year", years))
     cube = _px_cube(dims_row, ["territory", "crime_type", "age_group", "sex", "year"], counts)
     return JB.job_detentions_total(materialize(cube, "px_detentions_total"))
 
@@ -378,11 +388,11 @@ def job_elections(spark, sf_dir):
     written once (they stand for the fetched files) and the job reads them."""
     g = geo_orders(cat(spark, sf_dir))
     names = F.array(*[F.lit(m) for m in _MONTH_NAMES])
-    col = ((F.col("yr") - _YEARS[0]) * 12 + F.col("mon")).cast("int")
+    col = (F.col("yr") * 12 + F.col("mon")).cast("int")     # a month's place in time, whatever the first year
     counts = g.groupBy("r_name", "o_orderpriority", col.alias("col")).agg(F.count(F.lit(1)).alias("n"))
     counts = materialize(counts, "election_counts")
     # header cells derive from the column number: year and month are recovered arithmetically
-    yr = (F.lit(_YEARS[0]) + F.floor((F.col("col") - 1) / 12)).cast("int")
+    yr = F.floor((F.col("col") - 1) / 12).cast("int")
     mon = ((F.col("col") - 1) % 12 + 1).cast("int")
     heads = counts.select("r_name", "col").distinct().select(
         "r_name", "col", F.concat(F.element_at(names, mon), F.lit(" "), yr.cast("string")).alias("h"))
@@ -409,14 +419,6 @@ def job_elections(spark, sf_dir):
 _ROMAN = ["I", "II", "III", "IV"]
 
 
-def _half_even_mean_sql(total: str, n: str) -> str:
-    """Exact mean rounded half-even to cents, in integer arithmetic (oracle side)."""
-    c = f"CAST(({total}) * 100 AS HUGEINT)"
-    q, r = f"({c} // ({n}))", f"({c} % ({n}))"
-    return (f"CAST(CASE WHEN 2 * {r} > ({n}) THEN {q} + 1 WHEN 2 * {r} = ({n}) THEN {q} + ({q} % 2) ELSE {q} END "
-            f"AS DOUBLE) / 100.0")
-
-
 def _loc(x):
     """Spanish-locale text of an exact decimal: thousands '.', decimal ','."""
     return F.translate(F.format_number(x.cast("double"), 2), ",.", ".,")

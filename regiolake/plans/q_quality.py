@@ -122,8 +122,8 @@ def all_checks_sql(checks: set[str] | None = None) -> str:
     return "\nUNION ALL\n".join(f"SELECT * FROM ({p}) AS b{i}({cols})" for i, p in enumerate(parts))
 
 
-def _checks(spark, sf_dir):
-    return Q.check_many(_frames(spark, sf_dir), CONTRACTS, spark)
+def _checks(spark, sf_dir, only=None):
+    return Q.check_many(_frames(spark, sf_dir), CONTRACTS, spark, only)
 
 
 @query("dq_checks", covers=("DQ-1", "DQ-2", "DQ-3", "DQ-4", "DQ-5", "DQ-6", "DQ-8", "DQ-9", "DQ-10", "DQ-12"),
@@ -137,8 +137,7 @@ def _subset(name, checks, covers):
 
     @query(name, covers=covers, sql=sql)
     def fn(spark, sf_dir):
-        c = _checks(spark, sf_dir)
-        return c.where(F.col("check_name").isin(list(checks)))
+        return _checks(spark, sf_dir, checks)
     fn.__name__ = name
     return fn
 

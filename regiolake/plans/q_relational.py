@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import labels as L
 from ..functions import numbers as N
 from ..operators import relational as R
-from .common import GEO_SQL, cat, customer_geo, geo_orders
+from ..session import materialize
+from .common import cat, customer_geo, geo_orders, GEO_SQL, labels_of
 from .registry import query, sql_fixed, sql_money_sum, sql_pct, sql_ratio
 
 
@@ -172,14 +173,14 @@ FROM a JOIN b USING (r_name, yr) JOIN c USING (r_name, yr)
 def jn_using3(spark, sf_dir):
     c = cat(spark, sf_dir)
     g = geo_orders(c)
-    a = g.groupBy("r_name", "yr").agg(F.count(F.lit(1)).alias("n_orders"))
+    # one row per customer first, so that orders and customers come from one aggregate of the star
+    a = (g.groupBy("r_name", "yr", "o_custkey").agg(F.count(F.lit(1)).alias("n")).groupBy("r_name", "yr")
+          .agg(F.sum("n").cast("long").alias("n_orders"), F.count("o_custkey").alias("n_customers")))
     # lineitem is pre-aggregated per order before it meets the order dimension
     li = c["lineitem"].groupBy("l_orderkey").agg(F.sum(N.money("l_extendedprice")).alias("rev"))
     b = (li.join(g.select(F.col("o_orderkey").alias("l_orderkey"), "r_name", "yr"), on="l_orderkey")
            .groupBy("r_name", "yr").agg(F.sum("rev").cast("double").alias("line_revenue")))
-    cc = g.select("r_name", "yr", "o_custkey").distinct().groupBy("r_name", "yr").agg(
-        F.count(F.lit(1)).alias("n_customers"))
-    return (a.join(b, on=["r_name", "yr"]).join(cc, on=["r_name", "yr"])
+    return (a.join(b, on=["r_name", "yr"])
              .select("r_name", F.col("yr").alias("year"), "n_orders", "line_revenue", "n_customers"))
 
 
@@ -387,10 +388,9 @@ FROM geo GROUP BY 1, 2
 """)
 def agg_pivot_avg(spark, sf_dir):
     g = geo_orders(cat(spark, sf_dir)).withColumn("m", N.money("o_totalprice"))
-    s = R.conditional_pivot(g, ["r_name", "yr"], "o_orderstatus", "m", {"sf": "F", "so": "O"}, agg="sum")
-    n = R.conditional_pivot(g, ["r_name", "yr"], "o_orderstatus", "m", {"nf": "F", "no": "O"}, agg="count")
-    # one pass: both pivots share the scan and the shuffle after Catalyst merges the aggregates
-    j = s.join(n, on=["r_name", "yr"])
+    # sums and counts of one aggregate
+    j = g.groupBy("r_name", "yr").agg(*[f(F.when(F.col("o_orderstatus") == v, F.col("m"))).alias(k + v.lower())
+                                        for k, f in (("s", F.sum), ("n", F.count)) for v in ("F", "O")])
     return j.select("r_name", F.col("yr").alias("year"),
                     N.fixed(N.exact_mean("sf", F.when(F.col("nf") > 0, F.col("nf"))), 1).alias("avg_f"),
                     N.fixed(N.exact_mean("so", F.when(F.col("no") > 0, F.col("no"))), 1).alias("avg_o"))
@@ -515,23 +515,20 @@ def agg_nunique(spark, sf_dir):
                  F.countDistinct(F.year("o_orderdate")).alias("n_years"))
 
 
-_YEARS = list(range(1995, 2002))
-
-
 @query("agg_first_pivot", covers=("AGG-12", "RSH-3"), sql=f"""
 {W},
-f AS (SELECT n_name, yr, arg_min(o_orderstatus, o_orderdate::VARCHAR || lpad(o_orderkey::VARCHAR, 20, '0')) AS first_status
-      FROM geo GROUP BY 1, 2)
-SELECT n_name, {", ".join(f"MAX(CASE WHEN yr = {y} THEN first_status END) AS y{y}" for y in _YEARS)}
-FROM f GROUP BY n_name
+f AS (SELECT n_name, 'y' || yr AS y, arg_min(o_orderstatus, o_orderdate::VARCHAR || lpad(o_orderkey::VARCHAR, 20, '0')) AS first_status
+      FROM geo GROUP BY ALL)
+PIVOT f ON y USING max(first_status) GROUP BY n_name
 """)
 def agg_first_pivot(spark, sf_dir):
+    """The first status that isn't NULL; the order key of a NULL status is NULL, which ``min_by`` skips."""
     g = geo_orders(cat(spark, sf_dir))
-    first = g.groupBy("n_name", "yr").agg(
-        F.min_by("o_orderstatus", F.struct("o_orderdate", "o_orderkey")).alias("first_status"))
-    # pivot with explicit values: no extra job to discover them
-    return (first.groupBy("n_name").pivot("yr", _YEARS).agg(F.first("first_status", ignorenulls=True))
-                 .select("n_name", *[F.col(str(y)).alias(f"y{y}") for y in _YEARS]))
+    order = F.when(F.col("o_orderstatus").isNotNull(), F.struct("o_orderdate", "o_orderkey"))
+    first = materialize(g.groupBy("n_name", "yr").agg(F.min_by("o_orderstatus", order).alias("first_status")), "first_status")
+    years, = labels_of(first, "yr")
+    return (first.groupBy("n_name").pivot("yr", years).agg(F.first("first_status", ignorenulls=True))
+                 .select("n_name", *[F.col(str(y)).alias(f"y{y}") for y in years]))
 
 
 @query("agg_dup_groups", covers=("AGG-13", "DQ-3"), sql="""

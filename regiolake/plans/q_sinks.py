@@ -61,8 +61,11 @@ def snk_publish_schema(spark, sf_dir):
 
 
 @query("snk_csv_parts", covers=("SNK-1", "SNK-6", "SNK-2"), sql=f"""
-SELECT o_orderstatus AS status, CAST(COUNT(*) AS BIGINT) AS n, {sql_money_sum('o_totalprice')} AS total
-FROM orders GROUP BY 1
+WITH r AS (SELECT *, ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS nr, COUNT(*) OVER () // 3 AS size FROM orders),
+p AS (SELECT *, CASE WHEN size = 0 THEN 2 ELSE LEAST(nr // size, 2) END AS part FROM r)
+SELECT CAST(part AS INTEGER) AS part, CAST(COUNT(*) AS BIGINT) AS n, MIN(o_orderkey) AS min_key, MAX(o_orderkey) AS max_key,
+       CAST(COUNT(DISTINCT o_orderstatus) AS BIGINT) AS n_status, {sql_money_sum('o_totalprice')} AS total
+FROM p GROUP BY part
 """)
 def snk_csv_parts(spark, sf_dir):
     o = cat(spark, sf_dir)["orders"].select("o_orderkey", "o_orderstatus", "o_totalprice")
@@ -70,15 +73,18 @@ def snk_csv_parts(spark, sf_dir):
     base = scratch_path(spark, "csvparts")
     # one parallel write, one folder per part (the three load files of the reference)
     K.write_csv(parts.select("part", "o_orderkey", "o_orderstatus", "o_totalprice"), base, partition_by=["part"])
-    paths = [f"{base}/part={i}" for i in range(3)]
-    back = K.append_parts(spark, paths, "o_orderkey long, o_orderstatus string, o_totalprice double")
-    return back.groupBy(F.col("o_orderstatus").alias("status")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(N.money("o_totalprice")).cast("double").alias("total"))
+    # every part read back from its own folder, payload and all
+    schema = "o_orderkey long, o_orderstatus string, o_totalprice double"
+    back = R.union_all([K.append_parts(spark, [f"{base}/part={i}"], schema).withColumn("part", F.lit(i)) for i in range(3)])
+    return back.groupBy("part").agg(
+        F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("min_key"), F.max("o_orderkey").alias("max_key"),
+        F.countDistinct("o_orderstatus").alias("n_status"), F.sum(N.money("o_totalprice")).cast("double").alias("total"))
 
 
 @query("snk_enforce", covers=("SNK-5",), sql="""
 SELECT CASE WHEN abs(c_acctbal) > 999.99 THEN 'overflow:c_acctbal' END AS reject_reason,
-       CAST(COUNT(*) AS BIGINT) AS n, CAST(COUNT(*) FILTER (WHERE c_mktsegment IS NOT NULL) AS BIGINT) AS n_segment
+       CAST(COUNT(*) AS BIGINT) AS n, CAST(COUNT(*) FILTER (WHERE c_mktsegment IS NOT NULL) AS BIGINT) AS n_segment,
+       MIN(c_acctbal) AS min_balance, MAX(c_acctbal) AS max_balance
 FROM customer GROUP BY 1
 """)
 def snk_enforce(spark, sf_dir):
@@ -86,6 +92,8 @@ def snk_enforce(spark, sf_dir):
     contract = K.ColumnContract(not_null=["c_custkey", "c_mktsegment"], defaults={"c_mktsegment": "UNKNOWN"},
                                 decimals={"c_acctbal": (5, 2)})
     ok, bad = K.enforce(cu, contract)
-    both = ok.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(bad)
-    return both.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"),
-                                             F.count("c_mktsegment").alias("n_segment"))
+    # a rejected row keeps the value that it was rejected for
+    both = (ok.withColumn("reject_reason", F.lit(None).cast("string")).withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
+            .unionByName(bad))
+    return both.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"), F.count("c_mktsegment").alias("n_segment"),
+                                             F.min("c_acctbal").alias("min_balance"), F.max("c_acctbal").alias("max_balance"))

@@ -20,13 +20,11 @@ from ..sources import json_series as J
 from ..sources import px as PX
 from ..sources import text_tables as TT
 from ..session import materialize
-from .common import GEO_SQL, cat, geo_orders
+from .common import cat, geo_orders, GEO_SQL, labels_of
 from .q_relational import _MONTH_NAMES
 from .registry import query, sql_money_sum
 
 W = f"WITH {GEO_SQL.strip()}"
-_YEARS = list(range(1995, 2002))
-_STATUS = ["F", "O", "P"]
 
 
 def _nsy(spark, sf_dir):
@@ -204,8 +202,8 @@ def src_csv_positional(spark, sf_dir):
 @query("src_px_cube", covers=("SRC-8", "FN-4"), sql=f"""
 {W},
 c AS (SELECT n_name, o_orderstatus, yr, COUNT(*) AS n FROM geo GROUP BY 1, 2, 3),
-grid AS (SELECT n.n_name, s.st, y.yr FROM nation n, (VALUES ('F'), ('O'), ('P')) s(st),
-         (VALUES {", ".join(f"({y})" for y in _YEARS)}) y(yr))
+grid AS (SELECT n.n_name, s.st, y.yr FROM nation n, (SELECT DISTINCT o_orderstatus AS st FROM c WHERE o_orderstatus IS NOT NULL) s,
+         (SELECT DISTINCT yr FROM c WHERE yr IS NOT NULL) y)
 SELECT grid.n_name, grid.st AS status, CAST(grid.yr AS INTEGER) AS year, CAST(COALESCE(c.n, 0) AS DOUBLE) AS value
 FROM grid LEFT JOIN c ON grid.n_name = c.n_name AND grid.st = c.o_orderstatus AND grid.yr = c.yr
 """)
@@ -213,22 +211,24 @@ def src_px_cube(spark, sf_dir):
     c = cat(spark, sf_dir)
     g = geo_orders(c)
     counts = g.groupBy("n_name", F.col("o_orderstatus").alias("st"), "yr").agg(F.count(F.lit(1)).alias("n"))
-    # the cube grid per nation: fixed dimension lists exploded inside each nation row (no cross join)
+    counts = materialize(counts, "px_counts")
+    states, years = labels_of(counts, "st", "yr")
+    # the cube grid per nation: the dimension lists exploded inside each nation row (no cross join)
     grid = (c["nation"].select("n_name")
-            .withColumn("st_i", F.explode(F.sequence(F.lit(0), F.lit(len(_STATUS) - 1))))
-            .withColumn("yr_i", F.explode(F.sequence(F.lit(0), F.lit(len(_YEARS) - 1))))
-            .withColumn("st", F.element_at(F.array(*[F.lit(s) for s in _STATUS]), F.col("st_i") + 1))
-            .withColumn("yr", F.col("yr_i") + _YEARS[0]))
+            .withColumn("st_i", F.explode(F.sequence(F.lit(0), F.lit(len(states) - 1))))
+            .withColumn("yr_i", F.explode(F.sequence(F.lit(0), F.lit(len(years) - 1))))
+            .withColumn("st", F.element_at(F.array(*[F.lit(s) for s in states]), F.col("st_i") + 1))
+            .withColumn("yr", F.element_at(F.array(*[F.lit(y) for y in years]), F.col("yr_i") + 1)))
     cells = grid.join(counts, on=["n_name", "st", "yr"], how="left").withColumn(
         "tok", F.when(F.col("n") >= 1000, F.translate(F.format_number("n", 0), ",", "."))
         .otherwise(F.coalesce(F.col("n"), F.lit(0)).cast("string")))
-    pos = F.col("st_i") * len(_YEARS) + F.col("yr_i")
+    pos = F.col("st_i") * len(years) + F.col("yr_i")
     files = cells.groupBy("n_name").agg(F.array_join(F.transform(F.array_sort(F.collect_list(
         F.struct(pos.alias("p"), F.col("tok").alias("t")))), lambda s: s["t"]), " ").alias("data"))
     vals = lambda xs: ",".join(f'"{x}"' for x in xs)
     files = files.select("n_name", F.concat(
-        F.lit(f'CHARSET="ANSI";\nSTUB="estado";\nHEADING="periodo";\nVALUES("estado")={vals(_STATUS)};\n'
-              f'VALUES("periodo")={vals(_YEARS)};\nDATA=\n'), F.col("data"), F.lit(";\n")).alias("content"))
+        F.lit(f'CHARSET="ANSI";\nSTUB="estado";\nHEADING="periodo";\nVALUES("estado")={vals(states)};\n'
+              f'VALUES("periodo")={vals(years)};\nDATA=\n'), F.col("data"), F.lit(";\n")).alias("content"))
     cube = PX.dims_to_columns(PX.parse_px(files, "content", keep=["n_name"]), ["status", "year"], keep=["n_name"])
     return cube.select("n_name", "status", F.col("year").cast("int").alias("year"), "value")
 
@@ -281,8 +281,10 @@ def snk_split_even(spark, sf_dir):
 
 def _wide_years(spark, sf_dir):
     ny = _ny_text(spark, sf_dir).withColumn("rev", F.col("rev").cast("double"))
-    return ny.groupBy("n_name").pivot("yr", _YEARS).agg(F.first("rev")).select(
-        "n_name", *[F.col(str(y)) for y in _YEARS], F.lit("x").alias("note"))
+    ny = materialize(ny, "wide_years")
+    years, = labels_of(ny, "yr")
+    return ny.groupBy("n_name").pivot("yr", years).agg(F.first("rev")).select(
+        "n_name", *[F.col(str(y)) for y in years], F.lit("x").alias("note"))
 
 
 @query("rsh_melt_years", covers=("RSH-1",), sql=f"""
@@ -304,7 +306,7 @@ FROM orders GROUP BY 1, 2
 def rsh_melt_split(spark, sf_dir):
     o = cat(spark, sf_dir)["orders"].withColumn("year", F.year("o_orderdate").cast("int"))
     aggs = []
-    for s in _STATUS:
+    for s in labels_of(o, "o_orderstatus")[0]:
         aggs += [F.count_if(F.col("o_orderstatus") == s).alias(f"status_{s}_orders"),
                  F.count_distinct(F.when(F.col("o_orderstatus") == s, F.col("o_custkey"))).alias(f"status_{s}_customers")]
     wide = o.groupBy("year").agg(*aggs)
@@ -315,13 +317,14 @@ def rsh_melt_split(spark, sf_dir):
 
 @query("rsh_pivot_first", covers=("RSH-3", "AGG-12"), sql=f"""
 {W},
-f AS (SELECT r_name, yr, arg_min(n_name, o_orderkey) AS first_nation FROM geo GROUP BY 1, 2)
-SELECT r_name, {", ".join(f"MAX(CASE WHEN yr = {y} THEN first_nation END) AS y{y}" for y in _YEARS)} FROM f GROUP BY 1
+f AS (SELECT r_name, 'y' || yr AS y, arg_min(n_name, o_orderkey) AS first_nation FROM geo GROUP BY ALL)
+PIVOT f ON y USING max(first_nation) GROUP BY r_name
 """)
 def rsh_pivot_first(spark, sf_dir):
     g = geo_orders(cat(spark, sf_dir))
-    p = RS.pivot_first(g, ["r_name"], "yr", "n_name", _YEARS, order=F.col("o_orderkey"))
-    return p.select("r_name", *[F.col(str(y)).alias(f"y{y}") for y in _YEARS])
+    years, = labels_of(g, "yr")
+    p = RS.pivot_first(g, ["r_name"], "yr", "n_name", years, order=F.col("o_orderkey"))
+    return p.select("r_name", *[F.col(str(y)).alias(f"y{y}") for y in years])
 
 
 @query("rsh_header_parse", covers=("RSH-4", "FN-16", "FN-3", "AGG-7"), sql=f"""
@@ -333,7 +336,7 @@ FROM geo GROUP BY r_name, o_orderpriority, mon, yr
 def rsh_header_parse(spark, sf_dir):
     g = geo_orders(cat(spark, sf_dir))
     names = F.array(*[F.lit(m) for m in _MONTH_NAMES])
-    col_idx = ((F.col("yr") - _YEARS[0]) * 12 + F.col("mon")).cast("int")
+    col_idx = (F.col("yr") * 12 + F.col("mon")).cast("int")
     row_idx = F.regexp_extract("o_orderpriority", r"^(\d+)", 1).cast("int")
     counts = materialize(g.groupBy("r_name", "o_orderpriority", "yr", "mon").agg(F.count(F.lit(1)).alias("n")),
                          "header_counts")

@@ -4,7 +4,7 @@ Nothing here hand-schedules work: it only sets the knobs Catalyst/AQE read.
 """
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
 import uuid
 
@@ -45,34 +45,48 @@ def build_session(master: str | None = None, app: str = "regiolake",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must already be set to a shared file system path.  Only
-    when it is unset (local tests) do we pick a folder of our own, and register it
-    with ``setCheckpointDir`` (a core setting cannot be changed through
-    ``spark.conf`` at runtime).
+    On a cluster the setting must be there and name a shared file system: without it this raises, as
+    executors would each write to a disk of their own.  Only a local master, where driver and
+    executors are one process, gets a folder of its own, for the life of the process.
     """
     sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None)
+    d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        try:
-            d = spark.conf.get("spark.checkpoint.dir", None)
-        except Exception:  # noqa: BLE001 - not readable through the SQL conf on some versions
-            d = None
-    if not d:
-        d = _LOCAL_CKPT.get(id(sc))
-    if not d:
-        d = tempfile.mkdtemp(prefix="regiolake-ckpt-")
-        _LOCAL_CKPT[id(sc)] = d
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        d = _LOCAL.get(sc.applicationId) or _LOCAL.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="regiolake-"))
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
 
 
-_LOCAL_CKPT: dict[int, str] = {}
+_LOCAL: dict[str, str] = {}
+
+
+def _owned(spark: SparkSession) -> str:
+    """This application's part of the shared folder; removed when the application's driver ends."""
+    sc = spark.sparkContext
+    top = f"{checkpoint_dir(spark).rstrip('/')}/regiolake-{sc.applicationId}"
+    if top not in _OWNED:
+        _OWNED.add(top)
+        atexit.register(_remove, sc, top)
+    return top
+
+
+_OWNED: set[str] = set()
+
+
+def _remove(sc, path: str) -> None:
+    try:
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # noqa: BLE001 - the session may have ended before its process
+        pass
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), "regiolake", f"{name}-{uuid.uuid4().hex}")
+    """A fresh, unique path in this application's part of the shared folder."""
+    return f"{_owned(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df, name: str):

@@ -9,20 +9,36 @@ helper applied to Arrow batches, partitioned like the input.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html.entities import html5
 from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The HTML entities decoded in cell text.
-_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+def _entities() -> Column:
+    """Map of every named entity to its text, from the standard library's table."""
+    named = [(k[:-1], v) for k, v in html5.items() if k.endswith(";")]
+    return F.create_map(*[F.lit(x) for pair in named for x in pair])
+
+
+def unescape(x: Column) -> Column:
+    """All named and numeric character references decoded in one pass."""
+    def decode(part: Column) -> Column:
+        name = F.regexp_extract(part, "^([A-Za-z][A-Za-z0-9]*);", 1)
+        number = F.regexp_extract(part, "^#([0-9]{1,7});", 1)
+        code = F.regexp_extract(part, "^#[xX]([0-9A-Fa-f]{1,6});", 1)
+        point = F.when(number != "", F.hex(number.cast("long"))).when(code != "", code)
+        char = F.decode(F.unhex(F.lpad(point, 8, "0")), "UTF-32")
+        known = F.when(name != "", F.element_at(_entities(), name)).otherwise(char)
+        return F.when(known.isNotNull(), F.concat(known, F.regexp_replace(part, "^[^;]*;", ""))).otherwise(F.concat(F.lit("&"), part))
+    parts = F.split(x, "&")
+    tail = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), decode)
+    return F.when(F.contains(x, F.lit("&")), F.concat(F.get(parts, F.lit(0)), F.array_join(tail, ""))).otherwise(x)
 
 
 def cell_text(x: Column) -> Column:
-    """Tags removed, basic entities decoded, blanks collapsed and trimmed."""
-    t = F.regexp_replace(x, r"(?s)<[^>]*>", " ")
-    for a, b in _ENTITIES:
-        t = F.replace(t, F.lit(a), F.lit(b))
+    """Tags removed, character references decoded, blanks collapsed and trimmed."""
+    t = unescape(F.regexp_replace(x, r"(?s)<[^>]*>", " "))
     return F.trim(F.regexp_replace(t, r"(?U)\s+", " "))
 
 
@@ -39,7 +55,7 @@ def table_after_anchor(df: DataFrame, anchor: str, html_col: str = "html", keep:
     of ``anchor`` in the page text (flat tables)."""
     h = F.col(html_col)
     pos = F.instr(h, anchor)
-    tail = F.when(pos > 0, F.substring(h, pos, F.lit(1 << 30)))
+    tail = F.when(pos > 0, F.substr(h, pos))
     table = F.regexp_extract(tail, r"(?is)<table[^>]*>(.*?)</table>", 1)
     rows = df.select(*keep, F.posexplode(F.regexp_extract_all(table, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), 1))
                      .alias("row_idx", "tr"))

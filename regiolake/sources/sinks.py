@@ -46,7 +46,7 @@ def reload(spark: SparkSession, frames: Mapping[str, DataFrame | None], base_pat
             n = spark.read.format(fmt).load(path).count()
             rows.append((name, "loaded", int(n), None))
         except Exception as e:  # noqa: BLE001 - reported per table, like the reference loader
-            rows.append((name, "error", None, str(e)[:500]))
+            rows.append((name, "error", None, str(e)))
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
@@ -79,7 +79,7 @@ def enforce(df: DataFrame, c: ColumnContract) -> tuple[DataFrame, DataFrame]:
 
     A row is rejected when a NOT NULL column is NULL after defaults, or when a
     decimal cast overflows (``try_cast`` gives NULL for a non-NULL input).  The
-    rejected frame carries a ``reject_reason``.  Both come from one scan when
+    rejected frame keeps its values as they came and carries a ``reject_reason``.  Both come from one scan when
     the caller caches or writes them together."""
     out = df
     for col, v in c.defaults.items():
@@ -93,11 +93,12 @@ def enforce(df: DataFrame, c: ColumnContract) -> tuple[DataFrame, DataFrame]:
         reasons.append(F.when(F.col(col).isNull(), F.lit(f"null:{col}")))
     reason = F.concat_ws(",", *reasons) if reasons else F.lit("")
     out = out.withColumn("reject_reason", F.nullif(reason, F.lit("")))
-    for col in c.decimals:
-        out = out.withColumn(col, F.col(f"__dec_{col}")).drop(f"__dec_{col}")
+    made = [f"__dec_{col}" for col in c.decimals]
     ok = out.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    for col in c.decimals:                             # only accepted rows take the new type
+        ok = ok.withColumn(col, F.col(f"__dec_{col}"))
     bad = out.where(F.col("reject_reason").isNotNull())
-    return ok, bad
+    return ok.drop(*made), bad.drop(*made)
 
 
 def append_parts(spark: SparkSession, paths: Sequence[str], schema: str, sep: str = ",",

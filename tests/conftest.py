@@ -7,13 +7,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from regiolake.session import build_session
-    s = build_session("local[4]", app="regiolake-tests", shuffle_partitions=4)
-    # tests own their checkpoint folder only when the session has none (checkpoint_dir decides)
-    from regiolake.session import checkpoint_dir
-    checkpoint_dir(s)
-    yield s
+    yield build_session("local[4]", app="regiolake-tests", shuffle_partitions=4,
+                        extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
 
 
 def rows(df, *cols):

@@ -32,3 +32,29 @@ def test_publish_casts_to_schema(spark):
     assert rep[0].status == "loaded"
     back = spark.read.parquet(f"{base}/t")
     assert back.schema.simpleString() == "struct<k:bigint,missing:string>"
+
+
+def test_enforce_keeps_rejected_values(spark):
+    df = spark.createDataFrame([(1, 12345.678), (2, 1.25)], "k int, p double")
+    ok, bad = K.enforce(df, K.ColumnContract(decimals={"p": (6, 2)}))
+    assert rows(bad.select("k", "p")) == [(1, 12345.678)] and ok.schema["p"].dataType == T.DecimalType(6, 2)
+
+
+def test_split_even_with_payload(spark):
+    from regiolake.operators import relational as R
+    o = spark.read.parquet("/root/testdata/sf0.1/orders.parquet").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    n = o.count()
+    got = rows(R.split_even(o, ["o_orderkey"], 3).groupBy("part").agg(F.count(F.lit(1)), F.min("o_orderkey"), F.max("o_orderkey")))
+    keys = sorted(r[0] for r in o.select("o_orderkey").collect())
+    size = n // 3
+    cuts = [keys[:size], keys[size:2 * size], keys[2 * size:]]
+    assert got == [(i, len(k), k[0], k[-1]) for i, k in enumerate(cuts)]
+
+
+def test_all_character_references_are_decoded(spark):
+    from regiolake.sources import html as H
+    page = ("<p>Grupos</p><table><tr><th>x</th></tr><tr><td>Jos&eacute; &#233;&#xE9; &amp;lt; a&b &nosuch; "
+            "&euro;&#128512; R&amp;D</td></tr></table>")
+    df = spark.createDataFrame([("p", page)], "id string, html string")
+    text = [r["text"] for r in H.table_after_anchor(df, "Grupos", keep=["id"]).orderBy("row_idx").collect()]
+    assert text[1] == "José éé &lt; a&b &nosuch; €😀 R&D"
