@@ -58,6 +58,13 @@ def geo_orders(c: Catalog) -> DataFrame:
              .withColumn("mon", F.month("o_orderdate").cast("int")))
 
 
+def geo_star(c: Catalog) -> DataFrame:
+    """The orders star by (region, nation, status, priority, year, month): number of orders and exact
+    revenue.  Its size follows the dimensions, not the orders."""
+    return geo_orders(c).groupBy("r_name", "n_name", "o_orderstatus", "o_orderpriority", "yr", "mon").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("rev"))
+
+
 def with_yr(df: DataFrame, ts: str = "o_orderdate") -> DataFrame:
     return df.withColumn("yr", F.year(ts).cast("int"))
 

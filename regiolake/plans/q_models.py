@@ -117,14 +117,15 @@ def _map(col, mapping, default=None):
     return hit if default is None else F.coalesce(hit, default)
 
 
-def _crime_base(c):
-    g = geo_orders(c)
+def _crime_base(c, n=None):
+    """From a catalog, or from the orders star by its dimensions with ``n`` as the number of orders."""
+    g, n = (geo_orders(c), F.count(F.lit(1))) if n is None else (c, n)
     nat = F.when(F.col("n_name") == "NATION_0", "España").when(F.col("n_name") == "NATION_5", "Sin determinar") \
         .when(F.col("n_name") == "NATION_10", F.lit(None)).otherwise(F.col("n_name"))
     sex = F.when(F.col("o_orderstatus") == "F", "Ambos sexos").when(F.col("o_orderstatus") == "O", "Hombres") \
         .otherwise("Mujeres")
     base = g.groupBy(_map("r_name", _PROV).alias("province"), F.col("r_name").alias("region"), nat.alias("nationality"),
-                     sex.alias("sex"), F.col("yr").alias("year")).agg(F.count(F.lit(1)).alias("value"))
+                     sex.alias("sex"), F.col("yr").alias("year")).agg(n.alias("value"))
     return {"crime_detentions": conform(base, SCHEMAS["crime_detentions"])}
 
 
