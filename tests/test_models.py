@@ -111,3 +111,29 @@ def test_build_all_models_analyse(t):
     assert len(built) == 26
     for name, df in built.items():
         assert df.columns, name
+
+
+def test_declared_view_tests_find_planted_faults(spark, t):
+    """A row without province, a repeated year and a value outside the list, each found by its declared test."""
+    from pyspark.sql import functions as F
+
+    from regiolake.operators import quality as Q
+    from regiolake.plans.schemas import view_contracts
+    views = M.build_all(t)
+    names = ["mart_immigration_crime_study_pv_rates", "stg_ine_padron_foreign_province"]
+    crime, padron = (views[n] for n in names)
+    bad = {names[0]: crime.unionByName(crime), names[1]: padron.withColumn("province_std", F.lit("Elsewhere")).unionByName(
+        padron.withColumn("province_std", F.lit(None).cast("string")))}
+    found = {(r["dataset"], r["check_name"], r["column_name"]): r["n_failed"] for r in Q.check_many(
+        bad, [c for c in view_contracts() if c.dataset in names], spark, ("not_null", "unique", "accepted_values")).collect()}
+    n = padron.count()
+    assert found[names[0], "unique", "year"] == crime.count()
+    assert found[names[1], "not_null", "province_std"] == n and found[names[1], "accepted_values", "province_std"] == n
+
+
+def test_contracts_cover_all_views_and_tables():
+    from regiolake.plans import schemas as S
+    v = S.view_contracts()
+    assert (sum(len(c.not_null) for c in v), sum(len(c.unique) for c in v), sum(len(c.accepted_values) for c in v)) == (86, 5, 13)
+    assert {c.dataset for c in v} == set(M.MODELS)
+    assert {c.dataset for c in S.contracts()} == {c.dataset for c in S.post_load_contracts()} == set(S.SCHEMAS)

@@ -41,7 +41,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    # declared tests, contracts and the smoke test of 26 views are held against fixtures instead (test_models.py)
+    assert set(QUERIES) - set(ORACLE) == {"dq_view_tests", "dq_base_contracts", "dq_mart_smoke"}
 
 
 def test_entry_runs(spark):
@@ -50,7 +51,7 @@ def test_entry_runs(spark):
     assert "over_representation_ratio" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     sdf = QUERIES[name](spark, SF)
     cols = sorted(sdf.columns)
