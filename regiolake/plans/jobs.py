@@ -80,10 +80,8 @@ def job_activity_rates(raw: DataFrame, content_col: str = "content", skip: int =
 
     The first four columns are renamed by position (PRJ-3); digit-only columns
     are years (RSH-1); values use a decimal comma (FN-4); empty values dropped."""
-    names = TT.header_of(raw, content_col, skip, sep)
-    t = TT.parse_delimited(raw, content_col, names, skip=skip, sep=sep)
-    t = t.drop("line_no").toDF("rate_type", "province", "nationality", "quarter", *names[4:])
-    long = RS.melt_years(t, ["rate_type", "province", "nationality", "quarter"], "value")
+    ids = {n: F.get("vals", F.lit(i)) for i, n in enumerate(("rate_type", "province", "nationality", "quarter"))}
+    long = TT.year_cells(TT.by_own_header(raw, content_col, skip, sep), ids)
     long = long.withColumn("value", N.safe_double(F.replace("value", F.lit(","), F.lit("."))))
     return conform(long.where(F.col("value").isNotNull()), SCHEMAS["eustat_activity_nationality"])
 
@@ -221,12 +219,7 @@ def job_population_nationality(raw: DataFrame, content_col: str = "content", ski
     The dimension columns are required (DQ-1: a file without them is an error);
     digit-only columns are melted (RSH-1); non-numeric cells dropped; a constant
     ``ccaa`` column is added (PRJ-2)."""
-    names = TT.header_of(raw, content_col, skip, sep)
-    missing = [c for c in POP_NAT_IDS if c not in names]
-    if missing:
-        raise ValueError(f"missing required columns: {missing}")
-    t = TT.parse_delimited(raw, content_col, names, skip=skip, sep=sep).drop("line_no")
-    long = RS.melt_years(t, POP_NAT_IDS, "population")
+    long = TT.year_cells(TT.by_own_header(raw, content_col, skip, sep), {n: TT.value_of(n) for n in POP_NAT_IDS}, "population")
     long = long.select(F.lit(ccaa).alias("ccaa"), "province",
                        F.col("continent of nationality").alias("nationality"),
                        F.col("relation with the economic activity").alias("relation_with_activity"), "sex", "year",

@@ -53,13 +53,17 @@ def _half_even_mean_sql(total: str, n: str) -> str:
             f"AS DOUBLE) / 100.0")
 
 
+# points without a value: the rendered series have none for 2001
+_REJECTED_POP = ("(SELECT COUNT(DISTINCT (n_name, o_orderstatus)) + COUNT(DISTINCT (r_name, o_orderstatus)) FROM geo WHERE yr = 2001)")
+
+
 @query("job_population", covers=("JOB-01", "SRC-3", "FLT-9", "FN-21"), sql=f"""
 {W}
 SELECT 'province' AS level, n_name AS territory, yr AS year, {sql_money_sum('o_totalprice')} AS population,
-       o_orderstatus AS sex, 'Todas las edades' AS age_group, '1 de julio de' AS periodo
+       o_orderstatus AS sex, 'Todas las edades' AS age_group, '1 de julio de' AS periodo, {_REJECTED_POP} AS skipped_points
 FROM geo WHERE yr <> 2001 GROUP BY n_name, yr, o_orderstatus
 UNION ALL
-SELECT 'ccaa', r_name, yr, {sql_money_sum('o_totalprice')}, o_orderstatus, 'Todas las edades', '1 de julio de'
+SELECT 'ccaa', r_name, yr, {sql_money_sum('o_totalprice')}, o_orderstatus, 'Todas las edades', '1 de julio de', {_REJECTED_POP}
 FROM geo WHERE yr <> 2001 GROUP BY r_name, yr, o_orderstatus
 """)
 def job_population(spark, sf_dir):
@@ -73,8 +77,10 @@ def job_population(spark, sf_dir):
     reg = _json_files(a.groupBy("r_name", "o_orderstatus", "yr").agg(F.sum("rev").alias("rev")),
                       ["r_name"], ["o_orderstatus"], point,
                       F.array(_m("Comunidades y Ciudades Autónomas", F.col("r_name")), sex, age))
-    out, _rejects = JB.job_population(prov.unionByName(reg))
-    return out.select("level", "territory", "year", "population", "sex", "age_group", "periodo")
+    out, rejects = JB.job_population(materialize(prov.unionByName(reg), "population_files"))
+    # the number of rejected points is part of the result (FLT-9)
+    return out.select("level", "territory", "year", "population", "sex", "age_group", "periodo",
+                      rejects.scalar().alias("skipped_points"))
 
 
 @query("job_poverty", covers=("JOB-11", "SRC-4", "FN-17"), sql=f"""
@@ -113,7 +119,8 @@ def job_migration(spark, sf_dir):
 
 @query("job_earnings", covers=("JOB-03", "SRC-1", "FN-5", "FLT-9"), sql=f"""
 {W}
-SELECT o_orderstatus AS sex, n_name AS age_group, yr AS year, {sql_money_sum('o_totalprice')} AS value
+SELECT o_orderstatus AS sex, n_name AS age_group, yr AS year, {sql_money_sum('o_totalprice')} AS value,
+       (SELECT COUNT(DISTINCT (o_orderstatus, n_name)) FROM geo WHERE yr = 1995) AS discarded
 FROM geo WHERE yr <> 1995 GROUP BY o_orderstatus, n_name, yr
 """)
 def job_earnings(spark, sf_dir):
@@ -121,8 +128,9 @@ def job_earnings(spark, sf_dir):
     point = F.struct(F.col("yr").cast("string").alias("NombrePeriodo"),
                      F.when(F.col("yr") == 1995, F.lit("x")).otherwise(_rev_str()).alias("Valor"))
     meta = F.array(_m("sexo", F.col("o_orderstatus")), _m("grupo de edad", F.col("n_name")))
-    out, _discarded = JB.job_earnings(_json_files(a, ["r_name"], ["n_name", "o_orderstatus"], point, meta))
-    return out.select("sex", "age_group", "year", "value")
+    files = materialize(_json_files(a, ["r_name"], ["n_name", "o_orderstatus"], point, meta), "earnings_files")
+    out, discarded = JB.job_earnings(files)
+    return out.select("sex", "age_group", "year", "value", discarded.scalar().alias("discarded"))
 
 
 @query("job_employment", covers=("JOB-04", "SRC-2", "FN-19"), sql=f"""
@@ -152,17 +160,18 @@ def job_employment(spark, sf_dir):
 # --------------------------------------------------------------------------- text jobs
 
 def _wide_files(agg, file_key, dims, value, header_dims, title):
-    """Titled wide CSV per ``file_key``: dims columns then one quoted column per year."""
-    years, = labels_of(agg, "yr")
-    wide = agg.groupBy(file_key, *dims).pivot("yr", years).agg(F.first(value))
-    cells = [F.col(d) for d in dims] + [F.concat(F.lit('"'), F.coalesce(F.col(str(y)), F.lit("")), F.lit('"'))
-                                        for y in years]
-    lines = wide.select(file_key, F.concat_ws(",", *cells).alias("line"), *dims)
-    body = lines.groupBy(file_key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(
+    """Titled wide CSV per ``file_key``: dims columns, then one quoted column for each year that the file has
+    values for; every second file (by its key) lists its years in descending order."""
+    years = agg.groupBy(file_key).agg(F.array_sort(F.collect_set("yr")).alias("ys"))          # a dimension's members
+    years = years.withColumn("ys", F.when(F.crc32(F.col(file_key).cast("binary")) % 2 == 0, F.reverse("ys")).otherwise(F.col("ys")))
+    by_row = agg.groupBy(file_key, *dims).agg(F.map_from_entries(F.collect_list(F.struct("yr", value))).alias("m"))
+    rows = by_row.join(years, on=file_key)
+    quoted = F.transform("ys", lambda y: F.concat(F.lit('"'), F.coalesce(F.element_at("m", y), F.lit("")), F.lit('"')))
+    lines = rows.select(file_key, "ys", F.concat_ws(",", *[F.col(d) for d in dims], F.array_join(quoted, ",")).alias("line"), *dims)
+    body = lines.groupBy(file_key, "ys").agg(F.array_join(F.transform(F.array_sort(F.collect_list(
         F.struct(*[F.col(d) for d in dims], F.col("line")))), lambda s: s["line"]), "\n").alias("body"))
-    header = ",".join([*header_dims, *[str(y) for y in years]])
-    return body.select(file_key, F.concat_ws("\n", F.concat(F.lit(title), F.col(file_key)), F.lit(header),
-                                             F.col("body")).alias("content"))
+    header = F.concat_ws(",", *[F.lit(h) for h in header_dims], F.array_join(F.transform("ys", lambda y: y.cast("string")), ","))
+    return body.select(file_key, F.concat_ws("\n", F.concat(F.lit(title), F.col(file_key)), header, F.col("body")).alias("content"))
 
 
 @query("job_activity_rates", covers=("JOB-05", "SRC-5", "PRJ-3", "RSH-1", "FN-4"), sql=f"""

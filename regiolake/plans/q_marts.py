@@ -177,9 +177,9 @@ def mdl_housing(spark, sf_dir):
 {FOREIGN_PCT_CTES},
 {POP_YEAR_SQL},
 p AS (SELECT yr AS year, {sql_pct("COUNT(*) FILTER (WHERE o_orderstatus = 'F')", 'COUNT(*)')} AS rate FROM g
-      WHERE r_name = 'EUROPE' AND yr >= 1996 GROUP BY 1),
+      WHERE r_name = 'EUROPE' GROUP BY 1),
 n AS (SELECT yr AS year, {sql_pct("COUNT(*) FILTER (WHERE o_orderstatus = 'F')", 'COUNT(*)')} AS rate FROM g
-      WHERE yr <= 2000 GROUP BY 1)
+      GROUP BY 1)
 SELECT p.year, p.rate AS regional_rate, n.rate AS national_rate, {sql_fixed('n.rate - p.rate', 1)} AS gap_pp,
        popy.total_population, popy.foreign_population, popy.foreign_population_pct
 FROM p LEFT JOIN n ON p.year = n.year LEFT JOIN popy ON p.year = popy.year
@@ -191,8 +191,8 @@ def mdl_poverty(spark, sf_dir):
     def rate(df):
         return df.groupBy("year").agg(F.sum(F.when(F.col("o_orderstatus") == "F", F.col("n"))).alias("f"),
                                       F.sum("n").alias("t")).select("year", N.pct("f", "t").alias("rate"))
-    p = rate(base.where((F.col("r_name") == "EUROPE") & (F.col("year") >= 1996))).withColumnRenamed("rate", "regional_rate")
-    n = rate(base.where(F.col("year") <= 2000)).withColumnRenamed("rate", "national_rate")
+    p = rate(base.where(F.col("r_name") == "EUROPE")).withColumnRenamed("rate", "regional_rate")
+    n = rate(base).withColumnRenamed("rate", "national_rate")
     out = R.left_enrich(p, (n, ["year"]), (population_year(foreign_pct(c, base)), ["year"]))
     return out.select("year", "regional_rate", "national_rate",
                       N.gap("national_rate", "regional_rate", 1).alias("gap_pp"),
@@ -230,7 +230,7 @@ el AS (SELECT CAST(year AS INTEGER) AS year, upper(trim(party_name)) AS party_na
 mig AS (SELECT yr AS year,
                {sql_fixed("SUM(CAST(o_totalprice AS DECIMAL(18,2))) / CAST(COUNT(*) AS DOUBLE) / 1000.0", 2)} AS rate_total,
                {sql_fixed("SUM(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (o_orderstatus = 'F') / CAST(COUNT(*) FILTER (o_orderstatus = 'F') AS DOUBLE) / 1000.0", 2)} AS rate_f
-        FROM g WHERE yr >= 1997 GROUP BY 1)"""
+        FROM g GROUP BY 1)"""
 
 
 @query("mdl_elections", covers=("MDL-26", "MDL-06", "AGG-1", "AGG-7", "JN-9", "FN-3", "FN-12", "FN-8", "JN-2", "JN-4"),
@@ -251,7 +251,7 @@ def mdl_elections(spark, sf_dir):
         F.sum("total_seats").alias("seats"))
     tot = el.groupBy("year").agg(F.sum("seats").alias("total_seats_year"))
     isf = F.col("o_orderstatus") == "F"
-    mig = (mb.where(F.col("yr") >= 1997).groupBy(F.col("yr").alias("year"))
+    mig = (mb.groupBy(F.col("yr").alias("year"))
              .agg(F.sum("rev").alias("s"), F.sum("n").alias("n"),
                   F.sum(F.when(isf, F.col("rev"))).alias("sf"), F.sum(F.when(isf, F.col("n"))).alias("nf"))
             .select("year", N.fixed(N.exact_mean("s", "n") / 1000.0, 2).alias("rate_total"),

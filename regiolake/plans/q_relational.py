@@ -189,7 +189,7 @@ def jn_using3(spark, sf_dir):
 base AS (SELECT r_name, yr, {sql_money_sum('o_totalprice')} AS revenue FROM geo GROUP BY 1, 2),
 reg AS (SELECT r.r_name, CAST(COUNT(*) AS BIGINT) AS region_customers
         FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
-        WHERE c.c_acctbal > 0 GROUP BY 1),
+        GROUP BY 1),
 yt AS (SELECT yr, {sql_money_sum('o_totalprice')} AS year_revenue FROM geo WHERE o_orderstatus = 'F' GROUP BY 1)
 SELECT base.r_name, base.yr AS year, base.revenue, reg.region_customers, yt.year_revenue,
        {sql_pct('base.revenue', 'yt.year_revenue')} AS share_of_f_year_pct
@@ -199,7 +199,7 @@ def jn_left_chain(spark, sf_dir):
     c = cat(spark, sf_dir)
     g = geo_orders(c)
     base = g.groupBy("r_name", "yr").agg(msum("o_totalprice").alias("revenue"))
-    reg = (c["customer"].where(F.col("c_acctbal") > 0).select("c_custkey")
+    reg = (c["customer"].select("c_custkey")
            .join(customer_geo(c), on="c_custkey").groupBy("r_name")
            .agg(F.count(F.lit(1)).alias("region_customers")))
     yt = g.where(F.col("o_orderstatus") == "F").groupBy("yr").agg(msum("o_totalprice").alias("year_revenue"))
@@ -212,7 +212,7 @@ def jn_left_chain(spark, sf_dir):
 {W},
 base AS (SELECT n_name, yr, CAST(COUNT(*) AS BIGINT) AS n_orders FROM geo GROUP BY 1, 2),
 ratio AS (SELECT n_name, AVG(CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS DOUBLE)) AS f_ratio
-          FROM geo WHERE o_orderpriority = '1-URGENT' AND yr <= 1996 GROUP BY 1 HAVING COUNT(*) >= 3)
+          FROM geo WHERE o_orderpriority = '1-URGENT' GROUP BY 1 HAVING COUNT(*) >= 3)
 SELECT base.n_name, base.yr AS year, base.n_orders,
        {sql_fixed('COALESCE(ratio.f_ratio, 1)', 6)} AS f_ratio,
        {sql_fixed('base.n_orders * COALESCE(ratio.f_ratio, 1)', 2)} AS scaled_orders
@@ -221,7 +221,7 @@ FROM base LEFT JOIN ratio ON base.n_name = ratio.n_name
 def jn_left_default(spark, sf_dir):
     g = geo_orders(cat(spark, sf_dir))
     base = g.groupBy("n_name", "yr").agg(F.count(F.lit(1)).alias("n_orders"))
-    ratio = (g.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("yr") <= 1996))
+    ratio = (g.where(F.col("o_orderpriority") == "1-URGENT")
               .groupBy("n_name")
               .agg(F.sum((F.col("o_orderstatus") == "F").cast("long")).alias("nf"), F.count(F.lit(1)).alias("n"))
               .where(F.col("n") >= 3)

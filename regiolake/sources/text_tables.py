@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -53,24 +53,49 @@ def _re_quote(sep: str) -> str:
     return re.escape(sep)
 
 
-def header_of(df: DataFrame, content_col: str, skip: int = 0, sep: str = ",") -> list[str]:
-    """Column names from the header line of the first file (one bounded read, as the CSV
-    reader's own header handling does)."""
-    ln = _lines(df.limit(1), content_col, []).where(F.col("line_no") == skip)
-    row = ln.select("line").first()
-    if row is None:
-        return []
-    import csv
-    return [h.strip() for h in next(csv.reader([row["line"]], delimiter=sep))]
+def _fields(line: Column, sep: str) -> Column:
+    """The fields of one line: cut at separators outside quotes, quotes taken off."""
+    cut = F.split(line, _re_quote(sep) + '(?=(?:[^"]*"[^"]*")*[^"]*$)')
+    return F.transform(cut, lambda x: F.when(F.rlike(F.trim(x), F.lit('^".*"$')), F.replace(
+        F.regexp_replace(F.trim(x), '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(x))
+
+
+def by_own_header(df: DataFrame, content_col: str, skip: int = 0, sep: str = ",", keep: Sequence[str] = ()) -> DataFrame:
+    """Body lines of every file with the names of that file's own header: rows (line_no, names, vals).
+
+    Files of one folder may have other columns, or the same in another order; no file speaks for the others, and
+    nothing is read while the plan is built."""
+    text = F.regexp_replace(F.regexp_replace(F.col(content_col), "^\ufeff", ""), "\r\n?", "\n")
+    files = df.select(*keep, F.split(text, "\n").alias("__l"))
+    head = F.transform(_fields(F.get("__l", F.lit(skip)), sep), lambda x: F.trim(x))
+    lines = files.select(*keep, head.alias("names"), F.posexplode("__l").alias("line_no", "__line"))
+    return (lines.where((F.col("line_no") > skip) & (F.trim("__line") != ""))
+            .select(*keep, "line_no", "names", _fields(F.col("__line"), sep).alias("vals")))
+
+
+def value_of(name: str) -> Column:
+    """The value under a column name of the line's own header; a file without the column is an error."""
+    at = F.array_position("names", name).cast("int")
+    return F.when(at > 0, F.get("vals", at - 1)).otherwise(
+        F.raise_error(F.concat(F.lit(f"missing required column: {name}; the header has "), F.array_join("names", ", "))).cast("string"))
+
+
+def year_cells(df: DataFrame, ids: dict[str, Column], value_name: str = "value") -> DataFrame:
+    """RSH-1 on lines with their own header: one row per digit-only column."""
+    cells = F.filter(F.arrays_zip("names", "vals"), lambda z: F.rlike(z["names"], F.lit("^[0-9]+$")))
+    rows = df.select(*[c.alias(n) for n, c in ids.items()], F.explode(cells).alias("__z"))
+    return rows.select(*ids, F.col("__z.names").cast("int").alias("year"), F.col("__z.vals").alias(value_name))
 
 
 def read_titled_csv(spark: SparkSession, path: str, skip: int = 0, sep: str = ",", encoding: str = "UTF-8",
                     names: Sequence[str] | None = None, **kw) -> DataFrame:
-    """SRC-5: read title-prefixed CSV files; ``names`` default to the header line of the first file."""
+    """SRC-5: read title-prefixed CSV files.  With ``names``, columns bound by position; without, the lines with the
+    header of their own file (``by_own_header``)."""
     raw = (spark.read.format("binaryFile").load(path)
            .select(F.col("path").alias("file"), F.decode("content", encoding).alias("content")))
-    cols = list(names) if names else header_of(raw, "content", skip, sep)
-    return parse_delimited(raw, "content", cols, skip=skip, header=True, sep=sep, keep=["file"], **kw)
+    if not names:
+        return by_own_header(raw, "content", skip, sep, ["file"])
+    return parse_delimited(raw, "content", list(names), skip=skip, header=True, sep=sep, keep=["file"], **kw)
 
 
 def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = ";", header: bool = True,
