@@ -1,6 +1,8 @@
 """Clean-table jobs (JOB-*) on raw-shape fixtures (FIXTURES.md §2)."""
 import json
 
+import pytest
+
 from regiolake.plans import jobs as J
 
 from conftest import rows
@@ -102,7 +104,24 @@ def test_ecp_pairing_last_foreign_wins(spark):
                                 "province_std string, year int, obs_order int, value double")
     fo = spark.createDataFrame([("Araba", 2021, 0, 20000.0), ("Araba", 2021, 1, 21000.6)],
                                "province_std string, year int, obs_order int, value double")
-    assert rows(J.job_ecp_pairing(tot, fo)) == [("Araba", 2021, 21001, 330000), ("Araba", 2021, 21001, 331001)]
+    # halves go to the even neighbour: 331000.5 -> 331000
+    assert rows(J.job_ecp_pairing(tot, fo)) == [("Araba", 2021, 21001, 330000), ("Araba", 2021, 21001, 331000)]
+
+
+def test_files_with_other_year_columns_and_orders(spark):
+    """Each file is read by its own header: a year that one file lacks, and columns in another order."""
+    a = "t\nTipo,Territorio,Nac,Periodo,2019,2020\nA,Araba,Total,Annual average,\"1,5\",\"2,5\"\n"
+    b = "t\nTipo,Territorio,Nac,Periodo,2021,2020\nA,Bizkaia,\"x, y\",Annual average,\"3,5\",\"4,5\"\n"
+    raw = spark.createDataFrame([(a,), (b,)], "content string")
+    got = rows(J.job_activity_rates(raw), "province", "nationality", "year", "value")
+    assert got == [("Araba", "Total", 2019, 1.5), ("Araba", "Total", 2020, 2.5), ("Bizkaia", "x, y", 2020, 4.5),
+                   ("Bizkaia", "x, y", 2021, 3.5)]
+
+
+def test_file_without_a_required_column_is_an_error(spark):
+    raw = spark.createDataFrame([("t\nprovince,sex,2020\nAraba,F,1\n",)], "content string")
+    with pytest.raises(Exception, match="missing required column"):
+        J.job_population_nationality(raw).collect()
 
 
 def test_elections_html_table(spark):
