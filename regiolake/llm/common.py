@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from regiolake.session import materialize
 
-__all__ = ["col", "others", "plain_names", "read", "sha_hex", "stored", "values", "text_or_empty"]
+__all__ = ["arrow_rows", "col", "others", "plain_names", "read", "sha_hex", "stored", "values", "text_or_empty"]
 
 
 def col(name: str) -> Column:
@@ -34,6 +34,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
+def arrow_rows(df: DataFrame, most: int = 1000) -> DataFrame:
+    """Bound the rows that a Python worker gets at once: whole texts in batches of ten thousand take
+    hundreds of megabytes in the worker and in the JVM.  A setting of the session, lowered only."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= most:
+        conf.set(name, most)
+    return df
+
+
 def text_or_empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 

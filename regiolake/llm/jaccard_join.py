@@ -16,9 +16,9 @@ Documents link when the Jaccard similarity of their sets of distinct word shingl
    pairs under the size bounds go: ``min(n) >= t max(n)``, and the rest of either row from the first column
    they share must have room for an overlap of ``t / (1 + t) (n_a + n_b)``.  What is left gets its whole
    overlap from the two rows.
-4. Lists of thousands of near copies aren't expanded into pairs.  Each list first meets only its centre,
-   the row with the fewest columns of its own; the links give components.  Only lists that still hold
-   several components go on: their rows get an exact frequency order among themselves and new
+4. Lists of thousands of near copies aren't expanded into pairs.  Short lists are compared whole; a longer
+   one first meets only its centre, the row with the fewest columns of its own; the links give
+   components.  Only longer lists that still hold several components go on: their rows get an exact frequency order among themselves and new
    lists, which meet their centres again and then, exactly, every pair that lies in two components.  A
    pair inside one component can't change the result.
 
@@ -40,13 +40,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, stored
+from .common import arrow_rows, col, stored
 from .components import connected_components
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63,
                  0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3],
                 np.uint64)                              # odd multipliers, one per word of a shingle
 HOT = (32, 512, 8192)                                  # frequency classes of the column order
+FEW = 8                                                # lists up to this size are compared pair by pair
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -116,7 +117,7 @@ def frequencies(docs: DataFrame, n: int, known: float) -> DataFrame:
             flat = np.concatenate(parts) if parts else np.empty(0, np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64))], names=["h"])
 
-    return (docs.select(col("text")).mapInArrow(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("df"))
+    return (arrow_rows(docs.select(col("text"))).mapInArrow(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("df"))
             .where("df > 1"))
 
 
@@ -159,7 +160,7 @@ def rows_of_matrix(docs: DataFrame, n: int, percent: int, known: float, shared:
                  pa.array(own, pa.int64()), longs(cols), longs(whole)],
                 names=["doc_id", "k1", "k2", "n", "own", "cols", "whole"])
 
-    return docs.select(col("doc_id"), col("text")).mapInArrow(run, schema)
+    return arrow_rows(docs.select(col("doc_id"), col("text"))).mapInArrow(run, schema)
 
 
 def _fits(percent: int, na: str, pa: str, nb: str, pb: str):
@@ -181,20 +182,37 @@ def _verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             .select("a", "b"))
 
 
-def _star(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs of each list's centre with the rest of the list; ``lists``: (s, id, n, own, pos)."""
-    centre = (lists.groupBy("s").agg(F.min(F.struct("own", "n", "id", "pos")).alias("c"), F.count(F.lit(1)).alias("size"))
-              .where("size > 1"))
-    return (lists.join(centre, "s").where("id <> c.id")
+def _heads(lists: DataFrame) -> DataFrame:
+    """Size and centre of each list of two rows or more; ``lists``: (s, id, n, own, pos)."""
+    return (lists.groupBy("s").agg(F.min(F.struct("own", "n", "id", "pos")).alias("c"), F.count(F.lit(1)).alias("size"))
+            .where("size > 1"))
+
+
+def _candidates(lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) under the size bounds: all of a list of at most ``FEW`` rows, and those of a longer
+    list's centre."""
+    heads = _heads(lists)
+    star = (lists.join(heads.where(F.col("size") > FEW), "s").where("id <> c.id")
             .where(_fits(percent, "n", "pos", "c.n", "c.pos"))
-            .select(F.col("c.id").alias("a"), F.col("id").alias("b")).distinct())
+            .select(F.col("c.id").alias("a"), F.col("id").alias("b")))
+    few = lists.join(heads.where(F.col("size") <= FEW).select("s"), "s", "left_semi")
+    return star.unionByName(_across(few, percent, "id_x < id_y")).distinct()
+
+
+def _across(lists: DataFrame, percent: int, which: str) -> DataFrame:
+    """Pairs of rows of one list that ``which`` and the size bounds let through."""
+    x, y = (lists.select("s", *[F.col(c).alias(f"{c}_{k}") for c in lists.columns if c != "s"]) for k in "xy")
+    return (x.join(y, "s").where(which).where(_fits(percent, "n_x", "pos_x", "n_y", "pos_y"))
+            .select(F.col("id_x").alias("a"), F.col("id_y").alias("b")))
 
 
-def _several(lists: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Lists with their rows' components, and the ones that hold more than one component."""
-    at = (lists.join(comp, lists["id"] == comp["node"], "left")
+def _unsettled(lists: DataFrame, comp: DataFrame) -> DataFrame:
+    """Rows of the longer lists that still hold more than one component, with their components."""
+    long = lists.join(_heads(lists).where(F.col("size") > FEW).select("s"), "s", "left_semi")
+    at = (long.join(comp, long["id"] == comp["node"], "left")
           .withColumn("comp", F.coalesce("root", "id")).drop("node", "root"))
-    return at, at.groupBy("s").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("s")
+    several = at.groupBy("s").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("s")
+    return at.join(several, "s", "left_semi")
 
 
 def _exact_lists(rest: DataFrame, percent: int) -> DataFrame:
@@ -223,22 +241,16 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, known: fl
                    .withColumn("id", F.monotonically_increasing_id()), "jaccard-classes")
     lists = (nodes.select("id", "n", "own", F.posexplode("cols").alias("k", "s"))
              .select("s", "id", "n", "own", (F.col("own") + F.col("k")).alias("pos")))
-    links = stored(_verified(_star(lists, percent), nodes, percent), "jaccard-links")
+    links = stored(_verified(_candidates(lists, percent), nodes, percent), "jaccard-links")
     comp = stored(connected_components(links), "jaccard-components")
 
-    at, left = _several(lists, comp)
-    rest = nodes.join(at.join(left, "s", "left_semi").select("id").distinct(), "id", "left_semi")
+    rest = nodes.join(_unsettled(lists, comp).select("id").distinct(), "id", "left_semi")
     rest = stored(rest.select("id", "n", "whole"), "jaccard-rest")
     if not rest.isEmpty():
         exact = stored(_exact_lists(rest, percent), "jaccard-lists")
-        links = links.unionByName(stored(_verified(_star(exact, percent), nodes, percent), "jaccard-links"))
+        links = links.unionByName(stored(_verified(_candidates(exact, percent), nodes, percent), "jaccard-links"))
         comp = stored(connected_components(links), "jaccard-components")
-        at, left = _several(exact, comp)
-        at = at.join(left, "s", "left_semi")
-        x, y = (at.select("s", *[F.col(c).alias(f"{c}_{k}") for c in ("id", "n", "pos", "comp")]) for k in "xy")
-        pairs = (x.join(y, "s").where("id_x < id_y AND comp_x <> comp_y")
-                 .where(_fits(percent, "n_x", "pos_x", "n_y", "pos_y"))
-                 .select(F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct())
+        pairs = _across(_unsettled(exact, comp), percent, "id_x < id_y AND comp_x <> comp_y").distinct()
         links = links.unionByName(stored(_verified(pairs, nodes, percent), "jaccard-links"))
         comp = stored(connected_components(links), "jaccard-components")
 
