@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import col
+from .common import arrow_rows, col
 
 START, END = "(start)", "(end)"
 
@@ -118,7 +118,7 @@ def format_chat(turns: DataFrame, template: Template = INSTRUCT) -> DataFrame:
     # the window deals and sorts the rows as the machine needs them; lead() looks one row ahead only
     ahead = Window.partitionBy("conv_id").orderBy(*order)
     t = t.withColumn("last", F.lead(F.lit(1)).over(ahead).isNull())
-    return t.mapInArrow(_machine(template), FORMATTED)
+    return arrow_rows(t).mapInArrow(_machine(template), FORMATTED)
 
 
 def _reader(template: Template):

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, others, plain_names
+from .common import arrow_rows, col, others, plain_names
 
 _KEEP = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isdigit() or 97 <= b <= 122 else 32 for b in range(256))
 SPAN = "array<struct<start:int,end:int,item:string,item_start:int>>"
@@ -143,23 +143,26 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, width: int = 13, block_w
     """``docs`` (the columns in ``carry``, by default all) with ``n_words``, ``n_hit``, ``matches`` (longest
     verbatim matches: word span, item, place in the item) and ``items`` (ids with an occurring window)."""
     spark = docs.sparkSession
-    keep = others(docs.select(*[col(c) for c in carry]) if carry is not None else docs, (*OUT, "_dc_text"))
-    base = docs.select(*[col(c) for c in keep], col("text").alias("_dc_text"))
+    keep = others(docs.select(*[col(c) for c in carry]) if carry is not None else docs, (*OUT, "_dc_old"))
+    has = any(c.lower() == "text" for c in keep)       # a text that is kept anyway isn't sent twice
+    base = docs.select(*[col(c) for c in keep], *([] if has else [col("text")]))
+    text = next(c for c in base.columns if c.lower() == "text")
     blocks = _blocks(benchmark, block_words)
     for k, block in enumerate(blocks):
         got = block.toArrow()                          # a block has a fixed bound
         pairs = sorted(set(zip(got.column("item_id").to_pylist(), got.column("text").to_pylist())),
                        key=lambda r: (r[0] is None, r))
         tests = spark.sparkContext.broadcast([(i, t.encode("utf-8", "surrogatepass")) for i, t in pairs])
-        base = _searched(base, tests, width, shard_bytes, first=k == 0, last=k == len(blocks) - 1)
+        base = _searched(base, tests, width, shard_bytes, text, keep, first=k == 0, last=k == len(blocks) - 1)
     return base
 
 
-def _searched(df: DataFrame, tests, width: int, shard_bytes: int, first: bool, last: bool) -> DataFrame:
-    plain = [c for c in df.columns if c not in ("_dc_text", "_dc_old")]
+def _searched(df: DataFrame, tests, width: int, shard_bytes: int, text: str, keep: list[str], first: bool,
+              last: bool) -> DataFrame:
+    plain = keep if last else [c for c in df.columns if c != "_dc_old"]   # between blocks the text stays
     schema = df.select(*[col(c) for c in plain]).schema
     types = T._parse_datatype_string(f"n_words long, n_hit long, matches {SPAN}, items array<string>") if last else \
-        T._parse_datatype_string(f"_dc_text string, _dc_old {SPAN}")
+        T._parse_datatype_string(f"_dc_old {SPAN}")
     for f in types.fields:
         schema = schema.add(f)
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("item", pa.string()), ("item_start", pa.int32())]))
@@ -167,7 +170,7 @@ def _searched(df: DataFrame, tests, width: int, shard_bytes: int, first: bool, l
     def shards(b: pa.RecordBatch):
         """Slices of a batch of bounded text size, so that one array of suffixes fits in memory."""
         start, have = 0, 0
-        for i, s in enumerate(pc.fill_null(pc.binary_length(b.column("_dc_text")), 0).to_pylist()):
+        for i, s in enumerate(pc.fill_null(pc.binary_length(b.column(text)), 0).to_pylist()):
             if have and have + s > shard_bytes:
                 yield b.slice(start, i - start)
                 start, have = i, 0
@@ -179,7 +182,7 @@ def _searched(df: DataFrame, tests, width: int, shard_bytes: int, first: bool, l
         arrays = Tests(tests.value, width)
         for whole in batches:
             for b in shards(whole):
-                docs = [words_of(v.as_py()) for v in b.column("_dc_text").cast(pa.binary())]
+                docs = [words_of(v.as_py()) for v in b.column(text).cast(pa.binary())]
                 found = arrays.find(docs)
                 if not first:
                     for f, old in zip(found, b.column("_dc_old").to_pylist()):
@@ -198,10 +201,10 @@ def _searched(df: DataFrame, tests, width: int, shard_bytes: int, first: bool, l
                     cols += [pa.array([len(d) for d in docs], pa.int64()), pa.array(hit, pa.int64()),
                              pa.array(rows, span), pa.array(items, pa.list_(pa.string()))]
                 else:
-                    cols += [b.column("_dc_text"), pa.array(rows, span)]
+                    cols.append(pa.array(rows, span))
                 yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in schema.fields])
 
-    return df.mapInArrow(run, schema)
+    return arrow_rows(df).mapInArrow(run, schema)
 
 
 def contaminated(percent: int = 5):

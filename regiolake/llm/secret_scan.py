@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import col, others, plain_names
+from .common import arrow_rows, col, others, plain_names
 
 # fixed patterns of the base kinds, in the order in which spans with one start are listed
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -113,18 +113,20 @@ def scan(docs: DataFrame, dictionary: str = IDENTIFIERS, min_gain: float = 0.6,
          carry: list[str] | None = None) -> DataFrame:
     """``docs`` (the columns in ``carry``, by default all) with the number of base spans of each kind and
     ``found``, all spans with the bytes that a measured string adds."""
-    keep = others(docs.select(*[col(c) for c in carry]) if carry is not None else docs, (*OUT, "_s_text"))
-    df = docs.select(*[col(c) for c in keep], col("text").alias("_s_text"))
-    schema = df.drop("_s_text").schema
+    keep = others(docs.select(*[col(c) for c in carry]) if carry is not None else docs, OUT)
+    has = any(c.lower() == "text" for c in keep)       # a text that is kept anyway isn't sent twice
+    df = docs.select(*[col(c) for c in keep], *([] if has else [col("text")]))
+    text_at = next(i for i, c in enumerate(df.columns) if c.lower() == "text")
+    schema = docs.select(*[col(c) for c in keep]).schema
     for f in T._parse_datatype_string(f"n_assign long, n_access long, n_hex long, found {SPANS}").fields:
         schema = schema.add(f)
 
     def run(batches):
         novelty = Novelty(dictionary)
         for b in batches:
-            found = [scan_text(t.as_py() or "", novelty, min_gain, reach) for t in b.column("_s_text")]
+            found = [scan_text(t.as_py() or "", novelty, min_gain, reach) for t in b.column(text_at)]
             counts = [pa.array([sum(x[0] == k for x in f) for f in found], pa.int64()) for k in KINDS[:3]]
             spans = pa.array([[dict(zip(("kind", "start", "end", "gain"), x)) for x in f] for f in found], _SPAN)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *counts, spans], names=[f.name for f in schema.fields])
 
-    return df.mapInArrow(run, schema)
+    return arrow_rows(df).mapInArrow(run, schema)
