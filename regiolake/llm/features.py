@@ -20,18 +20,24 @@ def words_of(text: str) -> list[bytes]:
 class Hasher:
     """Word -> feature ids, with a cache of bounded size per worker."""
 
-    def __init__(self, buckets: int = BUCKETS, cached: int = 200_000):
+    def __init__(self, buckets: int = BUCKETS, cached: int = 50_000):
         self.buckets, self.cached, self.seen = buckets, cached, {}
 
+    def make(self, w: bytes) -> tuple[int, ...]:
+        h, b = xxhash.xxh64_intdigest, self.buckets
+        s = w.decode("utf-8", "ignore")
+        return (h(w) % b, *(h(s[:n].encode(), n) % b for n in (4, 5) if len(s) > n))
+
+    def remember(self, w: bytes, value: tuple[int, ...]) -> None:
+        if len(self.seen) >= self.cached:
+            self.seen.clear()
+        self.seen[w] = value
+
     def word(self, w: bytes) -> tuple[int, ...]:
         ids = self.seen.get(w)
         if ids is None:
-            h, b = xxhash.xxh64_intdigest, self.buckets
-            s = w.decode("utf-8", "ignore")
-            ids = (h(w) % b, *(h(s[:n].encode(), n) % b for n in (4, 5) if len(s) > n))
-            if len(self.seen) >= self.cached:
-                self.seen.clear()
-            self.seen[w] = ids
+            ids = self.make(w)
+            self.remember(w, ids)
         return ids
 
     def known(self, words, kept: dict[int, int]) -> list[int]:
@@ -40,8 +46,8 @@ class Hasher:
         for w in set(words):
             cols = self.seen.get(w)
             if cols is None:
-                ids = self.word(w)
-                cols = self.seen[w] = tuple(kept[i] for i in ids if i in kept)
+                cols = tuple(kept[i] for i in self.make(w) if i in kept)
+                self.remember(w, cols)
             out.update(cols)
         return sorted(out)
 
@@ -59,11 +65,10 @@ def informative(rows: list[np.ndarray], y: np.ndarray, top: int = 2048, min_rows
                 buckets: int = BUCKETS) -> np.ndarray:
     """Ids of the features that tell class 1 from class 0 best, by the chi-square of the 2x2 table: at
     most ``top``, each in ``min_rows`` rows and with a chi-square of ``least`` (p = 0.001)."""
-    flat = np.concatenate(rows) if rows else np.empty(0, np.int32)
-    lens = [len(r) for r in rows]
+    def counts(some: list[np.ndarray]) -> np.ndarray:
+        return np.bincount(np.concatenate(some) if some else np.empty(0, np.int32), minlength=buckets).astype(float)
     n, n1 = len(y), float(y.sum())
-    seen = np.bincount(flat, minlength=buckets).astype(float)
-    ones = np.bincount(flat, weights=np.repeat(y, lens), minlength=buckets)
+    seen, ones = counts(rows), counts([r for r, of in zip(rows, y) if of])
     ids = np.flatnonzero(seen >= min_rows)
     seen, ones = seen[ids], ones[ids]
     gap = ones * (n - n1) - (seen - ones) * n1
@@ -76,12 +81,12 @@ class Sparse:
     """Rows of feature ids (presence) as one flat array of column numbers; only ``kept`` ids count."""
 
     def __init__(self, rows: list[np.ndarray], kept: np.ndarray, buckets: int = BUCKETS):
-        flat = np.concatenate(rows) if rows else np.empty(0, np.int32)
-        self.kept, self.where = kept, np.full(buckets, -1, np.int64)
+        self.kept, self.where = kept, np.full(buckets, -1, np.int32)
         self.where[kept] = np.arange(len(kept))
-        own = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        at = self.where[flat]
-        self.own, self.at = own[at >= 0], at[at >= 0]
+        at = [self.where[r] for r in rows]             # row by row: only kept features are gathered
+        at = [a[a >= 0] for a in at]
+        self.own = np.repeat(np.arange(len(rows), dtype=np.int32), [len(a) for a in at])
+        self.at = np.concatenate(at) if at else np.empty(0, np.int32)
         self.n_rows, self.n_cols = len(rows), len(kept)
 
     def dot(self, w: np.ndarray) -> np.ndarray:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, others, plain_names, stored
+from .common import arrow_rows, col, others, plain_names, stored
 from .features import Hasher, Sparse, adam, informative, words_of
 
 OUT = ("n_tokens", "posterior", "domain", "rate")
@@ -78,19 +78,24 @@ def train(docs: DataFrame, labelled: DataFrame, domains: list[str], max_train: i
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("domain"), pa.array(feats, pa.list_(pa.int32()))],
                                              names=["doc_id", "domain", "feats"])
 
-    got = sample.mapInArrow(run, "doc_id long, domain string, feats array<int>").toArrow()
+    got = arrow_rows(sample).mapInArrow(run, "doc_id long, domain string, feats array<int>").toArrow()
     order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")
     feats, names = got.column("feats").combine_chunks(), got.column("domain").to_pylist()
     rows = [np.asarray(feats[int(i)].values, np.int32) for i in order]
     y = np.array([domains.index(names[int(i)]) for i in order], int)
-    return fit_posterior(rows, y, len(domains))
+    model = fit_posterior(rows, y, len(domains))
+    del got, feats, rows
+    pa.default_memory_pool().release_unused()          # the sample leaves the driver
+    return model
 
 
 def posteriors(docs: DataFrame, model, n_domains: int, carry: list[str] | None = None) -> DataFrame:
     """``docs`` (the columns in ``carry``, by default all) with ``n_tokens`` and ``posterior``."""
-    keep = others(docs.select(*[col(c) for c in carry]) if carry is not None else docs, (*OUT, "_m_text"))
-    df = docs.select(*[col(c) for c in keep], col("text").alias("_m_text"))
-    schema = df.drop("_m_text").schema.add("n_tokens", "long").add("posterior", T.ArrayType(T.DoubleType()))
+    keep = others(docs.select(*[col(c) for c in carry]) if carry is not None else docs, OUT)
+    has = any(c.lower() == "text" for c in keep)       # a text that is kept anyway isn't sent twice
+    df = docs.select(*[col(c) for c in keep], *([] if has else [col("text")]))
+    text_at = next(i for i, c in enumerate(df.columns) if c.lower() == "text")
+    schema = docs.select(*[col(c) for c in keep]).schema.add("n_tokens", "long").add("posterior", T.ArrayType(T.DoubleType()))
     shared = docs.sparkSession.sparkContext.broadcast(model)      # a few thousand weights
 
     def run(batches):
@@ -98,7 +103,7 @@ def posteriors(docs: DataFrame, model, n_domains: int, carry: list[str] | None =
         column, hasher = {int(i): k for k, i in enumerate(kept)}, Hasher()
         for b in batches:
             z, tokens = np.tile(bias, (b.num_rows, 1)), []
-            for k, t in enumerate(b.column("_m_text")):
+            for k, t in enumerate(b.column(text_at)):
                 text = t.as_py() or ""
                 tokens.append(len(text.split()))
                 z[k] += w[hasher.known(words_of(text), column)].sum(0)
@@ -106,7 +111,7 @@ def posteriors(docs: DataFrame, model, n_domains: int, carry: list[str] | None =
                                               pa.array(_softmax(z).tolist(), pa.list_(pa.float64()))],
                                              names=[f.name for f in schema.fields])
 
-    return df.mapInArrow(run, schema)
+    return arrow_rows(df).mapInArrow(run, schema)
 
 
 def rates(p: np.ndarray, steps: list[np.ndarray], most: float) -> np.ndarray:

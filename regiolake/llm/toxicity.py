@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, plain_names
+from .common import arrow_rows, col, plain_names
 from .features import Hasher, Sparse, adam, informative, words_of
 
 # terms that name a group, by kind; a term is swapped within its kind
@@ -130,7 +130,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 12_000, lam: floa
     sample = (text.join(F.broadcast(use), "doc_id").groupBy("doc_id")
               .agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))  # one text of a repeated id
               .select("doc_id", "toxic", "text"))
-    got = sample.mapInArrow(
+    got = arrow_rows(sample).mapInArrow(
         lambda it: training_rows(it, identity),
         "doc_id long, toxic int, feats array<int>, gone array<array<int>>, new array<array<int>>").toArrow()
     order = np.lexsort((got.column("toxic").to_numpy(), got.column("doc_id").to_numpy()))
@@ -138,28 +138,34 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 12_000, lam: floa
     rows = [np.asarray(feats[int(i)].values, np.int32) for i in order]
     swaps = [(g, a) for i in order for g, a in zip(gone[int(i)].as_py(), new[int(i)].as_py())]
     y = (got.column("toxic").to_numpy()[order] > 0).astype(float)
-    return fit_weights(rows, y, swaps, lam)
+    model = fit_weights(rows, y, swaps, lam)
+    del got, feats, rows, gone, new
+    pa.default_memory_pool().release_unused()          # the sample leaves the driver
+    return model
 
 
 @plain_names
 def score(docs: DataFrame, fitted: Model, keep: list[str] | None = None) -> DataFrame:
     """``docs`` (the columns in ``keep``, by default all but ``score``) with a score between 0 and 1."""
-    keep = [c for c in (keep or docs.columns) if c.lower() not in ("score", "_tox_text")]
+    keep = [c for c in (keep or docs.columns) if c.lower() != "score"]
     model = docs.sparkSession.sparkContext.broadcast(fitted)   # at most 2048 weights
-    df = docs.select(*[col(c) for c in keep], col("text").alias("_tox_text"))
-    schema = df.drop("_tox_text").withColumn("score", F.lit(0.0)).schema
+    text = next((c for c in keep if c.lower() == "text"), None)
+    # a text that is kept anyway isn't sent twice
+    df = docs.select(*[col(c) for c in keep], *([] if text else [col("text")]))
+    text, n = text or "text", len(keep)
+    schema = docs.select(*[col(c) for c in keep]).withColumn("score", F.lit(0.0)).schema
 
     def run(batches):
         kept, w, bias = model.value
         column, hasher = {int(i): k for k, i in enumerate(kept)}, Hasher()
         for b in batches:
-            texts = b.column(b.num_columns - 1)
+            texts = b.column(text)
             z = np.fromiter((w[hasher.known(words_of(t.as_py() or ""), column)].sum() for t in texts),
                             float, len(texts)) + bias
             s = 1 / (1 + np.exp(-np.clip(z, -35, 35)))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s)], names=[*b.schema.names[:-1], "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(s)], names=[*b.schema.names[:n], "score"])
 
-    return df.mapInArrow(run, schema)
+    return arrow_rows(df).mapInArrow(run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, max_train: int = 12_000, threshold: float = 0.5,
