@@ -9,6 +9,10 @@ is reported when it costs ``min_gain`` bytes a character or more.
 Scale: every text is scanned whole in its own task, one row at a time; nothing is shuffled.  The dictionary
 is a parameter of a few kilobytes.  Only strings near a sensitive word are compressed.
 
+The context is the word's line, the lines around it and the blocks of encoded lines that begin or end there, before and
+after the word; of a long line, 256 characters on each side.  Every string of 16 characters or more that starts or ends
+in a context is measured as a whole; names at its ends that hold a sensitive word are cut off.
+
 Spans are code points, end exclusive.  Base patterns match leftmost, without overlaps in a kind; a match that
 is too short is dropped.  A measured string inside a base span adds nothing and isn't repeated.
 
@@ -18,6 +22,8 @@ columns named like an output column are replaced.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -37,6 +43,9 @@ SENSITIVE = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key"
              "credential", "auth", "bearer", "signature", "client_id", "connectionstring", "akia")
 _SENSITIVE = re.compile("|".join(map(re.escape, SENSITIVE)), re.IGNORECASE | re.ASCII)
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+_CANDIDATE_CHAR = re.compile(r"[A-Za-z0-9+/_=-]")
+_BLOCK = re.compile(r"""[\x20\t>"'+]*[A-Za-z0-9+/_=-]{16,}[\x20\t"'+,;\\\r]*""")       # a line of a block of encoded bytes
+_MARK = re.compile(r"""[\x20\t>"'+]*-----BEGIN[^\n]*""")
 
 # identifiers that code around keys is made of; the longest and likeliest last, nearest to the text
 IDENTIFIERS = (
@@ -84,27 +93,90 @@ def base_spans(text: str, sensitive: bool = True) -> list[tuple[str, int, int]]:
     return found
 
 
-def scan_text(text: str, novelty: Novelty, min_gain: float = 0.6, reach: int = 48) -> list[tuple[str, int, int, int]]:
+def contexts(text: str, words: list[tuple[int, int]], reach: int, wide: int) -> list[tuple[int, int]]:
+    """Ranges around the sensitive words, merged: ``reach`` characters, the word's line with the lines before and after
+    it (``wide`` characters of them), and the blocks that end or begin there."""
+    starts = [0, *(m.end() for m in re.finditer("\n", text))]
+    ends = [*(s - 1 for s in starts[1:]), len(text)]
+    block = [_BLOCK.fullmatch(text, s, e) is not None for s, e in zip(starts, ends)]
+    mark = [not x and _MARK.fullmatch(text, s, e) is not None for x, s, e in zip(block, starts, ends)]
+    n, top, bottom = len(starts), list(range(len(starts))), list(range(len(starts)))    # first and last line of a line's block
+    for i in range(1, n):
+        if block[i] and block[i - 1]:
+            top[i] = top[i - 1]
+    for i in range(n - 2, -1, -1):
+        if block[i] and block[i + 1]:
+            bottom[i] = bottom[i + 1]
+    out: list[tuple[int, int]] = []
+    for s, e in words:
+        i = bisect_right(starts, s) - 1
+        a, b = min(s - reach, max(starts[i], s - wide)), max(e + reach, min(ends[i], e + wide))
+        if i > 0 and s - starts[i] <= wide:
+            a = min(a, max(starts[i - 1], starts[i] - wide))
+            k = i - 1 - (mark[i - 1] and i > 1)
+            a = min(a, starts[top[k]]) if block[k] else a
+        if i < n - 1 and ends[i] - e <= wide:
+            b = max(b, min(ends[i + 1], ends[i] + wide))
+            k = i + 1 + (mark[i + 1] and i < n - 2)
+            b = max(b, ends[bottom[k]]) if block[k] else b
+        a, b = max(0, a), min(len(text), b)
+        while out and a <= out[-1][1]:
+            x, y = out.pop()
+            a, b = min(a, x), max(b, y)
+        out.append((a, b))
+    return out
+
+
+def trimmed(text: str, s: int, e: int, words: list[tuple[int, int]], novelty: Novelty, min_gain: float) -> tuple[int, int]:
+    """The string without the names at its ends: a sensitive word there goes, and with it what lies further out
+    if that is a short part of a name or adds less than ``min_gain`` a character."""
+    def name(x: int, y: int, near: str) -> bool:
+        return x == y or (near in "_=-" if y - x < 16 else novelty.gain(text, x, y) < min_gain * (y - x))
+    a, b = s, e
+    for x, y in words:
+        if not name(a, x, text[x - 1:x]):
+            break
+        a = y
+    for x, y in reversed(words):
+        if x < a or not name(y, b, text[y:y + 1]):
+            break
+        b = x
+    return a, b
+
+
+def scan_text(text: str, novelty: Novelty, min_gain: float = 0.6, reach: int = 48, wide: int = 256) -> list[tuple[str, int, int, int]]:
     """(kind, start, end, bytes added) of all spans, by start and then by kind."""
     low = text.lower()
     near = any(w in low for w in SENSITIVE)            # a cheap test; most texts have no such word
     base = base_spans(text, near)
     out = [(k, s, e, 0) for k, s, e in base]
     if near:
-        seen, last = set(), 0
-        for m in _SENSITIVE.finditer(text):
-            a = max(m.end(), last)
-            for c in _CANDIDATE.finditer(text, a, min(len(text), m.end() + reach)):
+        words = [m.span() for m in _SENSITIVE.finditer(text)]
+        starts = [s for s, _ in words]
+        opens = sorted((s, e) for _, s, e in base)     # base spans by start, with the furthest end so far
+        ends = list(accumulate((e for _, e in opens), max))
+        seen = 0
+        for a, b in contexts(text, words, reach, wide):
+            while a > seen and _CANDIDATE_CHAR.match(text, a - 1):                # a string that ends in the context
+                a -= 1
+            for c in _CANDIDATE.finditer(text, max(a, seen)):
                 s, e = c.span()
-                while e < len(text) and _CANDIDATE.fullmatch(text, s, e + 1):   # the whole string, past the reach
-                    e += 1
-                if (s, e) in seen or any(bs <= s and e <= be for _, bs, be in base):
-                    continue
-                seen.add((s, e))
-                g = novelty.gain(text, s, e)
-                if g >= min_gain * (e - s):
-                    out.append(("novel", s, e, g))
-                last = max(last, e)
+                if s >= b:
+                    break
+                seen = e
+                inside = words[bisect_left(starts, s):bisect_left(starts, e)]
+                inside = [w for w in inside if w[1] <= e]
+                whole = trimmed(text, s, e, inside, novelty, min_gain)
+                cuts = [s, *(x for w in inside for x in w), e]
+                for pieces in ([whole], list(zip(cuts[::2], cuts[1::2]))):        # else what lies between the words
+                    hits = []
+                    for x, y in pieces:
+                        k = bisect_right(opens, (x, len(text))) - 1
+                        if y - x >= 16 and not (k >= 0 and y <= ends[k]) and (g := novelty.gain(text, x, y)) >= min_gain * (y - x):
+                            hits.append(("novel", x, y, g))
+                    if hits or len(cuts) == 2:
+                        break
+                out += hits
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
