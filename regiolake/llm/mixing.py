@@ -8,12 +8,17 @@ depends on its document only through p_i and the gradients so far, which are a f
 step is one pass that rebuilds the rates from them and adds up S, and nothing is shuffled or
 kept but the table of posteriors.
 
+Under a ceiling a mixture that meets all targets has at most as many tokens as the scarcest domain allows: with a
+domain at a share x of its target, x of all tokens.  So a domain below ``scarce`` (half) of its target share isn't
+aimed at: nothing is thinned on its account, its own documents keep their rates, and the other domains are mixed
+to their rescaled targets.
+
 Scale: the classifier is fitted on at most ``max_train`` labelled rows in hash order (a documented bound; the
 ids are broadcast).  All documents are counted and fitted.  The driver sees sums by domain only.
 
 Defined results: a null or empty text has 0 tokens, and its posterior is the model's prior; labelled rows
 with a null domain or an id that isn't in the documents aren't used; a domain of the targets without
-labelled rows has posterior 0 and gets no tokens (its target is spread by the fit); with fewer than two
+labelled rows has posterior 0 and gets no tokens: it is left out, and the other targets are rescaled; with fewer than two
 labelled domains the posterior is 1 for the one there is, or equal shares of the targets' domains without
 labels; repeated rows get equal rates; an empty table gives an empty result.  Input columns named
 like an output column are replaced.
@@ -126,10 +131,23 @@ def _matrix(b: pa.RecordBatch, n: int) -> np.ndarray:
     return b.column("posterior").flatten().to_numpy(zero_copy_only=False).reshape(-1, n)
 
 
+def reachable(have: np.ndarray, w: np.ndarray, scarce: float) -> np.ndarray:
+    """Which domains are aimed at: those with a target and tokens, less the scarcest one as long as it has under
+    ``scarce`` of its share of the tokens of those that are left."""
+    on = (w > 0) & (have > 1e-9 * have.sum())
+    while on.sum() > 1:
+        share = np.where(on, have / np.where(on, w, 1.0) * (w[on].sum() / have[on].sum()), np.inf)
+        if share.min() >= scarce:
+            break
+        on[share.argmin()] = False
+    return on
+
+
 def fit_rates(table: DataFrame, weights: list[float], budget: float | None = None, most: float = np.inf,
-              max_steps: int = 30, tolerance: float = 1e-3) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Gradient steps, targets and reached totals.  ``budget``: tokens of the mixture; None: with a ceiling on
-    the rates the most that no domain runs short of, else all tokens."""
+              max_steps: int = 30, tolerance: float = 1e-3, scarce: float = 0.5) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Gradient steps, targets and reached totals.  ``budget``: tokens of the domains aimed at; None: with a ceiling
+    on the rates the most that none of them runs short of, else all their tokens.  The target of a domain that isn't
+    aimed at is what it has."""
     n, sums = len(weights), "s array<double>"
 
     def passed(fn) -> np.ndarray:
@@ -149,14 +167,16 @@ def fit_rates(table: DataFrame, weights: list[float], budget: float | None = Non
     first = passed(moments)
     have, m = first[:n], first[n:].reshape(n, n)
     w = np.asarray(weights, float) / sum(weights)
-    total = have.sum()
+    on = reachable(have, w, scarce if budget is None and np.isfinite(most) else 0.0)
+    w = np.where(on, w, 0.0) / (w[on].sum() if on.any() else 1.0)
     if budget is None:
-        budget = total if not np.isfinite(most) else most * min((h / x for h, x in zip(have, w) if x > 0), default=0.0)
-    want = w * budget
-    inverse = np.linalg.pinv(m, rcond=1e-9, hermitian=True)
+        budget = have[on].sum() if not np.isfinite(most) else most * min(have[on] / w[on], default=0.0)
+    want = np.where(on, w * budget, have * min(1.0, most))
+    inverse = np.zeros((n, n))                         # no step along the domains that are left out
+    inverse[np.ix_(on, on)] = np.linalg.pinv(m[np.ix_(on, on)], rcond=1e-9, hermitian=True)
     steps, s = [], have * min(1.0, most)
     for _ in range(max_steps):
-        if np.abs(s - want).sum() <= tolerance * max(budget, 1.0):
+        if np.abs(s - want)[on].sum() <= tolerance * max(budget, 1.0):
             break
         steps.append(inverse @ (s - want))
         s = passed(lambda p, t: (rates(p, steps, most) * t) @ p)

@@ -297,6 +297,23 @@ def test_rates_are_the_least_squares_optimum_under_a_ceiling(spark):
     assert _objective(p, t, r, want) <= 1.02 * _objective(p, t, best, want) + 1e-9
 
 
+@pytest.mark.parametrize("es", [0.0, 0.001, 0.02])
+def test_a_missing_or_scarce_domain_costs_no_other_tokens(spark, es):
+    """Shares as the targets, but for one domain without (or with next to no) tokens: its documents and the others stay."""
+    p = np.repeat([[0.95 - es, 0.05, es], [0.05, 0.95 - es, es]], [124, 76], axis=0)
+    df = spark.createDataFrame([(50, [float(x) for x in b]) for b in p], "n_tokens long, posterior array<double>")
+    steps, want, got = M.fit_rates(df, [0.57, 0.35, 0.08], most=1.0)
+    r = M.rates(p, steps, 1.0)
+    assert r.mean() > 0.9 and np.abs(got - want)[:2].sum() <= 2e-2 * want.sum()
+
+
+def test_a_missing_domain_is_spread_over_the_others(spark):
+    p = np.repeat([[0.9, 0.1, 0.0], [0.2, 0.8, 0.0]], 100, axis=0)
+    df = spark.createDataFrame([(50, [float(x) for x in b]) for b in p], "n_tokens long, posterior array<double>")
+    _, want, got = M.fit_rates(df, [0.4, 0.4, 0.2])
+    assert np.allclose(want, [5000, 5000, 0]) and np.abs(got - want).sum() <= 1e-3 * want.sum()
+
+
 def test_mixing_query_meets_the_targets(spark):
     sf = "/root/testdata/sf0.01"
     rows = Q.QUERIES["op5_mixing"](spark, sf).collect()

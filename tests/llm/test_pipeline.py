@@ -1,5 +1,6 @@
 """The pipeline: every stage on its own input against brute force, and as a whole."""
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as C
 from regiolake.llm import toxicity
@@ -54,6 +55,12 @@ def test_mixing_stage_keeps_rows_as_they_are(stages):
     assert 0 < len(after) <= len(before) and set(after) <= set(before)
 
 
+@pytest.mark.parametrize("gone", [["es"], ["es", "fr", "de"]])
+def test_mixing_stage_on_input_without_a_domain(spark, gone):
+    docs = read(spark, SF, "documents").where(~F.col("lang").isin(gone))
+    assert C.mixed(spark, docs, SF).count() > 0.5 * docs.count()
+
+
 def test_sharding_stage(stages):
     before, after, _ = stages["sharding"]
     assert sorted(r["doc_id"] for r in after) == sorted(r["doc_id"] for r in before)
