@@ -22,14 +22,15 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the least id stays; so do all documents without
-    words, which are no copies of anything, and rows without an id, which can't be named."""
-    found = stored(jaccard_join.jaccard_components(docs, n=5, percent=80), "pipeline-components")
-    first = found.where("n_shingles > 0 AND doc_id = component_id").select("doc_id").distinct()
+    """Of each group of near copies the document with the least id stays (of the least text hash, if it is
+    repeated with several texts of the group); so do all documents without words, which are no copies of anything,
+    and rows without an id, which can't be named.  Different texts under one id are different documents."""
+    found = stored(jaccard_join.jaccard_components(docs, n=5, percent=80, by_text=True), "pipeline-components")
+    first = (found.where("n_shingles > 0 AND doc_id = component_id").groupBy("component", "doc_id")
+             .agg(F.min("text_hash").alias("text_hash")).select("doc_id", "text_hash"))
     alone = docs.where(F.col("doc_id").isNull() | ~F.rlike(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]")))
-    worded = docs.where(F.rlike("text", F.lit(r"[^\x20\x09-\x0D]")))
-    # a repeated id is one group; the join has dealt the rows by id already
-    return (worded.join(first, "doc_id").dropDuplicates(["doc_id"]).select(*DOCUMENT_COLUMNS)
+    worded = docs.where(F.rlike("text", F.lit(r"[^\x20\x09-\x0D]"))).withColumn("text_hash", F.xxhash64("text"))
+    return (worded.join(first, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"]).select(*DOCUMENT_COLUMNS)
             .unionByName(alone.select(*DOCUMENT_COLUMNS)))
 
 

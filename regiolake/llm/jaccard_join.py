@@ -126,6 +126,7 @@ def rows_of_matrix(docs: DataFrame, n: int, percent: int, known: float, shared:
     the columns to join on and the whole set."""
     top = np.uint64(int(known * 2 ** 64) if known < 1 else 2 ** 64 - 1)
     filters = docs.sparkSession.sparkContext.broadcast((shared, hot))
+    extra = [c for c in docs.columns if c == "text_hash"]
     schema = (docs.select(col("doc_id")).schema.add("k1", "long").add("k2", "long").add("n", "long").add("own", "long")
               .add("cols", T.ArrayType(T.LongType())).add("whole", T.ArrayType(T.LongType())))
 
@@ -157,10 +158,12 @@ def rows_of_matrix(docs: DataFrame, n: int, percent: int, known: float, shared:
             longs = lambda x: pa.array(x, pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(size, pa.int64()),
-                 pa.array(own, pa.int64()), longs(cols), longs(whole)],
-                names=["doc_id", "k1", "k2", "n", "own", "cols", "whole"])
+                 pa.array(own, pa.int64()), longs(cols), longs(whole), *(b.column(c) for c in extra)],
+                names=["doc_id", "k1", "k2", "n", "own", "cols", "whole", *extra])
 
-    return arrow_rows(docs.select(col("doc_id"), col("text"))).mapInArrow(run, schema)
+    for c in extra:
+        schema = schema.add(c, "long")
+    return arrow_rows(docs.select(col("doc_id"), col("text"), *extra)).mapInArrow(run, schema)
 
 
 def _fits(percent: int, na: str, pa: str, nb: str, pb: str):
@@ -227,9 +230,13 @@ def _exact_lists(rest: DataFrame, percent: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, known: float = 0.35,
-                       max_bloom_bits: int = 1 << 27) -> DataFrame:
-    """Rows (doc_id, n_shingles, component_id), one per document."""
+                       max_bloom_bits: int = 1 << 27, by_text: bool = False) -> DataFrame:
+    """Rows (doc_id, n_shingles, component_id), one per document.  ``by_text``: also the text's hash and the component
+    itself, as several may have one lowest id where an id is repeated with different texts."""
     docs = docs.select(col("doc_id"), col("text"))
+    own = ["text_hash", "component"] if by_text else []
+    if by_text:
+        docs = docs.withColumn("text_hash", F.xxhash64("text"))
     df = stored(frequencies(docs, n, known), "jaccard-df")
     at_least = df.agg(F.count(F.lit(1)).alias("all"), *[F.count_if(F.col("df") >= t).alias(f"t{t}") for t in HOT]).first()
     shared = bloom(df, at_least["all"], max_bloom_bits)
@@ -258,8 +265,10 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, known: fl
     classes = (m.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("low"))
                .join(named, ["k1", "k2", "n"], "left"))
     roots = classes.where("root IS NOT NULL").groupBy("root").agg(F.min("low").alias("lowest"))
-    classes = classes.join(roots, "root", "left").select("k1", "k2", "n", F.coalesce("lowest", "low").alias("component_id"))
-    full = (m.where("n > 0").select("doc_id", "k1", "k2", "n").join(classes, ["k1", "k2", "n"])
-            .select("doc_id", F.col("n").alias("n_shingles"), "component_id"))
-    return full.unionByName(m.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"),
-                                                    F.col("doc_id").alias("component_id")))
+    alone = F.when(F.col("root").isNull(), F.struct("k1", "k2", "n"))
+    classes = classes.join(roots, "root", "left").select("k1", "k2", "n", F.coalesce("lowest", "low").alias("component_id"),
+                                                         F.struct("root", alone.alias("alone")).alias("component"))
+    full = (m.where("n > 0").select("doc_id", "k1", "k2", "n", *own[:1]).join(classes, ["k1", "k2", "n"])
+            .select("doc_id", F.col("n").alias("n_shingles"), "component_id", *own))
+    blank = m.where("n = 0").withColumn("component", F.lit(None).cast(full.schema["component"].dataType)) if by_text else m.where("n = 0")
+    return full.unionByName(blank.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), *own))

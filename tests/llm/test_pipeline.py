@@ -43,6 +43,19 @@ def test_near_duplicate_stage(stages):
     assert sorted(r["doc_id"] for r in after) == sorted(d for d, _, c in groups if d == c)
 
 
+def test_near_duplicate_stage_tells_texts_of_one_id_apart(spark):
+    """Id 5 has a text of its own, a copy of document 3, and near copies; id 8 the same row twice."""
+    a, b, c = (" ".join(f"{k}{i}" for i in range(60)) for k in "abc")
+    near = b + " end"
+    docs = spark.createDataFrame([(3, a), (5, a), (5, b), (5, near), (5, c), (8, c + " x"), (9, "own text"), (9, "own text"), (9, "other")],
+                                 "doc_id long, text string")
+    docs = docs.select("doc_id", "text", F.lit("en").alias("lang"), F.lit("s").alias("source"), F.length("text").cast("long").alias("n_chars"))
+    for parts in (1, 5):
+        got = sorted((r["doc_id"], r["text"]) for r in C.near_duplicates(spark, docs.repartition(parts), SF).collect())
+        kept_b = [t for d, t in got if t in (b, near)]
+        assert len(kept_b) == 1 and got == sorted([(3, a), (5, kept_b[0]), (5, c), (9, "own text"), (9, "other")])
+
+
 def test_decontamination_stage(spark, stages):
     before, after, _ = stages["decontamination"]
     items = [(r["item_id"], r["text"]) for r in read(spark, SF, "benchmark").collect()]
