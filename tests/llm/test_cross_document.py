@@ -307,6 +307,22 @@ def test_a_missing_or_scarce_domain_costs_no_other_tokens(spark, es):
     assert r.mean() > 0.9 and np.abs(got - want)[:2].sum() <= 2e-2 * want.sum()
 
 
+def test_far_targets_are_fitted_to_the_end_or_reported(spark):
+    """Many rates at 0 or the ceiling: the optimum is reached, the remaining gap is told, and too few steps are an error."""
+    rnd = np.random.default_rng(4)
+    p, t = rnd.dirichlet([0.6, 0.6, 0.6], 300), rnd.integers(1, 100, 300)
+    df = spark.createDataFrame([(int(a), [float(x) for x in b]) for a, b in zip(t, p)], "n_tokens long, posterior array<double>")
+    weights, budget = [0.97, 0.02, 0.01], 0.9 * t.sum()
+    with pytest.warns(UserWarning, match="out of reach"):
+        steps, want, got = M.fit_rates(df, weights, budget=float(budget), most=1.0)
+    best, inv = np.ones(300), np.linalg.pinv((p * t[:, None]).T @ p)
+    for _ in range(20_000):
+        best = np.clip(best - p @ (inv @ ((best * t) @ p - want)), 0, 1)
+    assert _objective(p, t, M.rates(p, steps, 1.0), want) <= _objective(p, t, best, want) + 1e-5 * budget
+    with pytest.raises(RuntimeError, match="not settled"):
+        M.fit_rates(df, weights, budget=float(budget), most=1.0, max_steps=2)
+
+
 def test_a_missing_domain_is_spread_over_the_others(spark):
     p = np.repeat([[0.9, 0.1, 0.0], [0.2, 0.8, 0.0]], 100, axis=0)
     df = spark.createDataFrame([(50, [float(x) for x in b]) for b in p], "n_tokens long, posterior array<double>")
