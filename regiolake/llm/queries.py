@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_format, decontamination, jaccard_join, kd_sharding, line_rules, line_runs, mixing, secret_scan,
+from . import (chat_format, decontamination, exact_dedup, jaccard_join, kd_sharding, line_rules, line_runs, mixing, secret_scan,
                sentence_spans, toxicity)
 from .common import read
 
@@ -198,3 +198,16 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     mixed = mixing.mix(docs, labelled_domains(docs, read(spark, sf_dir, "labels")), MIX_TARGETS, carry=["doc_id"])
     return mixed.select("doc_id", "n_tokens", "domain", "posterior", "rate")
+
+
+OP13_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (same ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+@query("op13_exact_dedup", OP13_SQL)
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"), carry=["doc_id"])
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
