@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_format, decontamination, exact_dedup, jaccard_join, kd_sharding, line_rules, line_runs, mixing, secret_scan,
+from . import (ball_tree, chat_format, decontamination, exact_dedup, jaccard_join, kd_sharding, line_rules, line_runs, mixing, secret_scan,
                sentence_spans, toxicity)
 from .common import read
 
@@ -211,3 +211,27 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"), carry=["doc_id"])
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+TERMS = f"regexp_extract_all({LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+OP11_SQL = f"""
+WITH d AS (SELECT r, doc_id, w, CAST(len(w) AS BIGINT) AS n
+           FROM (SELECT row_number() OVER () AS r, doc_id, {TERMS} AS w FROM documents) WHERE len(w) > 0),
+totals AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM d),
+b AS (SELECT i, item_id, unnest(w) AS term FROM (SELECT row_number() OVER () AS i, item_id, {TERMS} AS w FROM benchmark)),
+q AS (SELECT i, item_id, term, count(*) AS times FROM b GROUP BY ALL),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d)
+       WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+wt AS (SELECT term, CAST(floor(1000 * ln((2 * big_n + 2) / (2 * df + 1))) AS BIGINT) AS w FROM df, totals),
+hits AS (SELECT i, item_id, r, doc_id, sum(times * wt.w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l)))) AS score
+         FROM q JOIN wt USING (term) JOIN tf USING (term) JOIN d USING (r), totals GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank FROM hits WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op11_ball_tree_search", OP11_SQL)
+def op11_ball_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=20)
