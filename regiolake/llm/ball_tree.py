@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import arrow_rows, col, stored
+from .common import Parts, arrow_rows, col, stored
 
 TERM = re.compile(rb"[0-9a-z\x80-\xff]+")              # of UTF-8 bytes in lower case: every character beyond ASCII counts
 GAP = re.compile(rb"[^0-9a-z\x80-\xff]")
@@ -290,23 +290,22 @@ def search(docs: DataFrame, items: DataFrame, k: int = 20, key: str = "doc_id",
                     .withColumn("row", F.monotonically_increasing_id()), "search-items")
     dealt, n_blocks = blocks(listed, block_bytes)
     dealt = stored(dealt, "search-blocks")
-    found, totals = None, None
+    found, totals = Parts(docs.sparkSession, "search-found"), None
     for block in range(n_blocks):
         got = dealt.where(F.col("block") == block).select("row", "text").toArrow()     # bounded by block_bytes
         mine = Items.of(sorted(zip(got.column("row").to_pylist(), got.column("text").to_pylist())))
-        if not mine.vocabulary and found is not None:
+        if not mine.vocabulary and found.n:
             continue
         table = stored(vectors(docs, key, mine.vocabulary), "search-vectors")
         totals = totals or table.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
         holds = table.select(F.explode("t").alias("t")).groupBy("t").count().toArrow()  # a row a term of the block
         df = dict(zip(holds.column("t").to_pylist(), holds.column("count").to_pylist()))
         weights = np.array([weight(totals[0], df.get(t, 0)) for t in range(len(mine.vocabulary))], np.int64)
-        part = _search(table, mine, weights, totals[0], max(1, totals[1]), k, leaf, tree_rows, tree_cells)
-        found = part if found is None else found.unionByName(part)
+        found.add(_search(table, mine, weights, totals[0], max(1, totals[1]), k, leaf, tree_rows, tree_cells))
     last = [F.col("score").desc(), F.col("id").asc_nulls_last()]
     by_some = Window.partitionBy("row", F.pmod(F.xxhash64("id"), F.lit(64))).orderBy(*last)
     by_item = Window.partitionBy("row").orderBy(*last)
-    some = found.withColumn("r", F.row_number().over(by_some)).where(F.col("r") <= k).drop("r")
+    some = found.read().withColumn("r", F.row_number().over(by_some)).where(F.col("r") <= k).drop("r")
     top = some.withColumn("rank", F.row_number().over(by_item)).where(F.col("rank") <= k)
     return top.join(listed.select("row", "item"), "row").select(
         F.col("item").alias(item), "rank", F.col("id").alias(key), "score")

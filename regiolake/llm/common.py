@@ -7,9 +7,9 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiolake.session import materialize
+from regiolake.session import materialize, scratch_path
 
-__all__ = ["arrow_rows", "col", "others", "plain_names", "read", "sha_hex", "stored", "values", "text_or_empty"]
+__all__ = ["Parts", "arrow_rows", "col", "others", "plain_names", "read", "sha_hex", "stored", "values", "text_or_empty"]
 
 
 def col(name: str) -> Column:
@@ -34,6 +34,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
+class Parts:
+    """A table in the shared folder that is written part by part: however many parts there are, the plan that reads
+    them stays one scan."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path, self.schema, self.n = spark, scratch_path(spark, name), None, 0
+
+    def add(self, df: DataFrame) -> None:
+        df.write.parquet(f"{self.path}/part={self.n}")
+        self.schema, self.n = df.schema, self.n + 1
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path).drop("part")
+
+
 def arrow_rows(df: DataFrame, most: int = 1000) -> DataFrame:
     """Bound the rows that a Python worker gets at once: whole texts in batches of ten thousand take
     hundreds of megabytes in the worker and in the JVM.  A setting of the session, lowered only."""

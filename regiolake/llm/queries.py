@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ball_tree, chat_format, decontamination, exact_dedup, jaccard_join, kd_sharding, line_rules, line_runs, mixing, secret_scan,
+from . import (ball_tree, bit_codes, chat_format, decontamination, exact_dedup, jaccard_join, kd_sharding, line_rules, line_runs, mixing, secret_scan,
                sentence_spans, toxicity)
 from .common import read
 
@@ -235,3 +235,28 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS
 @query("op11_ball_tree_search", OP11_SQL)
 def op11_ball_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_tree.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=20)
+
+
+OP12_SQL = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+             CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM e a, e b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+             row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+      FROM p JOIN s USING (anchor_id)
+      WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
+@query("op12_bit_code_negatives", OP12_SQL)
+def op12_bit_code_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, ((F.col("label") + 1) % 10).cast("int")).otherwise(F.col("label"))
+    return bit_codes.mine(read(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("id") % 100 == 0)

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("documents", "benchmark", "labels", "conversations")
+TABLES = ("documents", "benchmark", "labels", "conversations", "embeddings")
 
 
 @pytest.fixture(scope="session", autouse=True)

@@ -10,7 +10,7 @@ from .conftest import SF
 def test_registered():
     names = E.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
 
 
