@@ -17,16 +17,41 @@ def words_of(text: str) -> list[bytes]:
     return text.lower().encode("utf-8", "surrogatepass").translate(_KEEP).split()
 
 
+def distinct_words(text: str) -> set[str]:
+    """The distinct words of a text; the empty string may be among them."""
+    return set(text.lower().encode("utf-8", "surrogatepass").translate(_KEEP).decode("utf-8", "ignore").split(" "))
+
+
+class Lexicon:
+    """The words and beginnings that a model keeps, by name: a text is met with set operations, and words that
+    the model doesn't know (most of a large corpus) are neither hashed nor remembered."""
+
+    def __init__(self, names: list[tuple[int, str, int]]):
+        """Rows (0 for a whole word or the length of a beginning, its text, column of the model)."""
+        self.by = {n: {s: c for k, s, c in names if k == n} for n in (0, 4, 5)}
+
+    def columns(self, text: str) -> list[int]:
+        words = distinct_words(text)
+        out = {self.by[0][w] for w in self.by[0].keys() & words}
+        for n in (4, 5):
+            out.update(self.by[n][w] for w in self.by[n].keys() & {w[:n] for w in words if len(w) > n})
+        return sorted(out)
+
+
 class Hasher:
     """Word -> feature ids, with a cache of bounded size per worker."""
 
     def __init__(self, buckets: int = BUCKETS, cached: int = 50_000):
         self.buckets, self.cached, self.seen = buckets, cached, {}
 
-    def make(self, w: bytes) -> tuple[int, ...]:
+    def named(self, w: bytes) -> list[tuple[int, str, int]]:
+        """The features of a word: 0 or the length of the beginning, its text, its id."""
         h, b = xxhash.xxh64_intdigest, self.buckets
         s = w.decode("utf-8", "ignore")
-        return (h(w) % b, *(h(s[:n].encode(), n) % b for n in (4, 5) if len(s) > n))
+        return [(0, s, h(w) % b), *((n, s[:n], h(s[:n].encode(), n) % b) for n in (4, 5) if len(s) > n)]
+
+    def make(self, w: bytes) -> tuple[int, ...]:
+        return tuple(f[2] for f in self.named(w))
 
     def remember(self, w: bytes, value: tuple[int, ...]) -> None:
         if len(self.seen) >= self.cached:

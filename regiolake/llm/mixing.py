@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import arrow_rows, col, others, plain_names, stored
-from .features import Hasher, Sparse, adam, informative, words_of
+from .features import Hasher, Lexicon, Sparse, adam, informative, words_of
 
 OUT = ("n_tokens", "posterior", "domain", "rate")
 
@@ -77,6 +77,7 @@ def train(docs: DataFrame, labelled: DataFrame, domains: list[str], max_train: i
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train))
     sample = (docs.select(col("doc_id"), col("text")).join(F.broadcast(use), "doc_id")     # a fixed number of ids
               .groupBy("doc_id").agg(F.min("domain").alias("domain"), F.min("text").alias("text")))
+    sample = stored(sample, "mixing-sample")
 
     def run(batches):
         hasher = Hasher()
@@ -90,33 +91,56 @@ def train(docs: DataFrame, labelled: DataFrame, domains: list[str], max_train: i
     feats, names = got.column("feats").combine_chunks(), got.column("domain").to_pylist()
     rows = [np.asarray(feats[int(i)].values, np.int32) for i in order]
     y = np.array([domains.index(names[int(i)]) for i in order], int)
-    model = fit_posterior(rows, y, len(domains))
+    kept, w, bias = fit_posterior(rows, y, len(domains))
     del got, feats, rows
     pa.default_memory_pool().release_unused()          # the sample leaves the driver
-    return model
+    at = {int(i): k for k, i in enumerate(kept)}
 
+    def names(batches):
+        hasher = Hasher()
+        for b in batches:
+            found = {(n, s, at[i]) for t in b.column("text") for x in set(words_of(t.as_py() or ""))
+                     for n, s, i in hasher.named(x) if i in at}
+            n, s, c = zip(*sorted(found)) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int32()), pa.array(s, pa.string()), pa.array(c, pa.int32())],
+                                             names=["n", "s", "c"])
+
+    # the words behind the kept features, as the sample has them: a few for each feature
+    told = arrow_rows(sample.select("text")).mapInArrow(names, "n int, s string, c int").distinct().toArrow()
+    return sorted(zip(*(told.column(c).to_pylist() for c in ("n", "s", "c")))), w, bias
 
-def posteriors(docs: DataFrame, model, n_domains: int, carry: list[str] | None = None) -> DataFrame:
-    """``docs`` (the columns in ``carry``, by default all) with ``n_tokens`` and ``posterior``."""
+
+def posteriors(docs: DataFrame, model, n_domains: int, carry: list[str] | None = None,
+               fitted: tuple[list[tuple[np.ndarray, float]], float] | None = None) -> DataFrame:
+    """``docs`` (the columns in ``carry``, by default all) with ``n_tokens`` and ``posterior``, and with ``fitted`` (steps,
+    ceiling) ``rate`` from the same pass."""
     keep = others(docs.select(*[col(c) for c in carry]) if carry is not None else docs, OUT)
     has = any(c.lower() == "text" for c in keep)       # a text that is kept anyway isn't sent twice
     df = docs.select(*[col(c) for c in keep], *([] if has else [col("text")]))
     text_at = next(i for i, c in enumerate(df.columns) if c.lower() == "text")
     schema = docs.select(*[col(c) for c in keep]).schema.add("n_tokens", "long").add("posterior", T.ArrayType(T.DoubleType()))
-    shared = docs.sparkSession.sparkContext.broadcast(model)      # a few thousand weights
+    if fitted is not None:
+        schema = schema.add("rate", "double")
+    shared = docs.sparkSession.sparkContext.broadcast((*model, fitted))      # a few thousand words and weights
 
     def run(batches):
-        kept, w, bias = shared.value
-        column, hasher = {int(i): k for k, i in enumerate(kept)}, Hasher()
+        names, w, bias, fitted = shared.value
+        lexicon = Lexicon(names)
         for b in batches:
-            z, tokens = np.tile(bias, (b.num_rows, 1)), []
+            tokens, own, at = [], [], []
             for k, t in enumerate(b.column(text_at)):
                 text = t.as_py() or ""
                 tokens.append(len(text.split()))
-                z[k] += w[hasher.known(words_of(text), column)].sum(0)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(tokens, pa.int64()),
-                                              pa.array(_softmax(z).tolist(), pa.list_(pa.float64()))],
-                                             names=[f.name for f in schema.fields])
+                found = lexicon.columns(text)
+                own += [k] * len(found)
+                at += found
+            cells = w[np.array(at, int)] if at else np.empty((0, n_domains))
+            p = _softmax(bias + np.stack([np.bincount(np.array(own, int), cells[:, d], b.num_rows) for d in range(n_domains)], 1))
+            out = [*(b.column(c) for c in keep), pa.array(tokens, pa.int64()),
+                   pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1) * n_domains, pa.int32()), pa.array(p.ravel()))]
+            if fitted is not None:
+                out.append(pa.array(rates(p, *fitted) if b.num_rows else np.empty(0)))
+            yield pa.RecordBatch.from_arrays(out, names=[f.name for f in schema.fields])
 
     return arrow_rows(df).mapInArrow(run, schema)
 
@@ -204,24 +228,24 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget:
     """``docs`` (the columns in ``carry``, by default all) with ``n_tokens``, ``posterior`` (in the order of
     ``targets``), ``domain`` (the likeliest) and ``rate``, between 0 and ``most``."""
     domains = list(targets)
-    model = train(docs, labelled, domains, max_train)
-    table = posteriors(docs, model, len(domains), carry)
-    if "text" in [c.lower() for c in table.columns]:   # texts aren't written again; their posteriors are made twice
-        thin = stored(table.select("n_tokens", "posterior"), "mixing-posteriors")
-    else:
-        thin = table = stored(table, "mixing-posteriors")
+    n, model = len(domains), train(docs, labelled, domains, max_train)
+    columns = others(docs if carry is None else docs.select(*[col(c) for c in carry]), OUT)
+    texts = "text" in [c.lower() for c in columns]     # texts aren't written again; their posteriors are made twice
+    thin = stored(posteriors(docs, model, n, [] if texts else carry), "mixing-posteriors")
     steps, _, _ = fit_rates(thin, [targets[d] for d in domains], budget, most)
-    names, n = F.array(*[F.lit(d) for d in domains]), len(domains)
-
-    schema = T.StructType([*table.schema.fields, T.StructField("rate", T.DoubleType())])
-
-    def run(batches):
-        for b in batches:
-            r = rates(_matrix(b, n), steps, most) if b.num_rows else np.empty(0)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(r)], names=[*b.schema.names, "rate"])
+    if texts:
+        rated = posteriors(docs, model, n, carry, (steps, most))
+    else:
+        schema = T.StructType([*thin.schema.fields, T.StructField("rate", T.DoubleType())])
 
+        def run(batches):
+            for b in batches:
+                r = rates(_matrix(b, n), steps, most) if b.num_rows else np.empty(0)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(r)], names=[*b.schema.names, "rate"])
+        rated = thin.mapInArrow(run, schema)
+    names = F.array(*[F.lit(d) for d in domains])
     likeliest: Column = F.get(names, F.array_position("posterior", F.array_max("posterior")).cast("int") - 1)
-    return table.mapInArrow(run, schema).withColumn("domain", likeliest)
+    return rated.withColumn("domain", likeliest)
 
 
 def thinned(mixed: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
