@@ -1,25 +1,26 @@
-"""SRC-5 / SRC-6 / SRC-7: delimited text with title lines, positional columns, headers.
-
-Statistical offices publish small CSV files with one or more title lines
-before the header.  Spark's CSV reader takes the column count from the first
-line (T16), so such files are read whole (``binaryFile``: one task per file,
-all files in parallel), decoded with their charset, cut into numbered lines
-with ``posexplode``, and the body lines parsed with ``from_csv`` under an
-all-string schema.  The same parser runs on a string column that already
-holds file contents, which is how the tests feed rendered tables.
+"""SRC-5 / SRC-6 / SRC-7: delimited text with title lines, headers, positional columns.
+
+Statistical offices publish CSV files with title lines before the header, and files of one folder may have other columns or
+another order.  Files are read in splits (:mod:`.records`); each file's own header names its records, joined by file from a table
+of one row a file that is written first, so that the planner sees its size and broadcasts it or not.  The same rules work
+on a string column that holds whole file contents (``parse_delimited``, ``by_own_header``).
+
+Bad lines: records with more cells than the header (or than ``max_fields``) and with fewer than ``min_fields`` are dropped, and
+``rejects`` counts them by file and reason; other short records have NULLs at the end.
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
+from . import records as R
+
 
-def _lines(df: DataFrame, content_col: str, keep: Sequence[str]) -> DataFrame:
-    # strip a UTF-8 BOM, normalise CRLF, number the lines of each file
-    text = F.regexp_replace(F.regexp_replace(F.col(content_col), "^﻿", ""), "\r\n?", "\n")
-    return df.select(*keep, F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
+def _cells(df: DataFrame, content_col: str, keep: Sequence[str]) -> DataFrame:
+    return df.select(*keep, F.posexplode(R.records_in(F.col(content_col))).alias("line_no", "__rec"))
 
 
 def parse_delimited(df: DataFrame, content_col: str, names: Sequence[str], skip: int = 0, header: bool = True,
@@ -29,48 +30,33 @@ def parse_delimited(df: DataFrame, content_col: str, names: Sequence[str], skip:
 
     * ``skip``: title lines before the header (SRC-5);
     * ``header``: the line after the title lines is a header and is dropped;
-    * ``min_fields`` / ``max_fields``: drop lines with fewer / more fields
-      than expected (bad lines skipped, SRC-6); fields are counted by splitting
-      on ``sep``, so a separator inside a quoted value counts as a boundary;
-    * blank lines are dropped.  All values stay strings.
+    * ``min_fields`` / ``max_fields``: drop records with fewer / more cells than expected (SRC-6);
+    * blank lines are dropped.  All values stay strings, empty ones are NULL.
     """
-    ln = _lines(df, content_col, keep)
-    first_body = skip + (1 if header else 0)
-    body = ln.where((F.col("line_no") >= first_body) & (F.trim("line") != ""))
-    schema = ", ".join(f"`c{i}` string" for i in range(len(names)))
-    opts = {"sep": sep, "quote": quote, "mode": "PERMISSIVE"}
-    n_fields = F.size(F.split(F.col("line"), _re_quote(sep)))
+    body = _cells(df, content_col, keep).where((F.col("line_no") >= skip + int(header)) & (F.trim("__rec") != ""))
+    cut = body.select(*keep, "line_no", R.fields(F.col("__rec"), sep, quote).alias("__vals"))
     if min_fields is not None:
-        body = body.where(n_fields >= min_fields)
+        cut = cut.where(F.size("__vals") >= min_fields)
     if max_fields is not None:
-        body = body.where(n_fields <= max_fields)
-    parsed = body.select(*keep, "line_no", F.from_csv("line", schema, opts).alias("r"))
-    return parsed.select(*keep, "line_no", *[F.col(f"r.c{i}").alias(n) for i, n in enumerate(names)])
-
-
-def _re_quote(sep: str) -> str:
-    import re
-    return re.escape(sep)
-
+        cut = cut.where(F.size("__vals") <= max_fields)
+    return cut.select(*keep, "line_no", *[_value(i).alias(n) for i, n in enumerate(names)])
 
-def _fields(line: Column, sep: str) -> Column:
-    """The fields of one line: cut at separators outside quotes, quotes taken off."""
-    cut = F.split(line, _re_quote(sep) + '(?=(?:[^"]*"[^"]*")*[^"]*$)')
-    return F.transform(cut, lambda x: F.when(F.rlike(F.trim(x), F.lit('^".*"$')), F.replace(
-        F.regexp_replace(F.trim(x), '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(x))
 
+def _value(i: int, vals: str = "__vals") -> Column:
+    return F.nullif(F.get(vals, F.lit(i)), F.lit(""))
 
-def by_own_header(df: DataFrame, content_col: str, skip: int = 0, sep: str = ",", keep: Sequence[str] = ()) -> DataFrame:
-    """Body lines of every file with the names of that file's own header: rows (line_no, names, vals).
 
-    Files of one folder may have other columns, or the same in another order; no file speaks for the others, and
-    nothing is read while the plan is built."""
-    text = F.regexp_replace(F.regexp_replace(F.col(content_col), "^\ufeff", ""), "\r\n?", "\n")
-    files = df.select(*keep, F.split(text, "\n").alias("__l"))
-    head = F.transform(_fields(F.get("__l", F.lit(skip)), sep), lambda x: F.trim(x))
+def by_own_header(df: DataFrame, content_col: str, skip: int = 0, sep: str = ",", keep: Sequence[str] = (),
+                  drop_bad: bool = True) -> DataFrame:
+    """Body records of every content with the names of its own header: rows (line_no, names, vals).  Records with more
+    cells than names are dropped, or with ``drop_bad=False`` kept and told by ``bad``."""
+    files = df.select(*keep, R.records_in(F.col(content_col)).alias("__l"))
+    head = F.transform(R.fields(F.get("__l", F.lit(skip)), sep), lambda x: F.trim(x))
     lines = files.select(*keep, head.alias("names"), F.posexplode("__l").alias("line_no", "__line"))
-    return (lines.where((F.col("line_no") > skip) & (F.trim("__line") != ""))
-            .select(*keep, "line_no", "names", _fields(F.col("__line"), sep).alias("vals")))
+    out = (lines.where((F.col("line_no") > skip) & (F.trim("__line") != ""))
+           .select(*keep, "line_no", "names", R.fields(F.col("__line"), sep).alias("vals")))
+    bad = F.size("vals") > F.size("names")
+    return out.where(~bad) if drop_bad else out.withColumn("bad", bad)
 
 
 def value_of(name: str) -> Column:
@@ -87,34 +73,71 @@ def year_cells(df: DataFrame, ids: dict[str, Column], value_name: str = "value")
     return rows.select(*ids, F.col("__z.names").cast("int").alias("year"), F.col("__z.vals").alias(value_name))
 
 
-def read_titled_csv(spark: SparkSession, path: str, skip: int = 0, sep: str = ",", encoding: str = "UTF-8",
-                    names: Sequence[str] | None = None, **kw) -> DataFrame:
-    """SRC-5: read title-prefixed CSV files.  With ``names``, columns bound by position; without, the lines with the
-    header of their own file (``by_own_header``)."""
-    raw = (spark.read.format("binaryFile").load(path)
-           .select(F.col("path").alias("file"), F.decode("content", encoding).alias("content")))
-    if not names:
-        return by_own_header(raw, "content", skip, sep, ["file"])
-    return parse_delimited(raw, "content", list(names), skip=skip, header=True, sep=sep, keep=["file"], **kw)
-
-
-def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = ";", header: bool = True,
-                   min_fields: int | None = None, encoding: str = "UTF-8") -> DataFrame:
-    """SRC-6 / SRC-7: splittable read of delimited files with a positional schema.
-
-    Lines are read with the ``text`` source (split across tasks), the header line
-    (when present) is dropped by its content, lines with fewer than ``min_fields``
-    fields are skipped, and the rest is parsed with ``from_csv`` under ``schema``
-    (bound by position, the header is not used for names)."""
-    lines = spark.read.option("encoding", encoding).text(path).select(
-        F.regexp_replace(F.col("value"), "^\ufeff|\r$", "").alias("line"))
-    lines = lines.where(F.trim("line") != "")
+def read_lines(spark: SparkSession, path, skip: int = 0, sep: str = ",", header: bool = True, encoding: str = "UTF-8",
+               min_fields: int | None = None, max_fields: int | None = None, quote: str = '"') -> DataFrame:
+    """All body records of the files: (file, names, vals, reason).  ``reason`` is NULL, ``over-long`` (more cells than the
+    header or ``max_fields``) or ``short`` (fewer than ``min_fields``); ``names`` is NULL without a header."""
+    lines = R.lines_of(spark, path, encoding)
+    recs = R.read_records(lines, R.file_facts(lines, quote), quote)
+    recs = recs.where(F.col("no").isNull() | (F.col("no") >= skip))
+    names = F.lit(None).cast("array<string>")
     if header:
-        first = spark.read.option("encoding", encoding).text(path).limit(1).select(
-            F.regexp_replace(F.col("value"), "^\ufeff|\r$", "").alias("h"))
-        # one-row frame of a proven size: the header text, attached without a join
-        lines = lines.where(F.col("line") != first.select("h").scalar())
+        heads = recs.where(F.col("no") == skip).select("file", F.transform(R.fields(F.col("rec"), sep, quote), lambda x: F.trim(x)).alias("names"))
+        heads = materialize(heads, "headers")          # a row a file; the planner knows its size
+        recs = recs.where(F.col("no").isNull() | (F.col("no") > skip)).join(heads, "file")
+        names = F.col("names")
+    cut = recs.where(F.trim("rec") != "").select("file", names.alias("names"), R.fields(F.col("rec"), sep, quote).alias("vals"))
+    most = F.lit(max_fields) if max_fields is not None else F.size("names") if header else F.lit(None).cast("int")
+    reason = F.when(F.size("vals") > most, "over-long")
     if min_fields is not None:
-        lines = lines.where(F.size(F.split(F.col("line"), _re_quote(sep))) >= min_fields)
-    parsed = lines.select(F.from_csv("line", schema, {"sep": sep, "mode": "PERMISSIVE"}).alias("r"))
-    return parsed.select("r.*")
+        reason = reason.when(F.size("vals") < min_fields, "short")
+    return cut.withColumn("reason", reason)
+
+
+def rejects(lines: DataFrame) -> DataFrame:
+    """(file, reason, n_lines) of the dropped records."""
+    return lines.where(F.col("reason").isNotNull()).groupBy("file", "reason").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+def header_names(lines: DataFrame) -> list[str]:
+    """Names of all headers, the first file's first: a few for each distinct header, like a schema."""
+    seen = lines.groupBy("names").agg(F.min("file").alias("file")).where(F.col("names").isNotNull()).orderBy("file")
+    return list(dict.fromkeys(n for r in seen.collect() for n in r["names"]))
+
+
+def columns(lines: DataFrame, names: Sequence[str] | None = None, infer: bool = False) -> DataFrame:
+    """Good records as columns, ``file`` first: by the names of their own header (NULL where a file lacks one), or with ``names``
+    by position.  Empty cells are NULL.  ``infer``: whole columns of numbers get type bigint or double (SRC-7), which takes
+    one pass over the values."""
+    good = lines.where(F.col("reason").isNull())
+    if names:
+        out = good.select("file", *[_value(i, "vals").alias(n) for i, n in enumerate(names)])
+    else:
+        names = [n for n in header_names(lines) if n and n != "file"]
+        out = good.select("file", *[F.nullif(F.get("vals", F.array_position("names", n).cast("int") - 1), F.lit("")).alias(n)
+                                    for n in names])
+    if not infer:
+        return out
+    q = [F.col(f"`{n}`") for n in names]
+    fits = out.agg(*[F.struct(F.count_if(c.isNotNull() & c.try_cast("bigint").isNull()).alias("i"),
+                              F.count_if(c.isNotNull() & c.try_cast("double").isNull()).alias("d"), F.count(c).alias("n")).alias(f"c{k}")
+                     for k, c in enumerate(q)]).first()
+    kind = ["string" if not f["n"] or f["d"] else "double" if f["i"] else "bigint" for f in fits]
+    return out.select("file", *[c.try_cast(k).alias(n) for n, c, k in zip(names, q, kind)])
+
+
+def read_titled_csv(spark: SparkSession, path, skip: int = 0, sep: str = ",", encoding: str = "UTF-8",
+                    names: Sequence[str] | None = None, infer: bool = False, **kw) -> DataFrame:
+    """SRC-5 / SRC-7: title-prefixed CSV files as columns, bound by each file's own header or with ``names`` by position.
+    ``kw``: ``min_fields``, ``max_fields``, ``quote`` of :func:`read_lines`."""
+    return columns(read_lines(spark, path, skip, sep, True, encoding, **kw), names, infer)
+
+
+def read_delimited(spark: SparkSession, path, schema: str | Mapping[str, str], sep: str = ";", header: bool = True,
+                   min_fields: int | None = None, encoding: str = "UTF-8", **kw) -> DataFrame:
+    """SRC-6 / SRC-7: delimited files with a positional schema (``"a string, b int"``); each file's header line is
+    dropped, and records with fewer than ``min_fields`` cells.  A value that doesn't fit its type is NULL."""
+    pairs = list(schema.items()) if isinstance(schema, Mapping) else [tuple(p.strip().rsplit(" ", 1)) for p in schema.split(",")]
+    lines = read_lines(spark, path, 0, sep, header, encoding, min_fields=min_fields, **{"max_fields": 1 << 30, **kw})
+    out = columns(lines, [n for n, _ in pairs])
+    return out.select(*[F.col(f"`{n}`").try_cast(t).alias(n) for n, t in pairs])
