@@ -32,13 +32,34 @@ def snk_reload_roundtrip(spark, sf_dir):
     rep = K.reload(spark, frames, base, columns=cols)           # full refresh: same content, not doubled
     loaded = rep.agg(F.count_if(F.col("status") == "loaded").alias("tables_loaded"),
                      F.count_if(F.col("status") == "skipped").alias("tables_skipped")).first()
-    back = spark.read.parquet(f"{base}/nation_year")
+    back = K.read_table(spark, base, "nation_year")
     return back.groupBy(F.col("yr").alias("year")).agg(
         F.sum("n").alias("n"), F.sum("rev").cast("double").alias("revenue")).select(
         "year", "n", "revenue", F.lit(loaded["tables_loaded"]).alias("tables_loaded"),
         F.lit(loaded["tables_skipped"]).alias("tables_skipped"))
 
 
+@query("snk_failed_load", covers=("SNK-3", "SNK-4"), sql=f"""
+{W},
+ny AS (SELECT yr AS year, COUNT(*) AS n, {sql_money_sum('o_totalprice')} AS revenue FROM geo GROUP BY 1)
+SELECT step, year, CAST(n AS BIGINT) AS n, revenue, step <> 'failed' AS loaded
+FROM ny, (VALUES ('first'), ('failed'), ('second')) AS s(step) WHERE step <> 'second' OR year > 1994
+""")
+def snk_failed_load(spark, sf_dir):
+    """A load, one that fails while its last rows are written, and one more: after each, what a reader gets."""
+    star = geo_orders(cat(spark, sf_dir)).select(F.col("yr").alias("year"), N.money("o_totalprice").alias("price"))
+    base, schema = scratch_path(spark, "failed"), T.StructType([T.StructField("year", T.IntegerType()), T.StructField("price", T.DecimalType(18, 2))])
+    spoilt = star.withColumn("year", F.when(F.col("year") > 1994, F.raise_error(F.lit("spoilt")).cast("int")).otherwise(F.col("year")))
+    steps = []
+    for step, load in (("first", K.reload(spark, {"t": star}, base)), ("failed", K.publish(spark, {"t": spoilt}, {"t": schema}, base)),
+                       ("second", K.publish(spark, {"t": star.where("year > 1994")}, {"t": schema}, base))):
+        loaded = load.first()["status"] == "loaded"
+        steps.append(K.read_table(spark, base, "t").groupBy("year").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("price").cast("double").alias("revenue"))
+            .select(F.lit(step).alias("step"), "year", "n", "revenue", F.lit(loaded).alias("loaded")))
+    return R.union_all(steps)
+
+
 PUBLISH_SCHEMA = T.StructType([T.StructField("year", T.LongType()), T.StructField("category", T.StringType()),
                                T.StructField("orders", T.IntegerType()), T.StructField("revenue", T.DecimalType(18, 2)),
                                T.StructField("loaded_at", T.TimestampType())])
@@ -55,7 +76,7 @@ def snk_publish_schema(spark, sf_dir):
         F.count(F.lit(1)).alias("orders"), F.sum(N.money("o_totalprice")).alias("revenue"))
     base = scratch_path(spark, "publish")
     K.publish(spark, {"orders_by_year": a}, {"orders_by_year": PUBLISH_SCHEMA}, base)
-    back = spark.read.parquet(f"{base}/orders_by_year")
+    back = K.read_table(spark, base, "orders_by_year")
     return back.select("year", "category", "orders", F.col("revenue").cast("double").alias("revenue"),
                        F.col("loaded_at").isNull().alias("loaded_at_is_null"))
 
@@ -91,7 +112,7 @@ def snk_enforce(spark, sf_dir):
     cu = cat(spark, sf_dir)["customer"]
     contract = K.ColumnContract(not_null=["c_custkey", "c_mktsegment"], defaults={"c_mktsegment": "UNKNOWN"},
                                 decimals={"c_acctbal": (5, 2)})
-    ok, bad = K.enforce(cu, contract)
+    ok, bad = K.load_enforced(spark, cu, contract, scratch_path(spark, "enforce"))
     # a rejected row keeps the value that it was rejected for
     both = (ok.withColumn("reject_reason", F.lit(None).cast("string")).withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
             .unionByName(bad))

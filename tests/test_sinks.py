@@ -1,4 +1,5 @@
 """Sinks: per-table failure report of the reload, load-time contracts, explicit-schema publish."""
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +16,39 @@ def test_reload_reports_each_table(spark):
     rep = {r.table_name: (r.status, r.row_count) for r in
            K.reload(spark, {"good": good, "bad": bad, "absent": None}, base, columns={"good": ["v", "k"]}).collect()}
     assert rep["good"] == ("loaded", 2) and rep["bad"][0] == "error" and rep["absent"] == ("skipped", None)
-    assert spark.read.parquet(f"{base}/good").columns == ["v", "k"]          # explicit column order
+    assert K.read_table(spark, base, "good").columns == ["v", "k"]           # explicit column order
+
+
+def test_a_failed_load_leaves_the_table_as_it_was(spark):
+    base = scratch_path(spark, "replace-test")
+    rows_of = spark.range(100).withColumnRenamed("id", "k")
+    bad = rows_of.withColumn("k", F.when(F.col("k") == 57, F.raise_error(F.lit("boom")).cast("long")).otherwise(F.col("k")))
+    assert K.reload(spark, {"t": rows_of}, base).first()["status"] == "loaded"
+    begun = K.read_table(spark, base, "t")
+    for load in (K.reload(spark, {"t": bad}, base), K.publish(spark, {"t": bad}, {"t": rows_of.schema}, base)):
+        assert load.first()["status"] == "error"
+        assert K.read_table(spark, base, "t").count() == 100
+    assert K.reload(spark, {"t": rows_of.limit(7)}, base).first()["row_count"] == 7
+    assert K.read_table(spark, base, "t").count() == 7 and begun.count() == 100      # a reader that has begun
+    with pytest.raises(FileNotFoundError):
+        K.read_table(spark, base, "never")
+
+
+def test_old_versions_go(spark):
+    import os
+    base = scratch_path(spark, "versions-test")
+    for i in range(4):
+        K.reload(spark, {"t": spark.range(i)}, base)
+    names = os.listdir(f"{base}/t".removeprefix("file:"))
+    assert sum(n.startswith("v-") for n in names) == 2 and K.read_table(spark, base, "t").count() == 3
+
+
+def test_a_load_is_judged_in_one_pass(spark):
+    df = spark.createDataFrame([(1, None, 1.5), (None, "x", 2.0), (3, "y", 12345.678)], "k int, s string, p double")
+    c = K.ColumnContract(not_null=["k", "s"], defaults={"s": "n/a"}, decimals={"p": (6, 2)})
+    ok, bad = K.load_enforced(spark, df, c, scratch_path(spark, "enforced-test"))
+    want_ok, want_bad = K.enforce(df, c)
+    assert rows(ok) == rows(want_ok) and rows(bad) == rows(want_bad) and ok.schema["p"].dataType == T.DecimalType(6, 2)
 
 
 def test_enforce_defaults_not_null_and_decimals(spark):
@@ -30,7 +63,7 @@ def test_publish_casts_to_schema(spark):
     base = scratch_path(spark, "publish-test")
     rep = K.publish(spark, {"t": spark.createDataFrame([(1,)], "k int")}, {"t": schema}, base).collect()
     assert rep[0].status == "loaded"
-    back = spark.read.parquet(f"{base}/t")
+    back = K.read_table(spark, base, "t")
     assert back.schema.simpleString() == "struct<k:bigint,missing:string>"
 
 
