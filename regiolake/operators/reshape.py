@@ -49,6 +49,19 @@ def pivot_first(df: DataFrame, index: Sequence[str], column: str, value: str, va
     return df.groupBy(*index).pivot(column, list(values)).agg(agg)
 
 
+def pivot_map(df: DataFrame, index: Sequence[str], column: str, value: str, order: Column, name: str = "cells") -> DataFrame:
+    """RSH-3 / AGG-12 with open columns: long -> one row per ``index`` with a map label -> first non-NULL value by ``order``,
+    labels ascending.  The labels needn't be known when the plan is made, and no pass looks for them; labels whose values are all
+    NULL aren't in the map.  One shuffle by index and label, one by index; a map holds the labels of one row."""
+    first = (df.where(F.col(value).isNotNull() & F.col(column).isNotNull()).groupBy(*index, column)
+             .agg(F.min_by(value, order).alias("__v")))
+    cells = F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("__v").isNotNull(), F.struct(column, "__v")))))
+    # index rows without any value keep an empty map
+    every = df.select(*index, F.lit(None).cast(df.schema[column].dataType).alias(column),
+                      F.lit(None).cast(df.schema[value].dataType).alias("__v")).distinct()
+    return first.unionByName(every).groupBy(*index).agg(cells.alias(name))
+
+
 def melt_with_header(cells: DataFrame, keys: Sequence[str], header_row: int = 0, label_col: int = 0,
                      label_name: str = "label") -> DataFrame:
     """RSH-4: a table as cells (keys, row_idx, col_idx, text) whose header cells read like

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from ..sources.catalog import Catalog
 
 # SQL fragment equivalent to geo_orders(): orders with year, region and nation names.
@@ -74,3 +75,11 @@ def labels_of(df: DataFrame, *cols: str) -> list[list]:
     columns after them.  The columns must be dimensions, with a few members."""
     row = df.agg(*[F.array_sort(F.collect_set(c)) for c in cols]).first()
     return [list(v) for v in row]
+
+
+def write_files(lines: DataFrame, key: str, order: list[str], name: str) -> str:
+    """Text files in the shared folder, one for each value of ``key``, each written by one task in ``order``; the column
+    ``line`` is the text.  Returns the folder."""
+    path = scratch_path(lines.sparkSession, name)
+    lines.repartition(key).sortWithinPartitions(key, *order).select(key, "line").write.partitionBy(key).text(path)
+    return path

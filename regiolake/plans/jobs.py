@@ -96,7 +96,11 @@ def job_detentions(cubes: DataFrame, content_col: str = "content", dims=("Provin
     vary slower than nationality, ordered by cell position); only country rows
     are kept; prefixes are stripped (FN-14); values parsed loosely (N9) and
     truncated to integers."""
-    cells = PX.parse_px(cubes, content_col, keep=list(keep), strict_numbers=False)
+    return detentions(PX.parse_px(cubes, content_col, keep=list(keep), strict_numbers=False), dims, keep)
+
+
+def detentions(cells: DataFrame, dims=("Provincias", "Nacionalidad", "Sexo", "periodo"), keep: tuple[str, ...] = ("file",)) -> DataFrame:
+    """JOB-08 on the cells of cubes, as ``read_px`` gives them; ``keep`` names a cube."""
     names = {"Provincias": "province", "Nacionalidad": "raw_nat", "Sexo": "sex", "periodo": "year"}
     cols = [names.get(d, d) for d in dims]
     c = PX.dims_to_columns(cells.withColumn("__pos", F.col("cell_pos")), cols, keep=[*keep, "__pos"])
@@ -119,7 +123,11 @@ def job_detentions(cubes: DataFrame, content_col: str = "content", dims=("Provin
 def job_detentions_total(cubes: DataFrame, content_col: str = "content",
                          dims=("territory", "crime_type", "age_group", "sex", "year")) -> DataFrame:
     """JOB-09: PX cube -> ``crime_detentions_total`` (loose locale numbers, NULLs dropped)."""
-    cells = PX.parse_px(cubes, content_col, strict_numbers=False)
+    return detentions_total(PX.parse_px(cubes, content_col, strict_numbers=False), dims)
+
+
+def detentions_total(cells: DataFrame, dims=("territory", "crime_type", "age_group", "sex", "year")) -> DataFrame:
+    """JOB-09 on the cells of cubes."""
     c = PX.dims_to_columns(cells, list(dims))
     out = c.withColumn("year", F.col("year").try_cast("int")).withColumn("value", F.col("value").cast("long"))
     return conform(out.where(F.col("value").isNotNull() & F.col("year").isNotNull()), SCHEMAS["crime_detentions_total"])

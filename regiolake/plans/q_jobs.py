@@ -12,9 +12,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import numbers as N
+from ..operators import relational as R
 from ..session import materialize
+from ..sources import px as PX
 from . import jobs as JB
-from .common import GEO_SQL, cat, geo_orders, labels_of, nation_region
+from .common import GEO_SQL, cat, geo_orders, labels_of, nation_region, write_files
 from .q_relational import _MONTH_NAMES
 from .registry import query, sql_money_sum
 
@@ -281,40 +283,35 @@ def job_ecp_pairing(spark, sf_dir):
 
 # --------------------------------------------------------------------------- PX jobs
 
-def _px_cube(dims_row, dims, counts):
-    """Render one PX cube.
+def _px_files(dims_row, dims, counts, name):
+    """Write PX cubes, a file for each label of the first dimension.
 
-    ``dims_row`` is a one-row frame holding, per dimension ``d``, the label array
-    ``d_lab`` (cube order) and a parallel array ``d_key`` of join keys (NULL for
-    labels that match no cell, e.g. hierarchy headers).  ``counts`` has one
-    column per dimension key (named like the dimension) and ``n``.  The grid
-    comes from exploding those fixed-size arrays inside the one row; the data
-    vector is collected in cube order (its size is the product of the
-    dimension sizes, independent of the row count)."""
+    ``dims_row`` is a one-row frame holding, per dimension ``d``, the label array ``d_lab`` (cube order) and a parallel array
+    ``d_key`` of join keys (NULL for labels that match no cell, e.g. hierarchy headers).  ``counts`` has one column per
+    dimension key (named like the dimension) and ``n``.  The grid comes from exploding those arrays; a line of the data vector
+    holds the cells of the last dimension, and no row holds more."""
     grid = dims_row
     for d in dims:
         grid = grid.select("*", F.posexplode(F.arrays_zip(F.col(f"{d}_lab").alias("l"), F.col(f"{d}_key").alias("k")))
                            .alias(f"{d}_i", f"{d}_z"))
-    grid = grid.select(*[F.col(f"{d}_i") for d in dims], *[F.col(f"{d}_z")["k"].alias(d) for d in dims],
-                       *[F.size(f"{d}_lab").alias(f"{d}_n") for d in dims])
-    cells = grid.join(counts, on=list(dims), how="left")
-    pos = F.lit(0).cast("long")
-    for i, d in enumerate(dims):
-        stride = F.lit(1).cast("long")
-        for e in dims[i + 1:]:
-            stride = stride * F.col(f"{e}_n")
-        pos = pos + F.col(f"{d}_i") * stride
+    grid = grid.select(*[F.col(f"{d}_i") for d in dims], *[F.col(f"{d}_z")["k"].alias(d) for d in dims])
     tok = (F.when(F.col("n").isNull(), F.lit('".."'))
             .when(F.col("n") >= 1000, F.concat(F.lit('"'), F.translate(F.format_number("n", 0), ",", "."), F.lit('"')))
             .otherwise(F.col("n").cast("string")))
-    data = cells.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(pos.alias("p"), tok.alias("t")))),
-                                              lambda x: x["t"]), " ").alias("data"))
-    values = [F.concat(F.lit(f'VALUES("{d}")='),
-                       F.array_join(F.transform(F.col(f"{d}_lab"), lambda x: F.concat(F.lit('"'), x, F.lit('"'))), ","),
-                       F.lit(";\n")) for d in dims]
-    head = dims_row.select(F.concat(F.lit('CHARSET="ANSI";\n'), *values).alias("head"))
-    # both sides are one row: attach the data vector as a scalar subquery (no join)
-    return head.select(F.concat("head", F.lit("DATA=\n"), data.select("data").scalar(), F.lit(";\n")).alias("content"))
+    at = [F.col(f"{d}_i") for d in dims]
+    body = grid.join(counts, on=list(dims), how="left").groupBy(*at[:-1]).agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct(at[-1].alias("p"), tok.alias("t")))), lambda x: x["t"]), " ").alias("line"))
+    body = body.select(at[0].alias("cube"), F.array(F.lit(2), *at[1:-1]).alias("ord"), "line")
+
+    def values(d, labels):
+        quoted = F.transform(labels, lambda x: F.concat(F.lit('"'), x, F.lit('"')))
+        return F.concat(F.lit(f'VALUES("{d}")='), F.array_join(quoted, ","), F.lit(";"))
+    heads = dims_row.select("*", F.posexplode(f"{dims[0]}_lab").alias("cube", "own")).select(
+        "cube", F.posexplode(F.array(F.lit('CHARSET="ANSI";'), values(dims[0], F.array("own")),
+                                     *[values(d, F.col(f"{d}_lab")) for d in dims[1:]], F.lit("DATA="))).alias("i", "line"))
+    heads = heads.select("cube", F.array(F.lit(1), "i").alias("ord"), "line")
+    ends = heads.select("cube", F.array(F.lit(3)).alias("ord"), F.lit(";").alias("line")).distinct()
+    return write_files(R.union_all([heads, body, ends]), "cube", ["ord"], name)
 
 
 def _fixed_dim(name, values):
@@ -354,9 +351,9 @@ def job_detentions(spark, sf_dir):
     provinces, sexes, years = labels_of(counts, "Provincias", "Sexo", "periodo")
     dims_row = _nation_hierarchy(c).select(*_fixed_dim("Provincias", provinces), "Nacionalidad_lab", "Nacionalidad_key",
                                            *_fixed_dim("Sexo", sexes), *_fixed_dim("periodo", years))
-    cube = _px_cube(dims_row, ["Provincias", "Nacionalidad", "Sexo", "periodo"], counts)
-    # the rendered cube stands for the fetched file: written once, read by the job
-    return JB.job_detentions(materialize(cube, "px_detentions"))
+    # the written cubes stand for the fetched files: one a province, read in splits
+    files = _px_files(dims_row, ["Provincias", "Nacionalidad", "Sexo", "periodo"], counts, "px_detentions")
+    return JB.detentions(PX.read_px(spark, files, strict_numbers=False))
 
 
 @query("job_detentions_total", covers=("JOB-09", "SRC-8", "FN-4"), sql=f"""
@@ -378,8 +375,8 @@ def job_detentions_total(spark, sf_dir):
     dims_row = regions.select("territory_lab", "territory_key", *_fixed_dim("crime_type", types),
                               *_fixed_dim("age_group", ["TOTAL edad"]), *_fixed_dim("sex", sexes),
                               *_fixed_dim("year", years))
-    cube = _px_cube(dims_row, ["territory", "crime_type", "age_group", "sex", "year"], counts)
-    return JB.job_detentions_total(materialize(cube, "px_detentions_total"))
+    files = _px_files(dims_row, ["territory", "crime_type", "age_group", "sex", "year"], counts, "px_detentions_total")
+    return JB.detentions_total(PX.read_px(spark, files, strict_numbers=False))
 
 
 # --------------------------------------------------------------------------- HTML job

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import labels as L
 from ..functions import numbers as N
 from ..operators import relational as R
+from ..operators import reshape as RS
 from ..session import materialize
 from .common import cat, customer_geo, geo_orders, GEO_SQL, labels_of
 from .registry import query, sql_fixed, sql_money_sum, sql_pct, sql_ratio
@@ -517,18 +518,19 @@ def agg_nunique(spark, sf_dir):
 
 @query("agg_first_pivot", covers=("AGG-12", "RSH-3"), sql=f"""
 {W},
-f AS (SELECT n_name, 'y' || yr AS y, arg_min(o_orderstatus, o_orderdate::VARCHAR || lpad(o_orderkey::VARCHAR, 20, '0')) AS first_status
-      FROM geo GROUP BY ALL)
-PIVOT f ON y USING max(first_status) GROUP BY n_name
+f AS (SELECT n_name, yr, arg_min(o_orderstatus, o_orderdate::VARCHAR || lpad(o_orderkey::VARCHAR, 20, '0')) AS s
+      FROM geo WHERE o_orderstatus IS NOT NULL GROUP BY 1, 2)
+SELECT n_name, string_agg(yr || '=' || s, ' ' ORDER BY yr) AS cells, CAST(COUNT(*) AS INTEGER) AS n_cells FROM f GROUP BY 1
 """)
 def agg_first_pivot(spark, sf_dir):
-    """The first status that isn't NULL; the order key of a NULL status is NULL, which ``min_by`` skips."""
+    """The first status by date that isn't NULL, one cell a year."""
     g = geo_orders(cat(spark, sf_dir))
-    order = F.when(F.col("o_orderstatus").isNotNull(), F.struct("o_orderdate", "o_orderkey"))
-    first = materialize(g.groupBy("n_name", "yr").agg(F.min_by("o_orderstatus", order).alias("first_status")), "first_status")
-    years, = labels_of(first, "yr")
-    return (first.groupBy("n_name").pivot("yr", years).agg(F.first("first_status", ignorenulls=True))
-                 .select("n_name", *[F.col(str(y)).alias(f"y{y}") for y in years]))
+    p = RS.pivot_map(g, ["n_name"], "yr", "o_orderstatus", F.struct("o_orderdate", "o_orderkey"))
+    return p.select("n_name", _cells_text().alias("cells"), F.size("cells").alias("n_cells"))
+
+
+def _cells_text():
+    return F.array_join(F.transform(F.map_entries("cells"), lambda e: F.concat_ws("=", e["key"], e["value"])), " ")
 
 
 @query("agg_dup_groups", covers=("AGG-13", "DQ-3"), sql="""

@@ -21,7 +21,7 @@ from ..sources import px as PX
 from ..sources import text_tables as TT
 from ..session import materialize
 from .common import cat, geo_orders, GEO_SQL, labels_of
-from .q_relational import _MONTH_NAMES
+from .q_relational import _MONTH_NAMES, _cells_text
 from .registry import query, sql_money_sum
 
 W = f"WITH {GEO_SQL.strip()}"
@@ -317,14 +317,15 @@ def rsh_melt_split(spark, sf_dir):
 
 @query("rsh_pivot_first", covers=("RSH-3", "AGG-12"), sql=f"""
 {W},
-f AS (SELECT r_name, 'y' || yr AS y, arg_min(n_name, o_orderkey) AS first_nation FROM geo GROUP BY ALL)
-PIVOT f ON y USING max(first_nation) GROUP BY r_name
+f AS (SELECT r_name, yr, arg_min(n_name, o_orderkey) AS first_nation, COUNT(DISTINCT n_name) AS n FROM geo GROUP BY 1, 2)
+SELECT r_name, string_agg(yr || '=' || first_nation, ' ' ORDER BY yr) AS cells, MIN(yr) AS first_year, MAX(yr) AS last_year
+FROM f GROUP BY 1
 """)
 def rsh_pivot_first(spark, sf_dir):
     g = geo_orders(cat(spark, sf_dir))
-    years, = labels_of(g, "yr")
-    p = RS.pivot_first(g, ["r_name"], "yr", "n_name", years, order=F.col("o_orderkey"))
-    return p.select("r_name", *[F.col(str(y)).alias(f"y{y}") for y in years])
+    p = RS.pivot_map(g, ["r_name"], "yr", "n_name", F.col("o_orderkey"))
+    keys = F.map_keys("cells")
+    return p.select("r_name", _cells_text().alias("cells"), F.array_min(keys).alias("first_year"), F.array_max(keys).alias("last_year"))
 
 
 @query("rsh_header_parse", covers=("RSH-4", "FN-16", "FN-3", "AGG-7"), sql=f"""

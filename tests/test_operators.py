@@ -239,3 +239,34 @@ def test_file_readers_px_and_json(spark, tmp_path):
                                 encoding="utf-8")
     pts = J.points(J.read_series(spark, str(j / "*.json")), ["Nombre"])
     assert rows(pts.select("Nombre", "year", "value")) == [("a", 2020, 1.5), ("b", 2021, None)]
+
+
+def test_px_files_in_splits_equal_whole_cubes(spark, tmp_path):
+    from regiolake.sources import px as PX
+    d = tmp_path / "px"
+    d.mkdir()
+    for f, n in (("a", 40), ("b", 7)):
+        labels = ",\n".join(f'"{f}{i}"' for i in range(n))
+        data = "\n".join(" ".join(str(i * 3 + j) if (i + j) % 5 else '".."' for j in range(3)) for i in range(n))
+        (d / f"{f}.px").write_bytes(f'CHARSET="ANSI";\nVALUES("Año")={labels};\nVALUES("k")="x","y","z";\nDATA= \n{data};\nNOTE="1 2";\n'
+                                    .encode("latin-1"))
+    whole = spark.read.format("binaryFile").load(str(d)).select(F.col("path").alias("file"), F.decode("content", "ISO-8859-1").alias("content"))
+    cols = ["dims", "labels", "cell_pos", "raw", "value"]
+    want = rows(PX.parse_px(whole, keep=["file"]).select(*cols))
+    conf = {"spark.sql.files.maxPartitionBytes": "100", "spark.sql.files.openCostInBytes": "0"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = rows(PX.read_px(spark, str(d)).select(*cols))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == want and len(want) == 47 * 3
+
+
+def test_pivot_map_keeps_first_values_and_empty_rows(spark):
+    df = spark.createDataFrame([("a", 2, "x", 5), ("a", 2, "w", 3), ("a", 1, None, 1), ("a", 3, "z", 1), ("b", 1, None, 1), ("c", None, "q", 1)],
+                               "g string, y int, v string, o int")
+    got = {r["g"]: dict(r["cells"] or {}) for r in RS.pivot_map(df, ["g"], "y", "v", F.col("o")).collect()}
+    assert got == {"a": {2: "w", 3: "z"}, "b": {}, "c": {}}
