@@ -8,7 +8,7 @@ Label lists and filters are fixed values of the reference transforms.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
@@ -272,8 +272,20 @@ def housing_eustat(raw: DataFrame, content_col: str = "content", skip: int = 4)
     (AGG-2, rounded half-even as pandas does)."""
     # the file is named by its content: a row number would change when a part is computed again
     raw = raw.withColumn("__file", F.sha2(F.col(content_col), 256)) if "__file" not in raw.columns else raw
-    t = TT.parse_delimited(raw, content_col, EUSTAT_HOUSING_COLS, skip=skip, header=False, sep=";",
-                           keep=["__file"], min_fields=13, max_fields=13)
+    return _housing(TT.parse_delimited(raw, content_col, EUSTAT_HOUSING_COLS, skip=skip, header=False, sep=";",
+                                       keep=["__file"], min_fields=13, max_fields=13))
+
+
+def housing_files(spark: SparkSession, path, skip: int = 4, encoding: str = "UTF-8") -> DataFrame:
+    """JOB-10, quarterly files read in splits."""
+    n = len(EUSTAT_HOUSING_COLS)
+    lines = TT.read_lines(spark, path, skip, ";", header=False, encoding=encoding, min_fields=n, max_fields=n)
+    return _housing(lines.where(F.col("reason").isNull()).select(
+        F.col("file").alias("__file"), F.col("place").alias("line_no"),
+        *[F.nullif(F.get("vals", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(EUSTAT_HOUSING_COLS)]))
+
+
+def _housing(t: DataFrame) -> DataFrame:
     t = t.withColumn("year", F.col("trimestre").try_cast("int"))
     t = R.forward_fill(t, ["__file"], "line_no", ["year"], block=4096)
     t = t.where(F.col("trimestre").rlike(r"^[IVX]+$"))
@@ -324,9 +336,10 @@ def housing_sheets(cells: DataFrame, skip_rows: int = 13, min_rows: int = 5) ->
     return out.select("year", "province", "region_type", "price_per_m2", F.lit("MIVAU").alias("source"))
 
 
-def job_housing(eustat_raw: DataFrame | None, sheet_cells: DataFrame | None) -> DataFrame:
-    """JOB-10: both sources concatenated by name (SET-2); a missing source contributes nothing."""
-    parts = []
+def job_housing(eustat_raw: DataFrame | None, sheet_cells: DataFrame | None, eustat: DataFrame | None = None) -> DataFrame:
+    """JOB-10: both sources concatenated by name (SET-2); a missing source contributes nothing.  ``eustat``: rows of
+    :func:`housing_files` in place of raw contents."""
+    parts = [] if eustat is None else [eustat]
     if eustat_raw is not None:
         parts.append(housing_eustat(eustat_raw))
     if sheet_cells is not None:

@@ -462,10 +462,10 @@ def job_housing(spark, sf_dir):
     lines = q.select("yr", F.col("qt").alias("k"), qline.alias("line")).unionByName(
         q.select("yr").distinct().select("yr", F.lit(0).alias("k"),
                                          F.concat(F.col("yr").cast("string"), F.lit(";" * 12)).alias("line")))
-    # one file: 4 title lines, then per year a year line followed by its quarter lines (years x 5 lines)
-    eustat = lines.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("yr", "k", "line"))),
-                                                lambda x: x["line"]), "\n").alias("body")) \
-        .select(F.concat(F.lit("Precio vivienda\nEuskadi\n(euros/m2)\n;;;\n"), F.col("body")).alias("content"))
+    # a file a year: 4 title lines, a year line and its quarter lines
+    titles = q.select("yr").distinct().select("yr", F.posexplode(F.array(*[F.lit(x) for x in (
+        "Precio vivienda", "Euskadi", "(euros/m2)", ";;;")])).alias("i", "line"))
+    eustat = write_files(titles.select("yr", (F.col("i") - 9).alias("k"), "line").unionByName(lines), "yr", ["k"], "housing_files")
     # ministry workbook: one sheet per year, 13 title rows, header row 13, one row per nation
     cnt = materialize(g.groupBy("yr", "n_name", "qt").agg(F.count(F.lit(1)).cast("string").alias("value")),
                       "housing_counts")
@@ -481,8 +481,8 @@ def job_housing(spark, sf_dir):
     title = years.select(sheet.alias("sheet"), F.lit(0).alias("row_idx"), F.lit(0).alias("col_idx"),
                          F.lit("Valor tasado de vivienda libre").alias("value"))
     cells = body.unionByName(labels).unionByName(head).unionByName(title)
-    # the rendered file and workbook stand for the fetched inputs: written once, read by the job
-    return JB.job_housing(materialize(eustat, "housing_file"), materialize(cells, "housing_cells")).select(
+    # the written files and workbook stand for the fetched inputs
+    return JB.job_housing(None, materialize(cells, "housing_cells"), JB.housing_files(spark, eustat)).select(
         "year", "province", "region_type", "price_per_m2", "source")
 
 
@@ -494,28 +494,21 @@ FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON
 GROUP BY 1, 2
 """)
 def job_origin_table(spark, sf_dir):
-    """Two-level header table: province over (Total, Hombres, Mujeres), one row per segment."""
+    """Two-level header tables, one a province: province over (Total, Hombres, Mujeres), one row per segment."""
     c = cat(spark, sf_dir)
     cu = c["customer"].select("c_mktsegment", "c_acctbal", F.col("c_nationkey").alias("n_nationkey")) \
-        .join(F.broadcast(c["nation"].select("n_nationkey", "n_regionkey")), on="n_nationkey")
-    a = materialize(cu.groupBy("n_regionkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("t"),
-                                                                   F.count_if(F.col("c_acctbal") < 0).alias("h"),
-                                                                   F.count_if(F.col("c_acctbal") >= 0).alias("m")),
+        .join(nation_region(c).select("n_nationkey", F.col("r_name").alias("table")), on="n_nationkey")
+    a = materialize(cu.groupBy("table", "c_mktsegment").agg(F.count(F.lit(1)).alias("t"),
+                                                            F.count_if(F.col("c_acctbal") < 0).alias("h"),
+                                                            F.count_if(F.col("c_acctbal") >= 0).alias("m")),
                     "origin_counts")
-    segs = a.select("c_mktsegment").distinct()
-    # segments are a small fixed domain: a global rank over the distinct values is bounded
-    seg_row = segs.select("c_mktsegment", (F.dense_rank().over(Window.orderBy("c_mktsegment")) + 1).alias("row_idx"))
+    # rows of a table are its own segments, a few
+    row = F.row_number().over(Window.partitionBy("table").orderBy("c_mktsegment")) + 1
     fmt = lambda x: F.when(x >= 1000, F.translate(F.format_number(x, 0), ",", ".")).otherwise(x.cast("string"))  # noqa
-    body = a.join(seg_row, on="c_mktsegment").select(
-        "row_idx", F.inline(F.array(*[F.struct((1 + F.col("n_regionkey") * 3 + k).alias("col_idx"), fmt(F.col(v)).alias("text"))
-                                      for k, v in enumerate(["t", "h", "m"])])))
-    natc = seg_row.select("row_idx", F.lit(0).alias("col_idx"), F.col("c_mktsegment").alias("text"))
-    reg = c["region"]
-    top = reg.select(F.lit(0).alias("row_idx"), F.inline(F.array(*[F.struct(
-        (1 + F.col("r_regionkey") * 3 + k).alias("col_idx"), (F.col("r_name") if k == 0 else F.lit("")).alias("text"))
-        for k in range(3)])))
-    sub = reg.select(F.lit(1).alias("row_idx"), F.inline(F.array(*[F.struct(
-        (1 + F.col("r_regionkey") * 3 + k).alias("col_idx"), F.lit(s).alias("text"))
-        for k, s in enumerate(["Total", "Hombres", "Mujeres"])])))
-    cells = body.unionByName(natc).unionByName(top).unionByName(sub).withColumn("table", F.lit("origin"))
-    return JB.job_origin_table(cells).select("provincia", "nacionalidad", "total", "hombres", "mujeres")
+    body = a.withColumn("row_idx", row).select("table", "row_idx", F.inline(F.array(
+        F.struct(F.lit(0).alias("col_idx"), F.col("c_mktsegment").alias("text")),
+        *[F.struct(F.lit(k).alias("col_idx"), fmt(F.col(v)).alias("text")) for k, v in enumerate(["t", "h", "m"], 1)])))
+    heads = a.select("table").distinct().select("table", F.inline(F.array(*[F.struct(
+        F.lit(r).alias("row_idx"), F.lit(k).alias("col_idx"), t.alias("text")) for r, texts in enumerate((
+            [F.col("table"), F.lit(""), F.lit("")], [F.lit(x) for x in ("Total", "Hombres", "Mujeres")])) for k, t in enumerate(texts, 1)])))
+    return JB.job_origin_table(body.unionByName(heads)).select("provincia", "nacionalidad", "total", "hombres", "mujeres")

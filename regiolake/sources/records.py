@@ -1,8 +1,8 @@
 """Records of delimited files, read in splits: quoted cells may hold separators, quotes and line breaks.
 
 Files are read with the ``text`` source, so a large file is read by several tasks.  Each line knows its file, the start of
-its split and its place there.  One pass gathers a row a file: where its first line is, and whether it has lines with an odd
-number of quotes.  Files without such lines have one record a line, and nothing is moved.  For the others a line starts inside a
+its split and its place there.  One pass gathers a row a split: the number of its first line, and whether its file has lines with
+an odd number of quotes.  Files without such lines have one record a line, and nothing is moved.  For the others a line starts inside a
 quoted cell if the quotes before it are odd in number: a prefix scan over the lines of each split plus a prefix scan over the splits'
 sums tells which lines carry on the record above.
 
@@ -62,22 +62,23 @@ def _odd(line: Column, quote: str) -> Column:
     return (F.length(line) - F.length(F.replace(line, F.lit(quote), F.lit("")))) % 2
 
 
-def file_facts(lines: DataFrame, quote: str = '"') -> DataFrame:
-    """A row a file: ``first`` (number of its first line) and ``quoted`` (has a line with an odd number of quotes).
+def split_facts(lines: DataFrame, quote: str = '"') -> DataFrame:
+    """A row a split: ``first`` (number of its first line) and ``quoted`` (its file has a line with an odd number of quotes).
     Written, so that the planner knows how small it is."""
-    return materialize(lines.groupBy("file").agg(F.min(F.when(F.col("block") == 0, F.col("at"))).alias("first"),
-                                                 F.max(_odd(F.col("line"), quote) == 1).alias("quoted")), "file_facts")
+    by_split = lines.groupBy("file", "block").agg(F.min("at").alias("first"), F.max(_odd(F.col("line"), quote) == 1).alias("q"))
+    return materialize(by_split.select("file", "block", "first", F.max("q").over(Window.partitionBy("file")).alias("quoted")), "split_facts")
 
 
 def read_records(lines: DataFrame, facts: DataFrame, quote: str = '"') -> DataFrame:
-    """(file, no, rec): records, ``no`` counted from 0 in the first split of a file; null in later splits."""
-    no = F.when(F.col("block") == 0, F.col("at") - F.col("first"))
-    told = lines.join(facts, "file")
-    plain = told.where(~F.col("quoted")).select("file", no.alias("no"), F.col("line").alias("rec"))
+    """(file, no, place, rec): records.  ``place`` grows along a file: a split's start plus the line's number in the split, as no
+    line is shorter than a byte.  ``no`` is the record's number from 0 in the first split of a file, null in later ones."""
+    told = lines.join(facts, ["file", "block"]).withColumn("place", F.col("block") + F.col("at") - F.col("first"))
+    plain = told.where(~F.col("quoted")).select("file", F.when(F.col("block") == 0, F.col("place")).alias("no"), "place",
+                                                F.col("line").alias("rec"))
 
-    odd = told.where("quoted").select("file", "block", "at", "line", _odd(F.col("line"), quote).alias("odd"))
+    odd = told.where("quoted").select("file", "block", "place", "line", _odd(F.col("line"), quote).alias("odd"))
     above = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    here = Window.partitionBy("file", "block").orderBy("at")
+    here = Window.partitionBy("file", "block").orderBy("place")
     before = odd.groupBy("file", "block").agg(F.sum("odd").alias("n")).select(
         "file", "block", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("odd_before"))
     starts = (odd.join(before, ["file", "block"])
@@ -88,7 +89,8 @@ def read_records(lines: DataFrame, facts: DataFrame, quote: str = '"') -> DataFr
         "file", "block", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("starts_before"))
     whole = (starts.join(earlier, ["file", "block"])
              .groupBy("file", (F.col("starts_before") + F.col("local") - 1).alias("rank"))
-             .agg(F.array_sort(F.collect_list(F.struct("block", "at", "line"))).alias("l")))
+             .agg(F.array_sort(F.collect_list(F.struct("place", "block", "line"))).alias("l")))
     quoted = whole.select("file", F.when(F.get("l", F.lit(0))["block"] == 0, F.col("rank")).alias("no"),
+                          F.get("l", F.lit(0))["place"].alias("place"),
                           F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("rec"))
     return plain.unionByName(quoted)

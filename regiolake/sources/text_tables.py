@@ -75,10 +75,10 @@ def year_cells(df: DataFrame, ids: dict[str, Column], value_name: str = "value")
 
 def read_lines(spark: SparkSession, path, skip: int = 0, sep: str = ",", header: bool = True, encoding: str = "UTF-8",
                min_fields: int | None = None, max_fields: int | None = None, quote: str = '"') -> DataFrame:
-    """All body records of the files: (file, names, vals, reason).  ``reason`` is NULL, ``over-long`` (more cells than the
+    """All body records of the files: (file, place, names, vals, reason).  ``place`` orders the records of a file; ``reason`` is NULL, ``over-long`` (more cells than the
     header or ``max_fields``) or ``short`` (fewer than ``min_fields``); ``names`` is NULL without a header."""
     lines = R.lines_of(spark, path, encoding)
-    recs = R.read_records(lines, R.file_facts(lines, quote), quote)
+    recs = R.read_records(lines, R.split_facts(lines, quote), quote)
     recs = recs.where(F.col("no").isNull() | (F.col("no") >= skip))
     names = F.lit(None).cast("array<string>")
     if header:
@@ -86,7 +86,7 @@ def read_lines(spark: SparkSession, path, skip: int = 0, sep: str = ",", header:
         heads = materialize(heads, "headers")          # a row a file; the planner knows its size
         recs = recs.where(F.col("no").isNull() | (F.col("no") > skip)).join(heads, "file")
         names = F.col("names")
-    cut = recs.where(F.trim("rec") != "").select("file", names.alias("names"), R.fields(F.col("rec"), sep, quote).alias("vals"))
+    cut = recs.where(F.trim("rec") != "").select("file", "place", names.alias("names"), R.fields(F.col("rec"), sep, quote).alias("vals"))
     most = F.lit(max_fields) if max_fields is not None else F.size("names") if header else F.lit(None).cast("int")
     reason = F.when(F.size("vals") > most, "over-long")
     if min_fields is not None:
