@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numbers as N
 from ..session import materialize
+from ..sources import html as H
 from ..sources import text_tables as TT
 from .common import GEO_SQL, cat, geo_orders, write_files
 from .registry import query, sql_money_sum
@@ -74,3 +75,29 @@ def src_files_delimited(spark, sf_dir):
     t = TT.read_delimited(spark, path, "segment string, nation int, balance string", min_fields=3)
     return t.groupBy("segment", "nation").agg(F.count(F.lit(1)).alias("n"), F.sum(N.locale_number("balance").cast("decimal(18,2)"))
                                               .cast("double").alias("balance"))
+
+
+@query("src_html_tables", covers=("SRC-9",), sql=f"""
+{W},
+y AS (SELECT n_name, yr, ROW_NUMBER() OVER (PARTITION BY n_name ORDER BY yr) - 1 AS r, COUNT(*) AS n FROM geo GROUP BY 1, 2),
+s AS (SELECT n_name, yr, o_orderstatus AS st, ROW_NUMBER() OVER (PARTITION BY n_name, yr ORDER BY o_orderstatus) - 1 AS k, COUNT(*) AS n
+      FROM geo GROUP BY 1, 2, 3)
+SELECT n_name, 0 AS table_idx, CAST(r AS INTEGER) AS row_idx, c AS col_idx,
+       CASE c WHEN 0 THEN yr::VARCHAR WHEN 1 THEN 'P&R: ' || n ELSE '' END AS text FROM y, (VALUES (0), (1), (2)) AS v(c)
+UNION ALL
+SELECT s.n_name, CAST(y.r + 1 AS INTEGER), CAST(k AS INTEGER), c, CASE c WHEN 0 THEN st ELSE '<' || s.n || '>' END
+FROM s JOIN y ON s.n_name = y.n_name AND s.yr = y.yr, (VALUES (0), (1)) AS v(c)
+""")
+def src_html_tables(spark, sf_dir):
+    """A page for each nation: a table of years whose last cell holds a table of statuses."""
+    g = geo_orders(cat(spark, sf_dir)).groupBy("n_name", "yr", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+
+    def rows(x, line):
+        return F.array_join(F.transform(F.array_sort(F.collect_list(x)), line), "\n")
+    inner = g.groupBy("n_name", "yr").agg(F.sum("n").alias("total"), rows(F.struct("o_orderstatus", "n"), lambda z: F.concat(
+        F.lit("<TR><td>"), z["o_orderstatus"], F.lit("</td><td>&lt;<b>"), z["n"].cast("string"), F.lit("</b>&gt</td></TR>"))).alias("body"))
+    pages = inner.groupBy("n_name").agg(rows(F.struct("yr", "total", "body"), lambda z: F.concat(
+        F.lit("<tr><th>"), z["yr"].cast("string"), F.lit("</th><td>P&amp;R:\n "), z["total"].cast("string"), F.lit("</td><td><table>"),
+        z["body"], F.lit("</table></td></tr>"))).alias("body"))
+    pages = pages.select("n_name", F.concat(F.lit("</table><!-- <table> --><table class='y'>"), F.col("body"), F.lit("</table>")).alias("html"))
+    return H.nested_table_cells(materialize(pages, "table_pages"), "n_name")

@@ -1,45 +1,70 @@
 """SRC-9: records out of HTML held in a column (a page table), as a Spark job.
 
-Flat structures (list items, links, the table that follows an anchor text)
-are cut out with ``regexp_extract_all`` + ``posexplode`` in the plan.  Nested
-tables, which regular expressions cannot pair correctly, go through
-``mapInPandas`` with the standard-library ``html.parser``: a small per-row
-helper applied to Arrow batches, partitioned like the input.
+Flat structures (list items, links, the table that follows an anchor text) are cut out with ``regexp_extract_all`` +
+``posexplode``.  Nested tables are read as tokens (tags and texts with their place in the page): the depth is a running sum over the
+table tags, rows and cells are running counts inside their own table.  All of it is built-in expressions.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 from html.entities import html5
-from html.parser import HTMLParser
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-def _entities() -> Column:
-    """Map of every named entity to its text, from the standard library's table."""
-    named = [(k[:-1], v) for k, v in html5.items() if k.endswith(";")]
-    return F.create_map(*[F.lit(x) for pair in named for x in pair])
+
+def _dictionary(pairs: dict[str, str]) -> Column:
+    """A map from text to text that the optimizer makes once from one string, not an expression for each entry."""
+    return F.str_to_map(F.lit("\x1d".join(f"{k}\x1e{v}" for k, v in pairs.items())), F.lit("\x1d"), F.lit("\x1e"))
+
+
+# numeric references that HTML reads in another way: 0 and the bytes of windows-1252
+_READ_AS = {0: "\ufffd", 13: "\r", **{b: bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(128, 160)}}
+# nearly all references of a page are these: a map is searched entry by entry, so they are looked up first
+_USUAL = ("amp;", "lt;", "gt;", "quot;", "nbsp;", "apos;", "copy;", "middot;")
+_SHORTEST, _LONGEST = (f(len(k) for k in html5 if not k.endswith(";")) for f in (min, max))
 
 
 def unescape(x: Column) -> Column:
-    """All named and numeric character references decoded in one pass."""
-    def decode(part: Column) -> Column:
-        name = F.regexp_extract(part, "^([A-Za-z][A-Za-z0-9]*);", 1)
-        number = F.regexp_extract(part, "^#([0-9]{1,7});", 1)
-        code = F.regexp_extract(part, "^#[xX]([0-9A-Fa-f]{1,6});", 1)
-        point = F.when(number != "", F.hex(number.cast("long"))).when(code != "", code)
-        char = F.decode(F.unhex(F.lpad(point, 8, "0")), "UTF-32")
-        known = F.when(name != "", F.element_at(_entities(), name)).otherwise(char)
-        return F.when(known.isNotNull(), F.concat(known, F.regexp_replace(part, "^[^;]*;", ""))).otherwise(F.concat(F.lit("&"), part))
+    """All character references decoded in one pass, as HTML reads them: names with and (the old ones) without a semicolon,
+    the longest first; numbers of no character give U+FFFD, those of control characters nothing."""
+    names, usual = _dictionary(html5), _dictionary({k: html5[k] for k in _USUAL})
+    numbers = _dictionary({str(k): v for k, v in _READ_AS.items()})
+
+    def named(z: Column) -> Column:
+        part, name = z["part"], z["name"]
+
+        def cut(n: Column) -> Column:
+            return F.concat(F.try_element_at(names, F.substr(name, F.lit(1), n)), F.substr(part, n + 1))
+        shorter = [F.when(F.length(name) > n, cut(F.lit(n))) for n in range(_LONGEST, _SHORTEST - 1, -1)]
+        common = F.concat(F.try_element_at(usual, name), F.substr(part, F.length(name) + 1))
+        return F.coalesce(common, cut(F.length(name)), *shorter, F.concat(F.lit("&"), part))
+
+    def numbered(z: Column) -> Column:
+        digits = F.ltrim(F.regexp_extract(z["number"], "^#[xX]?([0-9a-fA-F]+)", 1), F.lit("0"))
+        hexadecimal = F.rlike(z["number"], F.lit("^#[xX]"))
+        n = F.when(F.length(digits) > 7, F.lit(0x110000)).when(digits == "", F.lit(0)).when(
+            hexadecimal, F.conv(digits, 16, 10).cast("int")).otherwise(digits.cast("int"))
+        char = F.transform(F.array(n), lambda k: F.coalesce(
+            F.try_element_at(numbers, k.cast("string")),
+            F.when((k > 0x10FFFF) | k.between(0xD800, 0xDFFF), "\ufffd")
+            .when(k.between(1, 8) | k.between(14, 31) | (k == 11) | (k == 127) | k.between(0xFDD0, 0xFDEF)
+                  | (k.bitwiseAND(0xFFFE) == 0xFFFE), "")
+            .otherwise(F.decode(F.unhex(F.lpad(F.hex(k), 8, "0")), "UTF-32"))))[0]
+        return F.concat(char, F.substr(z["part"], F.length(z["number"]) + 1))
+
     parts = F.split(x, "&")
-    tail = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), decode)
+    told = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: F.struct(
+        p.alias("part"), F.regexp_extract(p, "^#([0-9]+|[xX][0-9a-fA-F]+);?", 0).alias("number"),
+        F.regexp_extract(p, "^[^\t\n\f <&#;]{1,32};?", 0).alias("name")))
+    tail = F.transform(told, lambda z: F.when(z["number"] != "", numbered(z)).when(z["name"] != "", named(z))
+                       .otherwise(F.concat(F.lit("&"), z["part"])))
     return F.when(F.contains(x, F.lit("&")), F.concat(F.get(parts, F.lit(0)), F.array_join(tail, ""))).otherwise(x)
 
 
 def cell_text(x: Column) -> Column:
     """Tags removed, character references decoded, blanks collapsed and trimmed."""
-    t = unescape(F.regexp_replace(x, r"(?s)<[^>]*>", " "))
-    return F.trim(F.regexp_replace(t, r"(?U)\s+", " "))
+    return _tidy(F.regexp_replace(x, r"(?s)<[^>]*>", " "))
 
 
 def list_items(df: DataFrame, html_col: str = "html", keep: Sequence[str] = ()) -> DataFrame:
@@ -65,52 +90,46 @@ def table_after_anchor(df: DataFrame, anchor: str, html_col: str = "html", keep:
     return cells.select(*keep, "row_idx", "col_idx", cell_text(F.col("td")).alias("text"))
 
 
-class _Tables(HTMLParser):
-    """Collect the cells of every table, nested ones included, with their table index."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.out, self.stack, self.n_tables = [], [], 0
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "table":
-            self.stack.append([self.n_tables, -1, -1, None])
-            self.n_tables += 1
-        elif self.stack and tag == "tr":
-            self.stack[-1][1] += 1
-            self.stack[-1][2] = -1
-        elif self.stack and tag in ("td", "th"):
-            self.stack[-1][2] += 1
-            self.stack[-1][3] = []
-
-    def handle_endtag(self, tag):
-        if not self.stack:
-            return
-        if tag in ("td", "th") and self.stack[-1][3] is not None:
-            t, r, c, buf = self.stack[-1]
-            self.out.append((t, r, c, " ".join("".join(buf).split())))
-            self.stack[-1][3] = None
-        elif tag == "table":
-            self.stack.pop()
-
-    def handle_data(self, data):
-        if self.stack and self.stack[-1][3] is not None:
-            self.stack[-1][3].append(data)
+_HIDDEN = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
+_TAG = r"</?[A-Za-z!?][^>]*>"                          # a "<" before anything else is text
+_TOKEN = rf"(?s){_TAG}|[^<]+|<"
 
 
 def nested_table_cells(df: DataFrame, id_col: str, html_col: str = "html") -> DataFrame:
-    """Cells ``(id, table_idx, row_idx, col_idx, text)`` of all tables, nested tables included."""
-    import pandas as pd
-
-    def parse(batches):
-        for pdf in batches:
-            rows = []
-            for key, html in zip(pdf[id_col], pdf[html_col]):
-                p = _Tables()
-                p.feed(html or "")
-                rows.extend((key, *cell) for cell in p.out)
-            yield pd.DataFrame(rows, columns=[id_col, "table_idx", "row_idx", "col_idx", "text"])
-
-    id_type = dict(df.dtypes)[id_col]
-    schema = f"{id_col} {id_type}, table_idx int, row_idx int, col_idx int, text string"
-    return df.select(id_col, html_col).mapInPandas(parse, schema)
+    """Cells ``(id, table_idx, row_idx, col_idx, text)`` of all tables, nested tables included.
+
+    Tables are numbered in the order of their start tags, from 0 in each page, rows and cells from 0 in their table and row.  A
+    cell's text is the text between its start tag and its end tag (or the next cell, row or table end), without that of tables inside
+    it.  An end tag without a table is passed over; texts outside of cells, comments, scripts and styles are left out; a null page
+    has no cells.  The work of a page is one group, as a page is one value."""
+    pages = df.select(id_col, F.regexp_replace(html_col, _HIDDEN, "").alias("__h")).where(F.contains("__h", F.lit("<")))
+    pages = pages.withColumn("__page", F.monotonically_increasing_id())
+    t = pages.select(id_col, "__page", F.posexplode(F.regexp_extract_all("__h", F.lit(_TOKEN), 0)).alias("__at", "__tok"))
+    tag = F.lower(F.regexp_extract("__tok", r"^<(/?[A-Za-z]+)(?=[\s/>])", 1))
+    t = t.withColumn("__tag", F.when(F.rlike("__tok", F.lit(f"(?s)^{_TAG}$")), tag).otherwise(F.lit("text")))
+    t = t.where(F.col("__tag").isin("table", "/table", "tr", "td", "th", "/td", "/th", "text"))
+    page = Window.partitionBy("__page").orderBy("__at")
+    to_here = page.rowsBetween(Window.unboundedPreceding, 0)
+    step = F.when(F.col("__tag") == "table", 1).when(F.col("__tag") == "/table", -1).otherwise(0)
+    t = t.withColumn("__sum", F.sum(step).over(to_here))
+    # an end tag without a table would make the sum negative: what it lacks so far is added back
+    t = t.withColumn("__depth", F.col("__sum") - F.least(F.lit(0), F.min("__sum").over(to_here)))
+    t = t.withColumn("__seq", F.count_if(F.col("__tag") == "table").over(to_here) - 1).where(F.col("__depth") > 0)
+    level = Window.partitionBy("__page", "__depth").orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
+    t = t.withColumn("table_idx", F.last(F.when(F.col("__tag") == "table", F.col("__seq")), ignorenulls=True).over(level))
+    table = Window.partitionBy("__page", "table_idx").orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
+    t = t.withColumn("row_idx", F.count_if(F.col("__tag") == "tr").over(table) - 1)
+    row = Window.partitionBy("__page", "table_idx", "row_idx").orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
+    begins = F.col("__tag").isin("td", "th")
+    t = t.withColumn("col_idx", F.count_if(begins).over(row) - 1)
+    cell = Window.partitionBy("__page", "table_idx", "row_idx", "col_idx").orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
+    t = t.where(F.col("col_idx") >= 0).withColumn("__closed", F.count_if(F.col("__tag").isin("/td", "/th")).over(cell) > 0)
+    text = F.when((F.col("__tag") == "text") & ~F.col("__closed"), F.struct("__at", "__tok"))
+    out = t.groupBy("__page", id_col, "table_idx", "row_idx", "col_idx").agg(F.array_sort(F.collect_list(text)).alias("__texts"))
+    return out.select(id_col, *[F.col(c).cast("int").alias(c) for c in ("table_idx", "row_idx", "col_idx")],
+                      _tidy(F.array_join(F.transform("__texts", lambda z: z["__tok"]), "")).alias("text"))
+
+
+def _tidy(text: Column) -> Column:
+    """Character references decoded, blanks collapsed and trimmed."""
+    return F.trim(F.regexp_replace(unescape(text), r"(?U)\s+", " "))
