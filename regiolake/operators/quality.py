@@ -19,8 +19,13 @@ import datetime
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import scratch_path
 
 SEVERITY_RANK = {"OK": 0, "WARNING": 1, "ERROR": 2}
 
@@ -157,6 +162,54 @@ def status(checks: DataFrame) -> DataFrame:
                     .otherwise("OK").alias("status"), "n_warnings", "n_errors")
 
 
+def by_outcome(df: DataFrame, ok: Column, name: str) -> tuple[DataFrame, DataFrame]:
+    """FLT-9: (good, rejected) rows of one pass.  Every row is judged once and written by outcome in the shared folder; each
+    frame is read from its own part, so counting the rejects reads no good row and parses nothing again."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    df.withColumn("__ok", F.coalesce(ok, F.lit(False))).write.partitionBy("__ok").parquet(path)
+    back = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("__ok", T.BooleanType())])).parquet(path)
+    return back.where("__ok").drop("__ok"), back.where("NOT __ok").drop("__ok")
+
+
+def probe(spark: SparkSession, paths: Mapping[str, str], schemas: Mapping[str, T.StructType] | None = None) -> DataFrame:
+    """DQ-6: a check row for each fault of a Parquet dataset, in place of an error: ``missing`` (no folder), ``empty`` (no rows),
+    ``unreadable`` (files that give no row, as their footer is broken or they hold none: their number), ``schema`` (a column of
+    ``schemas`` that is absent or of another type, or files whose types can't be brought together); a dataset without faults gives
+    one row ``readable`` with 0.  Tasks read the footers; the driver gets a listing, as for any read, and a count."""
+    rows = []
+    for name, path in paths.items():
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+            rows.append((name, "missing", None, 1, "ERROR"))
+            continue
+        faults, got, seen = [], None, 0
+        n_files = len(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).inputFiles())
+        reader, known = spark.read.option("ignoreCorruptFiles", True), (schemas or {}).get(name)
+        # all footers; if some can't even be opened, the declared schema, or else that of any one file
+        for attempt in (lambda: reader.option("mergeSchema", True).parquet(path),
+                        *([lambda: reader.schema(known).parquet(path)] if known is not None else []),
+                        lambda: reader.option("mergeSchema", False).parquet(path)):
+            try:
+                got = attempt()
+                seen = got.select("_metadata.file_path").distinct().count()
+                break
+            except (PySparkException, Py4JJavaError) as e:
+                got = None
+                if "CANNOT_MERGE_SCHEMAS" in str(e):
+                    faults.append(("schema", None, 1, "ERROR"))
+                    seen = n_files
+                    break
+        if n_files and seen < n_files and (seen or got is None):
+            faults.append(("unreadable", None, n_files - seen, "ERROR"))
+        elif not seen:
+            faults.append(("empty", None, 1, "ERROR"))
+        for f in (schemas or {}).get(name, T.StructType([])).fields if got is not None else []:
+            if f.name not in got.columns or got.schema[f.name].dataType != f.dataType:
+                faults.append(("schema", f.name, 1, "ERROR"))
+        rows += [(name, *f) for f in faults or [("readable", None, 0, "OK")]]
+    return spark.createDataFrame(rows, CHECK_SCHEMA)
+
+
 class QualityGateError(RuntimeError):
     pass
 

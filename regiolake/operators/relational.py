@@ -239,7 +239,7 @@ def split_even(df: DataFrame, order: Sequence[str], parts: int = 3, name: str =
     would sample other boundaries); prefix-sum the counts and add the offset.  ``order`` must be a total
     order (include a unique key).
     """
-    order = _cols(order)
+    order = _cols(order)                               # names or sort expressions
     n_rng = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n_rng, *order)
                 .sortWithinPartitions(*order)

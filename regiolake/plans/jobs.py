@@ -14,14 +14,16 @@ from pyspark.sql import functions as F
 from ..functions import labels as L
 from ..functions import numbers as N
 from ..functions import text as X
+from ..operators import quality as Q
 from ..operators import relational as R
 from ..operators import reshape as RS
 from ..sources import html as H
 from ..sources import json_series as J
 from ..sources import px as PX
 from ..sources import text_tables as TT
+from ..session import materialize
+from ..sources.sinks import conform, write_csv
 from .schemas import SCHEMAS
-from ..sources.sinks import conform
 
 # Padrón province codes -> (province, province_std).
 PADRON_PROVINCES = {"01 Araba/Álava": ("Araba/Álava", "Araba"), "48 Bizkaia": ("Bizkaia", "Bizkaia"),
@@ -42,23 +44,43 @@ def job_population(raw: DataFrame, content_col: str = "content") -> tuple[DataFr
                  F.coalesce(m["data_type"], F.lit(d["data_type"])).alias("data_type"),
                  F.coalesce(m["unit"], F.lit(d["unit"])).alias("unit"))
     p = J.points(s, ["level", "territory", "sex", "age_group", "nationality", "concept", "data_type", "unit"])
-    ok = F.col("year").isNotNull() & F.col("value").isNotNull()
-    out = p.where(ok).select(
+    good, bad = Q.by_outcome(p, F.col("year").isNotNull() & F.col("value").isNotNull(), "population_points")
+    out = good.select(
         "level", "territory", "year", F.col("value").alias("population"), "sex", "age_group", "nationality", "concept",
         "data_type", "unit", F.coalesce("T3_TipoDato", F.lit("")).alias("tipo_dato"),
         F.coalesce("T3_Periodo", F.lit("")).alias("periodo"))
-    rejects = p.agg(F.count_if(~ok | ok.isNull()).alias("skipped_points"))
-    return conform(out, SCHEMAS["population_total"]), rejects
+    return conform(out, SCHEMAS["population_total"]), bad.agg(F.count(F.lit(1)).alias("skipped_points"))
+
+
+# The columns that the population file is sorted by.
+POPULATION_ORDER = ["level", "territory", "year", "sex", "age_group", "nationality", "periodo"]
+
+
+def write_population(rows: DataFrame, base: str, parts: int = 3) -> DataFrame:
+    """JOB-01's files: the sorted rows in ``parts`` load files of equal length, the rest in the last (SRT-1, SNK-2), one folder
+    each below ``base``; equal rows by the order go by their other columns.  Returns the rows with their part."""
+    rest = [c for c in rows.columns if c not in POPULATION_ORDER]
+    sorted_by = [F.col(c).asc_nulls_last() for c in [*POPULATION_ORDER, *rest]]
+    told = R.split_even(rows, sorted_by, parts)
+    # a part is written by several tasks; the names of their files go with the order
+    told = materialize(told, "population_parts")
+    write_csv(told.repartitionByRange(F.col("part"), *sorted_by).sortWithinPartitions("part", *sorted_by), base, partition_by=["part"])
+    return told
 
 
 def job_poverty(raw: DataFrame, content_col: str = "content") -> DataFrame:
     """JOB-11: series titled ``"Territory. Indicator"`` -> ``ine_poverty_stats`` rows."""
+    return job_poverty_counted(raw, content_col)[0]
+
+
+def job_poverty_counted(raw: DataFrame, content_col: str = "content") -> tuple[DataFrame, DataFrame]:
+    """JOB-11 with the number of rejected points (FLT-9)."""
     s = J.parse_series(raw, content_col)
     terr, ind = J.split_title(F.trim(F.col("Nombre")))
     p = J.points(s.select("Data", terr.alias("territory"), ind.alias("indicator")), ["territory", "indicator"])
-    out = p.where(F.col("year").isNotNull() & F.col("value").isNotNull()).select(
-        F.lit("ccaa").alias("level"), "territory", "indicator", "year", "value")
-    return conform(out, SCHEMAS["ine_poverty_stats"])
+    good, bad = Q.by_outcome(p, F.col("year").isNotNull() & F.col("value").isNotNull(), "poverty_points")
+    out = good.select(F.lit("ccaa").alias("level"), "territory", "indicator", "year", "value")
+    return conform(out, SCHEMAS["ine_poverty_stats"]), bad.agg(F.count(F.lit(1)).alias("n_rejected"))
 
 
 def job_employment(raw: DataFrame, content_col: str = "content") -> DataFrame:
@@ -200,11 +222,17 @@ EARNINGS_META = {"sex": "sexo", "age_group": "grupo de edad", "indicator": "tipo
 def job_migration(raw: DataFrame, content_col: str = "content") -> DataFrame:
     """JOB-02: series with metadata pivoted by exact variable name (last duplicate wins, T11);
     points whose value is not a number are skipped; the unit comes from the series."""
+    return job_migration_counted(raw, content_col)[0]
+
+
+def job_migration_counted(raw: DataFrame, content_col: str = "content") -> tuple[DataFrame, DataFrame]:
+    """JOB-02 with the number of skipped points (FLT-9)."""
     s = J.parse_series(raw, content_col)
     s = s.select("Data", "T3_Unidad", *J.meta_exact(F.col("MetaData"), MIGRATION_META))
     p = J.points(s, [*MIGRATION_META, "T3_Unidad"])
-    out = p.where(F.col("value").isNotNull()).withColumn("unit", F.col("T3_Unidad"))
-    return conform(out, SCHEMAS["migration_birth_country"])
+    good, bad = Q.by_outcome(p, F.col("value").isNotNull(), "migration_points")
+    return (conform(good.withColumn("unit", F.col("T3_Unidad")), SCHEMAS["migration_birth_country"]),
+            bad.agg(F.count(F.lit(1)).alias("n_rejected")))
 
 
 def job_earnings(raw: DataFrame, content_col: str = "content") -> tuple[DataFrame, DataFrame]:
@@ -213,8 +241,8 @@ def job_earnings(raw: DataFrame, content_col: str = "content") -> tuple[DataFram
     s = J.parse_series(raw, content_col)
     s = s.select("Data", *J.meta_exact(F.col("MetaData"), EARNINGS_META))
     p = J.points(s, list(EARNINGS_META)).withColumn("year", N.safe_int("NombrePeriodo"))
-    out = conform(p.where(F.col("value").isNotNull()), SCHEMAS["epa_contract_stats"])
-    return out, p.agg(F.count_if(F.col("value").isNull()).alias("discarded"))
+    good, bad = Q.by_outcome(p, F.col("value").isNotNull(), "earnings_points")
+    return conform(good, SCHEMAS["epa_contract_stats"]), bad.agg(F.count(F.lit(1)).alias("discarded"))
 
 
 POP_NAT_IDS = ["province", "continent of nationality", "relation with the economic activity", "sex"]

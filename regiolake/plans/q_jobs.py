@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from ..functions import numbers as N
 from ..operators import relational as R
-from ..session import materialize
+from ..session import materialize, scratch_path
 from ..sources import px as PX
+from ..sources.sinks import append_parts
 from . import jobs as JB
 from .common import GEO_SQL, cat, geo_orders, labels_of, nation_region, write_files
 from .q_relational import _MONTH_NAMES
@@ -56,19 +57,11 @@ def _half_even_mean_sql(total: str, n: str) -> str:
 
 
 # points without a value: the rendered series have none for 2001
+_REJECTED = "(SELECT COUNT(DISTINCT (n_name, o_orderstatus)) FROM geo WHERE yr = 2001) AS n_rejected"
 _REJECTED_POP = ("(SELECT COUNT(DISTINCT (n_name, o_orderstatus)) + COUNT(DISTINCT (r_name, o_orderstatus)) FROM geo WHERE yr = 2001)")
 
 
-@query("job_population", covers=("JOB-01", "SRC-3", "FLT-9", "FN-21"), sql=f"""
-{W}
-SELECT 'province' AS level, n_name AS territory, yr AS year, {sql_money_sum('o_totalprice')} AS population,
-       o_orderstatus AS sex, 'Todas las edades' AS age_group, '1 de julio de' AS periodo, {_REJECTED_POP} AS skipped_points
-FROM geo WHERE yr <> 2001 GROUP BY n_name, yr, o_orderstatus
-UNION ALL
-SELECT 'ccaa', r_name, yr, {sql_money_sum('o_totalprice')}, o_orderstatus, 'Todas las edades', '1 de julio de', {_REJECTED_POP}
-FROM geo WHERE yr <> 2001 GROUP BY r_name, yr, o_orderstatus
-""")
-def job_population(spark, sf_dir):
+def _population(spark, sf_dir):
     a = _nsy(cat(spark, sf_dir))
     point = F.struct(F.col("yr").cast("string").alias("Anyo"),
                      F.when(F.col("yr") == 2001, F.lit(None)).otherwise(_rev_str()).alias("Valor"),
@@ -79,7 +72,43 @@ def job_population(spark, sf_dir):
     reg = _json_files(a.groupBy("r_name", "o_orderstatus", "yr").agg(F.sum("rev").alias("rev")),
                       ["r_name"], ["o_orderstatus"], point,
                       F.array(_m("Comunidades y Ciudades Autónomas", F.col("r_name")), sex, age))
-    out, rejects = JB.job_population(materialize(prov.unionByName(reg), "population_files"))
+    return JB.job_population(prov.unionByName(reg))
+
+
+@query("job_population_parts", covers=("JOB-01", "SRT-1", "SNK-1", "SNK-2", "SNK-6"), sql=f"""
+{W},
+p AS (SELECT 'province' AS level, n_name AS territory, yr AS year, o_orderstatus AS sex, {sql_money_sum('o_totalprice')} AS population
+      FROM geo WHERE yr <> 2001 GROUP BY n_name, yr, o_orderstatus
+      UNION ALL SELECT 'ccaa', r_name, yr, o_orderstatus, {sql_money_sum('o_totalprice')} FROM geo WHERE yr <> 2001 GROUP BY r_name, yr, o_orderstatus),
+r AS (SELECT *, ROW_NUMBER() OVER (ORDER BY level, territory, year, sex) - 1 AS nr, COUNT(*) OVER () // 3 AS size FROM p),
+t AS (SELECT *, CASE WHEN size = 0 THEN 2 ELSE LEAST(nr // size, 2) END AS part FROM r)
+SELECT CAST(part AS INTEGER) AS part, CAST(COUNT(*) AS BIGINT) AS n, arg_min(territory, nr) AS first_territory,
+       arg_max(territory, nr) AS last_territory, SUM(CAST(population AS DECIMAL(18,2)))::DOUBLE AS population FROM t GROUP BY 1
+""")
+def job_population_parts(spark, sf_dir):
+    """The three load files of the population job, each read back from its own folder."""
+    out, _ = _population(spark, sf_dir)
+    base = scratch_path(spark, "population-files")
+    JB.write_population(out, base)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema.fields)
+    back = R.union_all([append_parts(spark, [f"{base}/part={i}"], schema).withColumn("part", F.lit(i)) for i in range(3)])
+    place = F.struct(*JB.POPULATION_ORDER[:4])
+    return back.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min_by("territory", place).alias("first_territory"),
+                                    F.max_by("territory", place).alias("last_territory"),
+                                    F.sum(F.col("population").cast("decimal(18,2)")).cast("double").alias("population"))
+
+
+@query("job_population", covers=("JOB-01", "SRC-3", "FLT-9", "FN-21"), sql=f"""
+{W}
+SELECT 'province' AS level, n_name AS territory, yr AS year, {sql_money_sum('o_totalprice')} AS population,
+       o_orderstatus AS sex, 'Todas las edades' AS age_group, '1 de julio de' AS periodo, {_REJECTED_POP} AS skipped_points
+FROM geo WHERE yr <> 2001 GROUP BY n_name, yr, o_orderstatus
+UNION ALL
+SELECT 'ccaa', r_name, yr, {sql_money_sum('o_totalprice')}, o_orderstatus, 'Todas las edades', '1 de julio de', {_REJECTED_POP}
+FROM geo WHERE yr <> 2001 GROUP BY r_name, yr, o_orderstatus
+""")
+def job_population(spark, sf_dir):
+    out, rejects = _population(spark, sf_dir)
     # the number of rejected points is part of the result (FLT-9)
     return out.select("level", "territory", "year", "population", "sex", "age_group", "periodo",
                       rejects.scalar().alias("skipped_points"))
@@ -88,7 +117,7 @@ def job_population(spark, sf_dir):
 @query("job_poverty", covers=("JOB-11", "SRC-4", "FN-17"), sql=f"""
 {W}
 SELECT 'ccaa' AS level, n_name AS territory, 'Todas las edades. Tasa ' || o_orderstatus || '. Base 2013.' AS indicator,
-       yr AS year, {sql_money_sum('o_totalprice')} AS value
+       yr AS year, {sql_money_sum('o_totalprice')} AS value, {_REJECTED}
 FROM geo WHERE yr <> 2001 GROUP BY n_name, o_orderstatus, yr
 """)
 def job_poverty(spark, sf_dir):
@@ -99,13 +128,14 @@ def job_poverty(spark, sf_dir):
     files = _json_files(a, ["r_name"], ["n_name", "o_orderstatus"], point, F.array(), title=title)
     # the file-level layout {"Data": [...]} is accepted as well as a root list
     files = files.withColumn("content", F.concat(F.lit('{"Data": '), F.col("content"), F.lit("}")))
-    return JB.job_poverty(files).select("level", "territory", "indicator", "year", "value")
+    out, rejects = JB.job_poverty_counted(files)
+    return out.select("level", "territory", "indicator", "year", "value", rejects.scalar().alias("n_rejected"))
 
 
 @query("job_migration", covers=("JOB-02", "SRC-1", "FN-5"), sql=f"""
 {W}
 SELECT r_name AS region, o_orderstatus AS indicator, 'Ambos sexos' AS sex, n_name AS nationality,
-       yr AS year, {sql_money_sum('o_totalprice')} AS value, 'Euros' AS unit
+       yr AS year, {sql_money_sum('o_totalprice')} AS value, 'Euros' AS unit, {_REJECTED}
 FROM geo WHERE yr <> 2001 GROUP BY r_name, o_orderstatus, n_name, yr
 """)
 def job_migration(spark, sf_dir):
@@ -116,7 +146,8 @@ def job_migration(spark, sf_dir):
                    _m("Conceptos demógraficos", F.col("o_orderstatus")), _m("Sexo", F.lit("Ambos sexos")),
                    _m("Nacionalidad", F.lit("placeholder")), _m("Nacionalidad", F.col("n_name")))
     files = _json_files(a, ["r_name"], ["n_name", "o_orderstatus"], point, meta)
-    return JB.job_migration(files).select("region", "indicator", "sex", "nationality", "year", "value", "unit")
+    out, rejects = JB.job_migration_counted(files)
+    return out.select("region", "indicator", "sex", "nationality", "year", "value", "unit", rejects.scalar().alias("n_rejected"))
 
 
 @query("job_earnings", covers=("JOB-03", "SRC-1", "FN-5", "FLT-9"), sql=f"""
@@ -130,7 +161,7 @@ def job_earnings(spark, sf_dir):
     point = F.struct(F.col("yr").cast("string").alias("NombrePeriodo"),
                      F.when(F.col("yr") == 1995, F.lit("x")).otherwise(_rev_str()).alias("Valor"))
     meta = F.array(_m("sexo", F.col("o_orderstatus")), _m("grupo de edad", F.col("n_name")))
-    files = materialize(_json_files(a, ["r_name"], ["n_name", "o_orderstatus"], point, meta), "earnings_files")
+    files = _json_files(a, ["r_name"], ["n_name", "o_orderstatus"], point, meta)
     out, discarded = JB.job_earnings(files)
     return out.select("sex", "age_group", "year", "value", discarded.scalar().alias("discarded"))
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
+from ..session import scratch_path
 from .common import cat
 from .registry import query
 
@@ -197,3 +198,23 @@ UNION ALL SELECT 'events', (SELECT COUNT(*) FROM events) > 0
 def dq_smoke(spark, sf_dir):
     c = cat(spark, sf_dir)
     return Q.smoke({n: c[n] for n in ["orders", "lineitem", "customer", "events"]})
+
+
+@query("dq_unreadable", covers=("DQ-6", "DQ-12"), sql="""
+SELECT * FROM (VALUES ('broken', 'unreadable', NULL, CAST(1 AS BIGINT), 'ERROR'), ('changed', 'schema', 'c_acctbal', 1, 'ERROR'),
+                      ('changed', 'schema', 'c_name', 1, 'ERROR'), ('empty', 'empty', NULL, 1, 'ERROR'), ('good', 'readable', NULL, 0, 'OK'),
+                      ('missing', 'missing', NULL, 1, 'ERROR'))
+AS t(dataset, check_name, column_name, n_failed, severity) WHERE EXISTS (SELECT 1 FROM customer)
+""")
+def dq_unreadable(spark, sf_dir):
+    """The customers written five times: whole, with a file that isn't Parquet beside them, without rows, with other columns, and
+    not at all."""
+    cu = cat(spark, sf_dir)["customer"]
+    base = scratch_path(spark, "probed")
+    for name in ("good", "broken"):
+        cu.write.parquet(f"{base}/{name}")
+    cu.agg(F.concat_ws(",", F.lit("no footer"), F.count(F.lit(1))).alias("value")).write.mode("append").text(f"{base}/broken")
+    cu.limit(0).write.parquet(f"{base}/empty")
+    cu.drop("c_name").withColumn("c_acctbal", F.col("c_acctbal").cast("string")).write.parquet(f"{base}/changed")
+    names = ("good", "broken", "empty", "changed", "missing")
+    return Q.probe(spark, {n: f"{base}/{n}" for n in names}, {n: cu.schema for n in names})

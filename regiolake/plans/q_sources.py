@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import labels as L
 from ..functions import numbers as N
 from ..functions import text as X
+from ..operators import quality as Q
 from ..operators import relational as R
 from ..operators import reshape as RS
 from ..sources import html as H
@@ -25,6 +26,7 @@ from .q_relational import _MONTH_NAMES, _cells_text
 from .registry import query, sql_money_sum
 
 W = f"WITH {GEO_SQL.strip()}"
+_REJECTED = "(SELECT COUNT(DISTINCT (n_name, o_orderstatus)) FROM geo WHERE yr = 2001) AS n_rejected"
 
 
 def _nsy(spark, sf_dir):
@@ -53,10 +55,16 @@ def _m(var, val):
 
 
 NSY_SQL = f"""{W}
-SELECT n_name, o_orderstatus AS status, yr AS year, {sql_money_sum('o_totalprice')} AS value
+SELECT n_name, o_orderstatus AS status, yr AS year, {sql_money_sum('o_totalprice')} AS value, {_REJECTED}
 FROM geo WHERE yr <> 2001 GROUP BY 1, 2, 3"""
 
 
+def _counted(points, *cols):
+    """The points with a year and a value, and the number of the others beside them."""
+    good, bad = Q.by_outcome(points, F.col("value").isNotNull() & F.col("year").isNotNull(), "points")
+    return good.select(*cols, bad.agg(F.count(F.lit(1))).scalar().alias("n_rejected"))
+
+
 @query("src_json_series", covers=("SRC-1", "FN-5", "FN-21", "FLT-9"), sql=NSY_SQL)
 def src_json_series(spark, sf_dir):
     nsy = _nsy(spark, sf_dir)
@@ -65,7 +73,7 @@ def src_json_series(spark, sf_dir):
     s = J.parse_series(blobs, "content")
     s = s.select("series_idx", "Data", *J.meta_exact(F.col("MetaData"), {"n_name": "Nación", "status": "Estado"}))
     p = J.points(s, ["n_name", "status"])
-    return p.where(F.col("value").isNotNull()).select("n_name", "status", "year", "value")
+    return _counted(p, "n_name", "status", "year", "value")
 
 
 @query("src_json_substring_meta", covers=("SRC-2", "FN-19"), sql=NSY_SQL)
@@ -79,7 +87,7 @@ def src_json_substring_meta(spark, sf_dir):
     s = J.parse_series(_series_json(nsy, meta), "content")
     s = s.select("Data", J.meta_substring(F.col("MetaData"), ["Nación"]).alias("n_name"),
                  J.meta_substring(F.col("MetaData"), ["SECTORES", "CNAE"]).alias("status"))
-    return J.points(s, ["n_name", "status"]).where(F.col("value").isNotNull()).select("n_name", "status", "year", "value")
+    return _counted(J.points(s, ["n_name", "status"]), "n_name", "status", "year", "value")
 
 
 @query("src_json_rules_level", covers=("SRC-3", "FLT-9", "FN-18"), sql=f"""
@@ -89,18 +97,21 @@ nat AS (SELECT 'province' AS level, n_name AS territory, yr AS year, o_orderstat
 reg AS (SELECT 'ccaa' AS level, r_name AS territory, yr AS year, o_orderstatus AS sex,
                {sql_money_sum('o_totalprice')} AS value FROM geo WHERE yr <> 2001 GROUP BY 2, 3, 4),
 glo AS (SELECT 'national' AS level, 'España' AS territory, yr AS year, o_orderstatus AS sex,
-               {sql_money_sum('o_totalprice')} AS value FROM geo WHERE yr <> 2001 GROUP BY 3, 4)
-SELECT level, territory, year, sex, 'Todas las edades' AS age_group, value FROM nat
-UNION ALL SELECT level, territory, year, sex, 'Todas las edades', value FROM reg
-UNION ALL SELECT level, territory, year, sex, 'Todas las edades', value FROM glo
+               {sql_money_sum('o_totalprice')} AS value FROM geo WHERE yr <> 2001 GROUP BY 3, 4),
+bad AS (SELECT COUNT(DISTINCT (n_name, o_orderstatus)) + COUNT(DISTINCT (r_name, o_orderstatus)) + COUNT(DISTINCT o_orderstatus) AS n
+        FROM geo WHERE yr = 2001)
+SELECT level, territory, year, sex, 'Todas las edades' AS age_group, value, bad.n AS n_rejected
+FROM (SELECT * FROM nat UNION ALL SELECT * FROM reg UNION ALL SELECT * FROM glo), bad
 """)
 def src_json_rules_level(spark, sf_dir):
-    g = geo_orders(cat(spark, sf_dir))
+    # one pass over the star; the levels are roll-ups of a table that follows the dimensions
+    g = materialize(geo_orders(cat(spark, sf_dir)).groupBy("r_name", "n_name", "o_orderstatus", "yr").agg(
+        F.sum(N.money("o_totalprice")).alias("rev")), "levels")
     point = F.struct(F.col("yr").cast("string").alias("Anyo"),
                      F.when(F.col("yr") == 2001, F.lit(None)).otherwise(F.col("rev").cast("string")).alias("Valor"))
 
     def level(keys, meta):
-        a = g.groupBy(*keys, "o_orderstatus", "yr").agg(F.sum(N.money("o_totalprice")).alias("rev"))
+        a = g.groupBy(*keys, "o_orderstatus", "yr").agg(F.sum("rev").alias("rev"))
         s = a.groupBy(*keys, "o_orderstatus").agg(F.array_sort(F.collect_list(point)).alias("Data"))
         return s.select(F.to_json(F.array(F.struct(F.lit("serie").alias("Nombre"), meta.alias("MetaData"),
                                                    F.col("Data")))).alias("content"))
@@ -117,15 +128,13 @@ def src_json_rules_level(spark, sf_dir):
     s = s.select("Data", lvl.alias("level"), terr.alias("territory"), m["sex"].alias("sex"),
                  F.coalesce(m["age_group"], F.lit(J.POPULATION_DEFAULTS["age_group"])).alias("age_group"))
     p = J.points(s, ["level", "territory", "sex", "age_group"])
-    # rejected points (NULL/unparsable) are dropped; their count is observable with count_if
-    return p.where(F.col("value").isNotNull() & F.col("year").isNotNull()).select(
-        "level", "territory", "year", "sex", "age_group", "value")
+    return _counted(p, "level", "territory", "year", "sex", "age_group", "value")
 
 
 @query("src_json_title", covers=("SRC-4", "FN-17"), sql=f"""
 {W}
 SELECT n_name AS territory, o_orderstatus || ' price. Base 2013.' AS indicator, yr AS year,
-       {sql_money_sum('o_totalprice')} AS value
+       {sql_money_sum('o_totalprice')} AS value, {_REJECTED}
 FROM geo WHERE yr <> 2001 GROUP BY 1, 2, 3
 """)
 def src_json_title(spark, sf_dir):
@@ -134,8 +143,7 @@ def src_json_title(spark, sf_dir):
     s = J.parse_series(_series_json(nsy, lambda: F.array(), title_fn=title), "content")
     terr, ind = J.split_title(F.col("Nombre"))
     s = s.select("Data", terr.alias("territory"), ind.alias("indicator"))
-    return J.points(s, ["territory", "indicator"]).where(F.col("value").isNotNull()).select(
-        "territory", "indicator", "year", "value")
+    return _counted(J.points(s, ["territory", "indicator"]), "territory", "indicator", "year", "value")
 
 
 @query("src_props_json", covers=("FN-21",), sql="""

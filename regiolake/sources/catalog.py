@@ -2,7 +2,9 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable, Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,12 +57,17 @@ class Catalog:
 
 def latest_file(spark: SparkSession, pattern: str, fmt: str = "binaryFile", by: str = "file_name",
                 options: Mapping[str, str] | None = None) -> DataFrame:
-    """SRC-12: rows of the file whose name (``by="file_name"``) or full path
-    (``by="file_path"``) sorts last among those matching ``pattern``.
-
-    The choice is made inside the plan (``max`` over the ``_metadata`` column,
-    a one-row aggregate used as a semi-join key); no listing happens on the driver.
-    """
-    df = spark.read.format(fmt).options(**(options or {})).load(pattern).withColumn("__file", F.col(f"_metadata.{by}"))
-    last = df.agg(F.max("__file").alias("__file"))
-    return df.join(F.broadcast(last), on="__file", how="left_semi").drop("__file")
+    """SRC-12: rows of the file whose name (``by="file_name"``) or full path (``by="file_path"``) sorts last among those matching
+    ``pattern``; of files with one name in several folders, of all.
+
+    The choice is made from the listing, which every read of a pattern makes, so the scan holds that file alone and no other is
+    opened.  No match is an error, as for any read."""
+    files = [unquote(f) for f in spark.read.format("binaryFile").load(pattern).inputFiles()]
+    if not files:
+        raise FileNotFoundError(f"no file matches {pattern}")
+
+    def rank(f: str) -> str:
+        return f.rsplit("/", 1)[-1] if by == "file_name" else f
+    last = max(map(rank, files))
+    chosen = [re.sub(r"([\\{}\[\]*?])", r"\\\1", f) for f in files if rank(f) == last]      # a name, no pattern
+    return spark.read.format(fmt).options(**(options or {})).load(chosen)

@@ -270,3 +270,38 @@ def test_pivot_map_keeps_first_values_and_empty_rows(spark):
                                "g string, y int, v string, o int")
     got = {r["g"]: dict(r["cells"] or {}) for r in RS.pivot_map(df, ["g"], "y", "v", F.col("o")).collect()}
     assert got == {"a": {2: "w", 3: "z"}, "b": {}, "c": {}}
+
+
+def test_latest_file_scans_that_file_alone(spark, tmp_path):
+    for d, f, text in (("x", "v_1.csv", "a"), ("x", "v_[9] b.csv", "last"), ("y", "v_2.csv", "c")):
+        (tmp_path / d).mkdir(exist_ok=True)
+        (tmp_path / d / f).write_text(f"h\n{text}\n")
+    last = latest_file(spark, str(tmp_path / "*" / "*.csv"), fmt="csv", options={"header": "true"})
+    assert rows(last) == [("last",)] and len(last.inputFiles()) == 1
+    by_path = latest_file(spark, str(tmp_path / "*" / "*.csv"), fmt="csv", by="file_path", options={"header": "true"})
+    assert rows(by_path) == [("c",)] and len(by_path.inputFiles()) == 1
+
+
+def test_probe_tells_faults_apart(spark, tmp_path):
+    df = spark.range(10).select("id", F.col("id").cast("string").alias("s"))
+    df.repartition(3).write.parquet(str(tmp_path / "ok"))
+    df.repartition(2).write.parquet(str(tmp_path / "cut"))
+    part = next((tmp_path / "cut").glob("part-*.parquet"))
+    part.write_bytes(part.read_bytes()[:-20])
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.parquet").write_bytes(b"PAR1 nothing")
+    (tmp_path / "none").mkdir()
+    df.write.parquet(str(tmp_path / "two" / "k=1"))
+    df.select(F.array("id").alias("id")).write.parquet(str(tmp_path / "two" / "k=2"))
+    got = Q.probe(spark, {n: str(tmp_path / n) for n in ("ok", "cut", "bad", "none", "gone", "two")}, {"ok": df.schema, "cut": df.schema})
+    assert rows(got.select("dataset", "check_name", "n_failed", "severity")) == sorted([
+        ("ok", "readable", 0, "OK"), ("cut", "unreadable", 1, "ERROR"), ("bad", "unreadable", 1, "ERROR"), ("none", "empty", 1, "ERROR"),
+        ("gone", "missing", 1, "ERROR"), ("two", "schema", 1, "ERROR")])
+
+
+def test_by_outcome_parses_once(spark):
+    df = spark.createDataFrame([(1, "1"), (2, "x"), (3, None)], "k int, v string")
+    good, bad = Q.by_outcome(df, F.col("v").try_cast("int") > 0, "outcome-test")
+    assert rows(good) == [(1, "1")] and rows(bad.select("k")) == [(2,), (3,)]
+    good, bad = Q.by_outcome(df.limit(0), F.col("v") == "1", "outcome-test")
+    assert good.count() == bad.count() == 0 and good.columns == ["k", "v"]
