@@ -49,7 +49,7 @@ class Parts:
         return self.spark.read.schema(self.schema).parquet(self.path).drop("part")
 
 
-def arrow_rows(df: DataFrame, most: int = 1000) -> DataFrame:
+def arrow_rows(df: DataFrame, most: int = 256) -> DataFrame:
     """Bound the rows that a Python worker gets at once: whole texts in batches of ten thousand take
     hundreds of megabytes in the worker and in the JVM.  A setting of the session, lowered only."""
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
