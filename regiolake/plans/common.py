@@ -77,9 +77,9 @@ def labels_of(df: DataFrame, *cols: str) -> list[list]:
     return [list(v) for v in row]
 
 
-def write_files(lines: DataFrame, key: str, order: list[str], name: str) -> str:
+def write_files(lines: DataFrame, key: str, order: list[str], name: str, sep: str = "\n") -> str:
     """Text files in the shared folder, one for each value of ``key``, each written by one task in ``order``; the column
     ``line`` is the text.  Returns the folder."""
     path = scratch_path(lines.sparkSession, name)
-    lines.repartition(key).sortWithinPartitions(key, *order).select(key, "line").write.partitionBy(key).text(path)
+    lines.repartition(key).sortWithinPartitions(key, *order).select(key, "line").write.partitionBy(key).text(path, lineSep=sep)
     return path

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import numbers as N
 from ..session import materialize
 from ..sources import html as H
+from ..sources import json_series as J
 from ..sources import text_tables as TT
 from .common import GEO_SQL, cat, geo_orders, write_files
 from .registry import query, sql_money_sum
@@ -101,3 +102,27 @@ def src_html_tables(spark, sf_dir):
         z["body"], F.lit("</table></td></tr>"))).alias("body"))
     pages = pages.select("n_name", F.concat(F.lit("</table><!-- <table> --><table class='y'>"), F.col("body"), F.lit("</table>")).alias("html"))
     return H.nested_table_cells(materialize(pages, "table_pages"), "n_name")
+
+
+@query("src_files_json", covers=("SRC-1", "SRC-3", "FN-21"), sql=f"""
+{W}
+SELECT r_name AS region, o_custkey AS customer, CAST(COUNT(*) AS BIGINT) AS n_points,
+       {sql_money_sum('o_totalprice')} AS revenue, MAX(yr) AS last_year
+FROM geo GROUP BY 1, 2
+""")
+def src_files_json(spark, sf_dir):
+    """A file for each region: one line, a list with a series for each customer and a point for each order; names hold braces and
+    quotes.  The files grow with the orders and are read in splits."""
+    g = geo_orders(cat(spark, sf_dir)).select("r_name", "o_custkey", "yr", F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("v"))
+    s = g.groupBy("r_name", "o_custkey").agg(F.collect_list(F.struct(F.col("yr").cast("string").alias("Anyo"), F.col("v").alias("Valor"))).alias("Data"))
+    text = F.to_json(F.struct(F.concat(F.col("o_custkey").cast("string"), F.lit(' }{"\\')).alias("Nombre"),
+                              F.array(F.struct(F.lit("Región").alias("T3_Variable"), F.col("r_name").alias("Nombre"))).alias("MetaData"), "Data"))
+    ends = s.select("r_name").distinct().select("r_name", F.inline(F.array(F.struct(F.lit(-1).cast("long").alias("k"), F.lit("[").alias("line")),
+                                                                          F.struct(F.lit(2 ** 62).alias("k"), F.lit("{}]").alias("line")))))
+    body = s.select("r_name", F.col("o_custkey").cast("long").alias("k"), F.concat(text, F.lit(",")).alias("line"))
+    path = write_files(body.unionByName(ends), "r_name", ["k"], "series", sep=" ")
+    p = J.read_series_splits(spark, path).where(F.col("Nombre").isNotNull())
+    p = J.points(p.select("Data", *J.meta_exact(F.col("MetaData"), {"region": "Región"}),
+                          F.substring_index("Nombre", " ", 1).cast("long").alias("customer")), ["region", "customer"])
+    return p.groupBy("region", "customer").agg(F.count(F.lit(1)).alias("n_points"), F.sum(F.col("Valor").cast("decimal(18,2)")).cast("double")
+                                               .alias("revenue"), F.max("year").alias("last_year"))
