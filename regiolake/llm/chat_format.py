@@ -166,6 +166,8 @@ def _reader(template: Template):
 
 
 def read_back(formatted: DataFrame, template: Template = INSTRUCT) -> DataFrame:
-    """One row per conversation, read from the formatted turns (in ``format_chat``'s order)."""
-    return formatted.mapInArrow(_reader(template), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
+    """One row per conversation, read from formatted turns in whatever order and files they come: they are dealt by conversation
+    and sorted by step here."""
+    dealt = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "step")
+    return dealt.mapInArrow(_reader(template), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
                                 "loss_sha256 string, formatted_chars long, valid boolean")

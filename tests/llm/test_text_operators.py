@@ -264,3 +264,13 @@ def test_chat_probe_conversation(spark):
     text = "</s>[INST] ok [/INST]"
     assert r["n_turns"] == 2 and r["loss_chars"] == len(text) and r["loss_sha256"] == hashlib.sha256(text.encode()).hexdigest()
     assert F is not None
+
+
+def test_formatted_turns_are_read_back_in_any_order(spark, tmp_path):
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", f"text {c} {t}") for c in (1, 2, 3) for t in range(40)]
+    rows += [(None, 0, "user", "x"), (None, 1, "assistant", "y")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    formatted = C.format_chat(turns)
+    want = sorted(map(str, C.read_back(formatted).collect()))
+    formatted.repartition(5, "turn").write.option("maxRecordsPerFile", 7).parquet(str(tmp_path / "f"))
+    assert sorted(map(str, C.read_back(spark.read.parquet(str(tmp_path / "f"))).collect())) == want and len(want) == 4
