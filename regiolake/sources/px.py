@@ -70,26 +70,26 @@ def read_px(spark: SparkSession, path, encoding: str = "ISO-8859-1", strict_numb
     is_data = F.rlike(F.col("line"), F.lit(r"^\s*DATA\s*="))
     place = F.struct("block", "at")
     begins = materialize(lines.where(is_data).groupBy("file").agg(F.min(place).alias("begin")), "px_begin")
-    told = lines.join(begins, "file")
-
-    head = (told.where(place < F.col("begin")).groupBy("file")
-            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "at", "line"))), lambda x: x["line"]), "\n").alias("h")))
-    cubes = head.select("file", *[c.alias(n) for n, c in zip(("dims", "__labels"), _dimensions(F.col("h")))])
+    told = lines.join(begins, "file").withColumn("t", F.when(place == F.col("begin"), F.regexp_replace(
+        "line", r"^\s*DATA\s*=", "")).when(place > F.col("begin"), F.col("line")))
+    # one more pass: the lines above DATA, and where the semicolon is that ends the vector (what comes after it is no data)
+    head = told.groupBy("file").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("t").isNull(), F.struct("block", "at", "line")))),
+                                 lambda x: x["line"]), "\n").alias("h"),
+        F.first("begin").alias("begin"), F.min(F.when(F.contains("t", F.lit(";")), place)).alias("end"))
+    cubes = head.select("file", "begin", "end", *[c.alias(n) for n, c in zip(("dims", "__labels"), _dimensions(F.col("h")))])
     cubes = materialize(cubes.withColumn("__sizes", F.transform("__labels", lambda a: F.size(a).cast("long"))), "px_dims")
 
-    # from DATA= to the semicolon that ends it; what comes after that is no data
     text = F.when(place == F.col("begin"), F.regexp_replace("line", r"^\s*DATA\s*=", "")).otherwise(F.col("line"))
-    data = told.where(place >= F.col("begin")).select("file", "block", "at", text.alias("t"))
-    ends = materialize(data.where(F.contains("t", F.lit(";"))).groupBy("file").agg(F.min(place).alias("end")), "px_end")
-    data = data.join(ends, "file", "left").where(F.col("end").isNull() | (place <= F.col("end"))).select(
-        "file", "block", "at", _tokens(F.substring_index("t", ";", 1)).alias("tok"))
+    data = lines.join(cubes.select("file", "begin", "end"), "file").where((place >= F.col("begin")) & (
+        F.col("end").isNull() | (place <= F.col("end")))).select("file", "block", "at", _tokens(F.substring_index(text, ";", 1)).alias("tok"))
     data = data.where(F.size("tok") > 0)
     above = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     here = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     before = data.groupBy("file", "block").agg(F.sum(F.size("tok")).alias("n")).select(
         "file", "block", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("__before"))
     placed = (data.withColumn("__line", F.coalesce(F.sum(F.size("tok")).over(here), F.lit(0)))
-              .join(before, ["file", "block"]).join(cubes, "file"))
+              .join(before, ["file", "block"]).join(cubes.drop("begin", "end"), "file"))
     cells = placed.select("file", "dims", "__labels", "__sizes", (F.col("__before") + F.col("__line")).alias("__from"),
                           F.posexplode("tok").alias("__i", "raw"))
     return _cells(cells.withColumn("cell_pos", F.col("__from") + F.col("__i")), ["file"], strict_numbers)
