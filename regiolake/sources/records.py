@@ -22,12 +22,12 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-_CUT, _BREAK, _EDGE = "﷐", "﷑", "﷒"       # marks that no text holds after ``clean``
+_CUT, _BREAK, _EDGE = "\ufdd0", "\ufdd1", "\ufdd2"       # marks that no text holds after ``clean``
 
 
 def clean(text: Column) -> Column:
     """No byte order mark, no marks of this module."""
-    return F.translate(F.regexp_replace(text, "^﻿", ""), _CUT + _BREAK + _EDGE, "�" * 3)
+    return F.translate(F.regexp_replace(text, "^\ufeff", ""), _CUT + _BREAK + _EDGE, "\ufffd" * 3)
 
 
 def fields(record: Column, sep: str = ",", quote: str = '"') -> Column:
