@@ -57,10 +57,11 @@ def _q(v) -> str:
     return "'" + str(v).replace("'", "''") + "'"
 
 
-def contract_sql(c: Q.Contract, checks: set[str] | None = None) -> list[str]:
-    """SQL SELECTs (dataset, check_name, column_name, n_failed, severity) for one contract."""
-    t = TABLE_SQL[c.dataset]
-    cols = TABLE_COLS[c.dataset]
+def contract_sql(c: Q.Contract, checks: set[str] | None = None, table: str | None = None, columns=None) -> list[str]:
+    """SQL SELECTs (dataset, check_name, column_name, n_failed, severity) for one contract, on a driver table or
+    on ``table`` with ``columns``."""
+    t = table or TABLE_SQL[c.dataset]
+    cols = columns or TABLE_COLS[c.dataset]
     d = _q(c.dataset)
     out = []
 
@@ -118,7 +119,10 @@ def contract_sql(c: Q.Contract, checks: set[str] | None = None) -> list[str]:
 
 def all_checks_sql(checks: set[str] | None = None) -> str:
     """Every branch is wrapped so that it names its columns itself."""
-    parts = [s for c in CONTRACTS for s in contract_sql(c, checks)]
+    return union_checks([s for c in CONTRACTS for s in contract_sql(c, checks)])
+
+
+def union_checks(parts: list[str]) -> str:
     cols = "dataset, check_name, column_name, n_failed, severity"
     return "\nUNION ALL\n".join(f"SELECT * FROM ({p}) AS b{i}({cols})" for i, p in enumerate(parts))
 
