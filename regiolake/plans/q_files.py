@@ -8,11 +8,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import numbers as N
-from ..session import materialize
+from ..operators import file_quality as FQ
+from ..operators.quality import Contract
+from ..session import materialize, scratch_path
 from ..sources import html as H
 from ..sources import json_series as J
 from ..sources import text_tables as TT
+from ..sources.sinks import write_csv
 from .common import GEO_SQL, cat, geo_orders, write_files
+from .q_quality import contract_sql, union_checks
 from .registry import query, sql_money_sum
 
 W = f"WITH {GEO_SQL.strip()}"
@@ -126,3 +130,54 @@ def src_files_json(spark, sf_dir):
                           F.substring_index("Nombre", " ", 1).cast("long").alias("customer")), ["region", "customer"])
     return p.groupBy("region", "customer").agg(F.count(F.lit(1)).alias("n_points"), F.sum(F.col("Valor").cast("decimal(18,2)")).cast("double")
                                                .alias("revenue"), F.max("year").alias("last_year"))
+
+
+# Contracts of files; the columns that each file really has, and what its good records hold, as SQL.
+_FILE_CONTRACTS = [
+    Contract("accounts", required_columns=["key", "balance"], pk=["key"], non_negative=["balance"], year_col=None),
+    Contract("sales", required_columns=["key", "total", "year", "channel"], pk=["key"], non_negative=["total"], year_min=1996, reference_year=1999),
+    Contract("lists", required_columns=["key", "segment"], pk=["segment", "nation"], year_col=None),
+    Contract("nothing", required_columns=["a"], pk=["b"], non_negative=["b"], year_col=None),
+    Contract("absent", required_columns=["key"]),
+]
+_FILE_ROWS = {
+    "accounts": (["key", "balance"], "(SELECT NULLIF(c_custkey, 3) AS key, IF(c_custkey % 7 = 0, NULL, c_acctbal) AS balance FROM customer)"),
+    "sales": (["key", "total", "year"], """(SELECT o_orderkey AS key, IF(o_orderkey % 10 = 0, NULL, o_totalprice) AS total, year(o_orderdate) AS year
+               FROM orders, UNNEST(range(IF(o_orderkey % 97 = 3, 2, 1))))"""),
+    "lists": (["key", "segment", "nation"], "(SELECT c_custkey AS key, c_mktsegment AS segment, c_nationkey AS nation FROM customer WHERE c_custkey % 11 <> 0)"),
+    "nothing": (["a", "b"], "(SELECT 1 AS a, 1 AS b FROM customer WHERE false)"),
+}
+
+
+def _file_check(dataset, check, column, n):
+    return (f"SELECT '{dataset}', '{check}', {f"'{column}'" if column else 'CAST(NULL AS VARCHAR)'}, CAST(n AS BIGINT), "
+            f"IF(n > 0, 'ERROR', 'OK') FROM (SELECT {n} AS n)")
+
+
+@query("dq_csv_files", covers=("DQ-1", "DQ-2", "DQ-3", "DQ-4", "DQ-5", "DQ-6", "DQ-12", "SRC-7"), sql=union_checks([
+    *[x for c in _FILE_CONTRACTS if c.dataset in _FILE_ROWS for x in contract_sql(c, table=_FILE_ROWS[c.dataset][1], columns=_FILE_ROWS[c.dataset][0])],
+    _file_check("accounts", "over_long", None, "0"), _file_check("accounts", "not_numeric", "balance", "0"),
+    _file_check("sales", "over_long", None, "0"), _file_check("sales", "not_numeric", "year", "0"),
+    _file_check("sales", "not_numeric", "total", "(SELECT COUNT(*) FROM orders WHERE o_orderkey % 10 = 0 AND o_orderkey % 97 <> 3) + "
+                "2 * (SELECT COUNT(*) FROM orders WHERE o_orderkey % 10 = 0 AND o_orderkey % 97 = 3)"),
+    _file_check("lists", "over_long", None, "(SELECT COUNT(*) FROM customer WHERE c_custkey % 11 = 0)"),
+    _file_check("nothing", "over_long", None, "0"), _file_check("nothing", "not_numeric", "b", "0"),
+    _file_check("absent", "missing", None, "1")]))
+def dq_csv_files(spark, sf_dir):
+    """Contracts on CSV files before a load: a sound one with empty cells in two spellings; one with repeated records, a total in words and a
+    column missing; files with over-long lines; a header without records; and no file at all."""
+    c = cat(spark, sf_dir)
+    base = scratch_path(spark, "csv_checked")
+    cu, o = c["customer"], c["orders"]
+    write_csv(cu.select(F.when(F.col("c_custkey") != 3, F.col("c_custkey").cast("string")).otherwise("n/a").alias("key"),
+                        F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal")).alias("balance")), f"{base}/accounts")
+    write_csv(o.select(F.col("o_orderkey").alias("key"), F.when(F.col("o_orderkey") % 10 == 0, "some").otherwise(F.col("o_totalprice").cast("string"))
+                       .alias("total"), F.year("o_orderdate").alias("year"),
+                       F.explode(F.array_repeat(F.lit("shop, web"), F.when(F.col("o_orderkey") % 97 == 3, 2).otherwise(1))).alias("way")), f"{base}/sales")
+    line = F.concat_ws(",", "c_custkey", "c_mktsegment", "c_nationkey", F.when(F.col("c_custkey") % 11 == 0, F.lit("more")))
+    heads = cu.select("c_mktsegment").distinct().select("c_mktsegment", F.lit(-1).cast("long").alias("k"), F.lit("key,segment,nation").alias("line"))
+    lists = write_files(cu.select("c_mktsegment", F.col("c_custkey").cast("long").alias("k"), line.alias("line")).unionByName(heads),
+                        "c_mktsegment", ["k"], "lists")
+    cu.limit(1).select(F.lit("a,b").alias("value")).write.text(f"{base}/nothing")
+    paths = {"lists": lists, "absent": f"{base}/absent", **{n: f"{base}/{n}" for n in ("accounts", "sales", "nothing")}}
+    return FQ.check_csv_files(spark, paths, _FILE_CONTRACTS)

@@ -105,18 +105,21 @@ def header_names(lines: DataFrame) -> list[str]:
     return list(dict.fromkeys(n for r in seen.collect() for n in r["names"]))
 
 
-def columns(lines: DataFrame, names: Sequence[str] | None = None, infer: bool = False) -> DataFrame:
+def columns(lines: DataFrame, names: Sequence[str] | None = None, infer: bool = False, nulls: Sequence[str] = ("",),
+            headers: Sequence[str] | None = None) -> DataFrame:
     """Good records as columns, ``file`` first: by the names of their own header (NULL where a file lacks one), or with ``names``
-    by position.  Empty cells are NULL.  ``infer``: whole columns of numbers get type bigint or double (SRC-7), which takes
-    one pass over the values."""
+    by position.  Cells among ``nulls`` are NULL.  ``infer``: whole columns of numbers get type bigint or double (SRC-7), which takes
+    one pass over the values.  ``headers``: the names of all headers, where they are known already."""
     good = lines.where(F.col("reason").isNull())
+
+    def value(i):
+        return F.when(~F.get("vals", i).isin(*nulls), F.get("vals", i))
     if names:
-        out = good.select("file", *[_value(i, "vals").alias(n) for i, n in enumerate(names)])
+        out = good.select("file", *[value(F.lit(i)).alias(n) for i, n in enumerate(names)])
     else:
-        names = [n for n in header_names(lines) if n and n != "file"]
-        out = good.select("file", *[F.nullif(F.get("vals", F.array_position("names", n).cast("int") - 1), F.lit("")).alias(n)
-                                    for n in names])
-    if not infer:
+        names = [n for n in dict.fromkeys(headers or header_names(lines)) if n and n != "file"]
+        out = good.select("file", *[value(F.array_position("names", n).cast("int") - 1).alias(n) for n in names])
+    if not infer or not names:
         return out
     q = [F.col(f"`{n}`") for n in names]
     fits = out.agg(*[F.struct(F.count_if(c.isNotNull() & c.try_cast("bigint").isNull()).alias("i"),
