@@ -9,7 +9,8 @@ How the quantiles are found without moving rows: one aggregate per level gives e
 the range of each dimension; then histograms of bytes over equal-width bins of the chosen dimension are
 summed map-side, and the bin that holds the quantile is split again until its bytes are below the
 tolerance.  The shuffles carry (node, bin) sums only.  The driver holds the tree: one entry per inner
-node, fewer than the number of shards.
+node, fewer than the number of shards.  Each level writes the nodes of the rows; cuts and ranges are constants
+in the plan, which holds no join, however deep the tree is.
 
 Skew: every coordinate carries a tie-breaking fraction made of the row's key, so a source or length that
 a third of the rows share is cut like any other interval.  Nothing is collected per node.
@@ -27,7 +28,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import col, others, stored, text_or_empty, values
+from .common import col, others, stored, text_or_empty
 
 ROW_OVERHEAD = 8
 OUT = ("size", "text_crc32", "shard", "slot")
@@ -60,24 +61,26 @@ class KdTree:
     levels: list[list[tuple]] = field(default_factory=list)
     shards: dict[int, int] = field(default_factory=dict)
 
-    def descend(self, points: DataFrame, first: int = 0) -> DataFrame:
-        """Move each row's node down the levels from ``first`` on; a node without a cut is a leaf."""
-        spark = points.sparkSession
-        for cuts in self.levels[first:]:
-            c = values(spark, cuts, "_kd_at long, _kd_dim int, _kd_cut double")
-            points = (points.join(c, F.col(_NODE) == F.col("_kd_at"), "left")
-                      .withColumn(_NODE, F.when(F.col("_kd_at").isNull(), F.col(_NODE))
-                                  .otherwise(F.col(_NODE) * 2
-                                             + (F.element_at(_X, F.col("_kd_dim")) >= F.col("_kd_cut")).cast("long")))
-                      .drop("_kd_at", "_kd_dim", "_kd_cut"))
-        return points
-
     def assign(self, points: DataFrame) -> DataFrame:
         """Add ``shard`` to rows that carry the coordinates."""
-        spark = points.sparkSession
-        leaf = values(spark, sorted(self.shards.items()), "_kd_leaf long, shard int")
-        at = self.descend(points.withColumn(_NODE, F.lit(1).cast("long")))
-        return at.join(leaf, F.col(_NODE) == F.col("_kd_leaf"), "inner").drop("_kd_leaf", _NODE)
+        cuts = [c for level in self.levels for c in level]
+        leaf = F.aggregate(F.sequence(F.lit(1), F.lit(len(self.levels))), F.lit(1).cast("long"),
+                           lambda node, _: below(node, cuts)) if cuts else F.lit(1).cast("long")
+        return points.withColumn("shard", by_node(leaf, self.shards, "int"))
+
+
+def by_node(node: Column, of: dict[int, float], kind: str) -> Column:
+    """What ``of`` holds for a node, null if nothing: one constant array, so that a level of the tree is no join, and every round of
+    the search runs the same code on other constants."""
+    first = min(of, default=0)
+    held = ",".join(repr(of[n]) if n in of else "" for n in range(first, max(of, default=0) + 1))
+    return F.get(F.split(F.lit(held), ",").try_cast(f"array<{kind}>"), (node - first).cast("int"))
+
+
+def below(node: Column, cuts: list[tuple]) -> Column:
+    """The child a row goes to; a node without a cut is a leaf, where the row stays."""
+    dim, cut = by_node(node, {n: d for n, d, _ in cuts}, "int"), by_node(node, {n: x for n, _, x in cuts}, "double")
+    return F.when(dim.isNull(), node).otherwise(node * 2 + (F.get(_X, dim - 1) >= cut).cast("long"))
 
 
 def points_of(df: DataFrame, dims: dict[str, str], key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -91,19 +94,17 @@ def points_of(df: DataFrame, dims: dict[str, str], key: str = "doc_id", text: st
 
 
 def fit(points: DataFrame, n_dims: int, num_shards: int | None = None, target_bytes: int | None = None,
-        bins: int = 2048, tolerance: float = 0.002, rewrite_levels: int = 6) -> KdTree:
+        bins: int = 2048, tolerance: float = 0.002) -> KdTree:
     """Grow the tree on stored ``points`` (size and coordinates).  Give the number of shards or the
     target bytes of a leaf; a cut is within ``tolerance`` of one shard's bytes, or between two rows
     that share a coordinate."""
-    spark = points.sparkSession
     if num_shards is None:
         total = points.agg(F.sum("size")).first()[0] or 0
         num_shards = max(1, -(-total // max(1, int(target_bytes))))
     tree = KdTree(num_shards)
     shards = {1: (0, num_shards)}                      # node -> first shard, number of shards
-    at, whole, done = points.select(_X, "size").withColumn(_NODE, F.lit(1).cast("long")), None, 0
+    here, whole = points.select(_X, "size").withColumn(_NODE, F.lit(1).cast("long")), None
     while any(k > 1 for _, k in shards.values()):
-        here = tree.descend(at, done)
         live = sorted(n for n, (_, k) in shards.items() if k > 1)
         stats = (here.groupBy(_NODE).agg(
             F.sum("size").alias("w"),
@@ -132,31 +133,29 @@ def fit(points: DataFrame, n_dims: int, num_shards: int | None = None, target_by
             else:                                      # no rows: its shards stay empty
                 shards[n] = (first, 1)
         tree.levels.append(level)
-        if len(tree.levels) - done >= rewrite_levels:  # keep the plan short in deep trees
-            at, done = stored(tree.descend(at, done), "kd-nodes"), len(tree.levels)
+        if any(k > 1 for _, k in shards.values()):     # each row's node is written, not found again in every round
+            here = stored(here.withColumn(_NODE, below(F.col(_NODE), level)), "kd-nodes")
     tree.shards = {n: first for n, (first, _) in shards.items()}
     return tree
 
 
 def _quantiles(here: DataFrame, search: list[tuple], bins: int) -> dict[int, tuple[int, float]]:
     """Weighted quantiles of all nodes of a level at once, by histogram refinement."""
-    spark, cuts = here.sparkSession, {}
+    cuts = {}
     while search:
-        q = values(spark, [s[:6] for s in search],
-                   "_kd_at long, d int, lo double, hi double, before double, want double")
-        x = F.element_at(_X, F.col("d"))
-        cells = (here.join(q, F.col(_NODE) == F.col("_kd_at"))
-                 .where((x >= F.col("lo")) & (x < F.col("hi")))
-                 .withColumn("bin", F.least(F.floor((x - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins).cast("int"),
+        d, lo, hi, before, want = (by_node(F.col(_NODE), {s[0]: s[i] for s in search}, kind)
+                                   for i, kind in enumerate(("int", "double", "double", "double", "double"), 1))
+        cells = (here.select(_NODE, "size", F.get(_X, d - 1).alias("x"), lo.alias("lo"), hi.alias("hi"))
+                 .where((F.col("x") >= F.col("lo")) & (F.col("x") < F.col("hi")))
+                 .withColumn("bin", F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins).cast("int"),
                                             F.lit(bins - 1)))
-                 .groupBy("_kd_at", "bin").agg(F.sum("size").cast("double").alias("w"), F.first("before").alias("before"),
-                                               F.first("want").alias("want")))
-        upto = Window.partitionBy("_kd_at").orderBy("bin")  # at most ``bins`` rows a node
-        hit = (cells.withColumn("upto", F.sum("w").over(upto) + F.col("before"))
+                 .groupBy(_NODE, "bin").agg(F.sum("size").cast("double").alias("w")))
+        upto = Window.partitionBy(_NODE).orderBy("bin")  # at most ``bins`` rows a node
+        hit = (cells.withColumn("upto", F.sum("w").over(upto) + before).withColumn("want", want)
                .where((F.col("upto") >= F.col("want")) & (F.col("upto") - F.col("w") <= F.col("want")))
-               .groupBy("_kd_at").agg(F.min_by(F.struct("bin", "w", "upto"), "bin").alias("b"))
-               .select("_kd_at", "b.*").collect())      # one row per node
-        found = {r["_kd_at"]: r for r in hit}
+               .groupBy(_NODE).agg(F.min_by(F.struct("bin", "w", "upto"), "bin").alias("b"))
+               .select(_NODE, "b.*").collect())         # one row per node
+        found = {r[_NODE]: r for r in hit}
         again = []
         for n, d, lo, hi, before, want, close in search:
             r = found.get(n)

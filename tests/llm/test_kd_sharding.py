@@ -69,3 +69,23 @@ def test_edge_cases(spark, edge, empty, carry):
     assert len({r["shard"] for r in rows if r["doc_id"] == 6}) == 1
     assert [c.lower() for c in out.columns].count("shard") == 1
     assert K.shard_documents(empty, DIMS, num_shards=3, carry=carry).count() == 0
+
+
+def test_the_tree_is_no_join_and_places_rows_as_a_walk_does(spark):
+    """Every join of a level was a broadcast that the driver planned and kept, in every round of the search."""
+    df = spark.range(4000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("y"), (F.col("id") * 37 % 91).cast("int")).alias("text"),
+                                  (F.col("id") % 977).alias("n_chars"), (F.col("id") % 3).alias("lang"))
+    pts = K.points_of(df, {"n_chars": "magnitude", "lang": "category"}).select("doc_id", "size", "text_crc32", "_kd_x")
+    tree = K.fit(pts, 2, num_shards=24)
+    out = tree.assign(pts)
+    assert len(tree.levels) == 5 and "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    cuts = {n: (d, x) for level in tree.levels for n, d, x in level}
+
+    def walk(x):
+        n = 1
+        while n in cuts:
+            n = 2 * n + (x[cuts[n][0] - 1] >= cuts[n][1])
+        return tree.shards[n]
+    rows = out.collect()
+    assert len(rows) == 4000 and all(r["shard"] == walk(r["_kd_x"]) for r in rows)
+    assert tree.assign(pts).where("shard = 5").count() == sum(walk(r["_kd_x"]) == 5 for r in rows)
