@@ -98,3 +98,37 @@ def test_empty_files_and_folders_of_titles_only(spark, tmp_path):
     (tmp_path / "c.csv").write_text("title\nn,v\n")
     lines = TT.read_lines(spark, str(tmp_path / "*.csv"), skip=1)
     assert lines.count() == 0 and TT.rejects(lines).count() == 0
+
+
+def test_only_lines_of_longer_records_are_moved(spark, tmp_path):
+    """Every line of a file with a quoted line break was sorted and shuffled, several times; and no split may lose the count."""
+    want = [[str(i), f'a "{i}"\n\nb,' if i % 10 == 0 else f"plain {i}"] for i in range(3000)]
+    for f in range(3):
+        with open(tmp_path / f"f{f}.csv", "w", newline="") as out:
+            csv.writer(out, lineterminator="\n").writerows([["key", "note"], *want])
+    conf = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.execution.arrow.maxRecordsPerBatch": "7"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        lines = R.lines_of(spark, str(tmp_path))
+        recs = R.read_records(lines, R.split_facts(lines))
+        assert "Window" not in recs._jdf.queryExecution().optimizedPlan().toString()
+        no = [r["no"] for r in recs.where("file LIKE '%f1.csv'").orderBy("place").collect()]
+        assert no == list(range(3001))
+        got = TT.read_lines(spark, str(tmp_path)).where("file LIKE '%f2.csv'").orderBy("place").collect()
+        assert [r["vals"] for r in got] == want and {r["reason"] for r in got} == {None}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_kinds_of_columns_are_those_of_the_casts(spark):
+    odd = ["1", " 1\t", "+1", "-", "1.5", ".5", "1e3", "1d", "0x1p3", "NaN", "inf", " -Infinity ", "Inside", "", None, "١", "1 2", "\x7f1", "99999999999999999999"]
+    for v in odd:
+        df = spark.createDataFrame([("f", 0, ["a"], [v], None), ("f", 1, ["a"], ["7"], None), ("f", 2, ["a"], [None], None)],
+                                   "file string, place long, names array<string>, vals array<string>, reason string")
+        fits = spark.createDataFrame([(v,)], "a string").select(F.col("a").try_cast("bigint").isNotNull().alias("i"),
+                                                                  F.col("a").try_cast("double").isNotNull().alias("d")).first()
+        kind = "bigint" if not v else "string" if not fits["d"] else "bigint" if fits["i"] else "double"
+        assert TT.columns(df, infer=True).dtypes[1][1] == kind, v
