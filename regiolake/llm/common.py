@@ -4,12 +4,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from functools import wraps
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiolake.session import materialize, scratch_path
 
-__all__ = ["Parts", "arrow_rows", "col", "others", "plain_names", "read", "sha_hex", "stored", "values", "text_or_empty"]
+__all__ = ["Parts", "arrow_rows", "col", "fit_in_task", "others", "plain_names", "read", "sha_hex", "stored", "values", "text_or_empty"]
 
 
 def col(name: str) -> Column:
@@ -58,6 +60,15 @@ def arrow_rows(df: DataFrame, most: int = 256) -> DataFrame:
     return df
 
 
+def fit_in_task(rows: DataFrame, fit: Callable[[Iterable[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> list[np.ndarray]:
+    """The model that ``fit`` makes of a bounded sample, as one row of arrays.  The sample meets in one task: the
+    driver gets the model only, and neither the rows nor the fit take its memory.  A table without partitions has no task."""
+    got = arrow_rows(rows).repartition(1).mapInArrow(fit, schema).toArrow()
+    if not got.num_rows:
+        got = pa.Table.from_batches(list(fit(())))
+    return [c[0].values.to_numpy(zero_copy_only=False).copy() for c in got.columns]
+
+
 def text_or_empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 

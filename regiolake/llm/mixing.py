@@ -14,7 +14,7 @@ aimed at: nothing is thinned on its account, its own documents keep their rates,
 to their rescaled targets.
 
 Scale: the classifier is fitted on at most ``max_train`` labelled rows in hash order (a documented bound; the
-ids are broadcast).  All documents are counted and fitted.  The driver sees sums by domain only.
+ids are broadcast), in one task.  All documents are counted and fitted.  The driver sees the model and sums by domain only.
 
 Defined results: a null or empty text has 0 tokens, and its posterior is the model's prior; labelled rows
 with a null domain or an id that isn't in the documents aren't used; a domain of the targets without
@@ -26,6 +26,7 @@ like an output column are replaced.
 from __future__ import annotations
 
 import warnings
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_rows, col, others, plain_names, stored
+from .common import arrow_rows, col, fit_in_task, others, plain_names, stored
 from .features import Hasher, Lexicon, Sparse, adam, informative, words_of
 
 OUT = ("n_tokens", "posterior", "domain", "rate")
@@ -86,14 +87,9 @@ def train(docs: DataFrame, labelled: DataFrame, domains: list[str], max_train: i
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("domain"), pa.array(feats, pa.list_(pa.int32()))],
                                              names=["doc_id", "domain", "feats"])
 
-    got = arrow_rows(sample).mapInArrow(run, "doc_id long, domain string, feats array<int>").toArrow()
-    order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")
-    feats, names = got.column("feats").combine_chunks(), got.column("domain").to_pylist()
-    rows = [np.asarray(feats[int(i)].values, np.int32) for i in order]
-    y = np.array([domains.index(names[int(i)]) for i in order], int)
-    kept, w, bias = fit_posterior(rows, y, len(domains))
-    del got, feats, rows
-    pa.default_memory_pool().release_unused()          # the sample leaves the driver
+    feats = arrow_rows(sample).mapInArrow(run, "doc_id long, domain string, feats array<int>")
+    kept, w, bias = fit_in_task(feats, lambda it: fit_batches(it, domains), "kept array<long>, w array<double>, bias array<double>")
+    w = w.reshape(-1, len(domains))
     at = {int(i): k for k, i in enumerate(kept)}
 
     def names(batches):
@@ -110,6 +106,20 @@ def train(docs: DataFrame, labelled: DataFrame, domains: list[str], max_train: i
     return sorted(zip(*(told.column(c).to_pylist() for c in ("n", "s", "c")))), w, bias
 
 
+def fit_batches(batches: Iterable[pa.RecordBatch], domains: list[str]) -> Iterator[pa.RecordBatch]:
+    """All rows (doc_id, domain, feats) of the sample, in any order -> kept ids, weights by row, biases."""
+    rows, y = [], np.empty(0, int)
+    if batches := list(batches):
+        got = pa.Table.from_batches(batches)
+        order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")
+        feats, names = got.column("feats").combine_chunks(), got.column("domain").to_pylist()
+        rows = [np.asarray(feats[int(i)].values, np.int32) for i in order]
+        y = np.array([domains.index(names[int(i)]) for i in order], int)
+    kept, w, bias = fit_posterior(rows, y, len(domains))
+    yield pa.RecordBatch.from_arrays([pa.array([kept], pa.list_(pa.int64())), pa.array([w.ravel()], pa.list_(pa.float64())),
+                                      pa.array([bias], pa.list_(pa.float64()))], names=["kept", "w", "bias"])
+
+
 def posteriors(docs: DataFrame, model, n_domains: int, carry: list[str] | None = None,
                fitted: tuple[list[tuple[np.ndarray, float]], float] | None = None) -> DataFrame:
     """``docs`` (the columns in ``carry``, by default all) with ``n_tokens`` and ``posterior``, and with ``fitted`` (steps,

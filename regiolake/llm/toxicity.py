@@ -6,8 +6,8 @@ the fit adds ``lam * (z(sentence) - z(swapped))**2`` to the loss, so the score m
 is named, and a neutral mention isn't scored as toxic only because the group is often attacked.
 
 Scale: the model is fitted on at most ``max_train`` labelled rows, taken in hash order (a documented
-bound; the ids of the sample are broadcast, 16 bytes each).  Only their features go to the driver.  The
-model (at most 2048 weights) is broadcast, and all documents are scored whole, one row at a time, without
+bound; the ids of the sample are broadcast, 16 bytes each).  Their features meet in one task, which fits the model; the
+driver gets the model only.  The model (at most 2048 weights) is broadcast, and all documents are scored whole, one row at a time, without
 a shuffle.
 
 Defined results
@@ -20,14 +20,14 @@ Defined results
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, col, plain_names
+from .common import arrow_rows, col, fit_in_task, plain_names
 from .features import Hasher, Sparse, adam, informative, words_of
 
 # terms that name a group, by kind; a term is swapped within its kind
@@ -130,18 +130,26 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 12_000, lam: floa
     sample = (text.join(F.broadcast(use), "doc_id").groupBy("doc_id")
               .agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))  # one text of a repeated id
               .select("doc_id", "toxic", "text"))
-    got = arrow_rows(sample).mapInArrow(
+    feats = arrow_rows(sample).mapInArrow(
         lambda it: training_rows(it, identity),
-        "doc_id long, toxic int, feats array<int>, gone array<array<int>>, new array<array<int>>").toArrow()
-    order = np.lexsort((got.column("toxic").to_numpy(), got.column("doc_id").to_numpy()))
-    feats, gone, new = (got.column(c).combine_chunks() for c in ("feats", "gone", "new"))
-    rows = [np.asarray(feats[int(i)].values, np.int32) for i in order]
-    swaps = [(g, a) for i in order for g, a in zip(gone[int(i)].as_py(), new[int(i)].as_py())]
-    y = (got.column("toxic").to_numpy()[order] > 0).astype(float)
-    model = fit_weights(rows, y, swaps, lam)
-    del got, feats, rows, gone, new
-    pa.default_memory_pool().release_unused()          # the sample leaves the driver
-    return model
+        "doc_id long, toxic int, feats array<int>, gone array<array<int>>, new array<array<int>>")
+    kept, w, bias = fit_in_task(feats, lambda it: fit_batches(it, lam), "kept array<long>, w array<double>, bias array<double>")
+    return kept, w, float(bias[0])
+
+
+def fit_batches(batches: Iterable[pa.RecordBatch], lam: float) -> Iterator[pa.RecordBatch]:
+    """All rows of ``training_rows``, in any order -> the model."""
+    rows, y, swaps = [], np.empty(0), []
+    if batches := list(batches):
+        got = pa.Table.from_batches(batches)
+        order = np.lexsort((got.column("toxic").to_numpy(), got.column("doc_id").to_numpy()))
+        feats, gone, new = (got.column(c).combine_chunks() for c in ("feats", "gone", "new"))
+        rows = [np.asarray(feats[int(i)].values, np.int32) for i in order]
+        swaps = [(g, a) for i in order for g, a in zip(gone[int(i)].as_py(), new[int(i)].as_py())]
+        y = (got.column("toxic").to_numpy()[order] > 0).astype(float)
+    kept, w, bias = fit_weights(rows, y, swaps, lam)
+    yield pa.RecordBatch.from_arrays([pa.array([kept], pa.list_(pa.int64())), pa.array([w], pa.list_(pa.float64())),
+                                      pa.array([[bias]], pa.list_(pa.float64()))], names=["kept", "w", "bias"])
 
 
 @plain_names

@@ -2,6 +2,7 @@
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from regiolake.llm import chat_format as C
 from regiolake.llm import decontamination as D
 from regiolake.llm import line_rules as L
+from regiolake.llm import mixing as M
 from regiolake.llm import queries as Q
 from regiolake.llm import secret_scan as S
 from regiolake.llm import toxicity as T
@@ -60,6 +62,28 @@ def test_counterfactual_penalty_evens_out_identity_terms():
     assert _z(held, "an idiot came") > _z(held, "the women came")
 
 
+def test_the_sample_of_a_fit_stays_out_of_the_driver(spark, monkeypatch):
+    """The driver gets a model of bounded size; it is the one that all labelled rows make."""
+    rows = [r for r in _labelled() if zlib.crc32(str(r[0]).encode()) % 5]
+    docs, sent = spark.createDataFrame(rows, "doc_id long, toxic int, text string"), []
+    frame = type(docs)
+    whole = frame.toArrow
+
+    def noted(self):
+        sent.append(out := whole(self))
+        return out
+    monkeypatch.setattr(frame, "toArrow", noted)
+    kept, w, bias = T.train(docs, docs)
+    expected = T.fit_weights(*_features(rows))
+    assert np.array_equal(kept, expected[0]) and np.array_equal(w, expected[1]) and bias == expected[2] and len(kept)
+    domains = docs.selectExpr("doc_id", "if(toxic = 1, 'a', 'b') AS domain")
+    _, cells, biases = M.train(docs, domains, ["a", "b"])
+    feats, y, _ = _features(rows)
+    expected = M.fit_posterior(feats, 1 - y.astype(int), 2)
+    assert np.array_equal(cells, expected[1]) and np.array_equal(biases, expected[2]) and len(cells)
+    assert max(t.num_rows for t in sent if "feats" in t.column_names or "kept" in t.column_names) == 1
+
+
 def test_toxicity_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
